@@ -1,0 +1,188 @@
+"""Column expressions on collection names: patterns, categories, templates."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Month names, in calendar order.
+MONTHS_SHORT = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+MONTHS_LONG = [
+    "January", "February", "March", "April", "May", "June",
+    "July", "August", "September", "October", "November", "December",
+]
+# Defaults of the name settings.
+OWNER = "AJ"
+PREFIXES = {"monthly": "Finds", "yearly": "Finds", "most_played": "Top", "discovery": "Discovery"}
+SEPARATORS = {"none": "", "space": " ", "dash": "-", "underscore": "_"}
+# Substrings that mark an old genre collection.
+GENRE_SLUGS = ["HipHop", "Hip Hop", "Dance", "Other", "Am"]
+# Keywords of the category rules, tried in this order.
+AUTOMATED_WORDS = ["finds", "top", "discovery", "dscvr", "fnds"]
+MONTH_WORDS = [m.lower() for m in MONTHS_SHORT]
+GENRE_WORDS = ["hiphop", "dance", "r&b", "soul", "rock", "pop", "jazz", "country", "electronic"]
+DISCOVERY_WORDS = ["discovery", "new", "fresh", "latest"]
+FAVORITE_WORDS = ["liked", "favorite", "favourite", "best", "top"]
+# The four shapes of a month name.
+MONTHLY_SHAPES = [
+    "(" + "|".join(MONTHS_SHORT) + r""")['"']?\s?\d{2,4}""",
+    "(" + "|".join(MONTHS_LONG) + r")\s*\d{4}",
+    r"\d{4}[-/]\d{2}",
+    r"\d{2}[-/]\d{4}",
+]
+
+
+@dataclass(frozen=True)
+class NameStyle:
+    """How archive names are written."""
+
+    owner: str = OWNER
+    prefixes: dict[str, str] = field(default_factory=lambda: dict(PREFIXES))
+    base_prefix: str = "Finds"
+    date_format: str = "short"  # short, medium, long, numeric
+    month_separator: str = "none"
+    prefix_separator: str = "none"
+    capitalization: str = "preserve"  # title, upper, lower, preserve
+    monthly_template: str = "{owner}{prefix}{mon}{year}"
+    yearly_template: str = "{owner}{prefix}{year}"
+
+
+def _any_word(words: list[str]) -> str:
+    return "|".join(words)
+
+
+def is_monthly_name(name: Column) -> Column:
+    shapes = "|".join(MONTHLY_SHAPES)
+    return F.coalesce(F.trim(name).rlike(f"(?i)^({shapes})$"), F.lit(False))
+
+
+def is_auto_name(name: Column, tag: str = OWNER) -> Column:
+    return F.coalesce(F.startswith(name, F.lit(tag)), F.lit(False))
+
+
+def category(name: Column) -> Column:
+    """Ordered keyword rules; a name takes the first rule that fits."""
+    low = F.lower(F.coalesce(name, F.lit("")))
+    dated = low.rlike(_any_word(MONTH_WORDS)) | low.rlike("[0-9]")
+    return (
+        F.when(low.rlike(_any_word(AUTOMATED_WORDS)), F.when(dated, "automated").otherwise("time_based"))
+        .when(low.rlike(_any_word(GENRE_WORDS)), "genre")
+        .when(low.rlike(_any_word(DISCOVERY_WORDS)), "discovery")
+        .when(low.rlike(_any_word(FAVORITE_WORDS)), "favorites")
+        .otherwise("manual")
+    )
+
+
+def auto_name_parts(name: Column, owner: str = OWNER, prefixes: dict[str, str] | None = None) -> Column:
+    """Struct (type, year, month, period) of a name ``{owner}{prefix}{Mon}{digits}``, or null."""
+    kinds = {k: v for k, v in (prefixes or PREFIXES).items() if k != "yearly"}
+    shape = rf"^{owner}({_any_word(list(kinds.values()))})({_any_word(MONTHS_SHORT)})(\d+)$"
+    digits = F.regexp_extract(name, shape, 3)
+    word = F.regexp_extract(name, shape, 1)
+    month = (
+        F.array_position(F.array(*[F.lit(m) for m in MONTHS_SHORT]), F.regexp_extract(name, shape, 2))
+        .cast("int")
+    )
+    # A long digit tail is no year; try_cast leaves it null instead of raising.
+    year = digits.try_cast("int") + F.when(F.length(digits) == 2, 2000).otherwise(0)
+    kind = F.lit(None).cast("string")
+    for key, value in kinds.items():
+        kind = F.when(word == value, key).otherwise(kind)
+    period = F.concat(year.cast("string"), F.lit("-"), F.lpad(month.cast("string"), 2, "0"))
+    return F.when(
+        name.rlike(shape),
+        F.struct(
+            kind.alias("type"), year.alias("year"), month.alias("month"), period.alias("period")
+        ),
+    )
+
+
+def is_legacy_name(name: Column, last_year: int, owner: str = OWNER, prefixes=None) -> Column:
+    """Automated monthly or old genre names, except the yearly archive names kept."""
+    words = prefixes or PREFIXES
+    kept = [
+        f"{owner}{words[kind]}{str(year)[2:]}"
+        for year in range(2015, last_year + 1)
+        for kind in ("yearly", "most_played", "discovery")
+    ]
+    rest = F.substring(name, F.lit(len(owner) + 1), F.length(name))
+    genre = F.lit(False)
+    for slug in GENRE_SLUGS:
+        genre = genre | F.contains(rest, F.lit(slug))
+    monthly = auto_name_parts(name, owner, words).isNotNull()
+    return F.startswith(name, F.lit(owner)) & ~name.isin(kept) & (monthly | genre)
+
+
+def _cased(value: Column, style: NameStyle) -> Column:
+    change = {"upper": F.upper, "lower": F.lower, "title": F.initcap}.get(style.capitalization)
+    return change(value) if change else value
+
+
+def archive_name(
+    kind: str,
+    month: Column | None = None,
+    year: Column | None = None,
+    style: NameStyle = NameStyle(),
+    genre: str = "",
+    template: str | None = None,
+) -> Column:
+    """Collection name for a month (``yyyy-MM``) or a year, after ``style``."""
+    empty = F.lit("")
+    short_date = style.date_format == "short"
+    between = SEPARATORS[style.month_separator]
+    if month is not None:
+        full, number = F.substring(month, 1, 4), F.substring(month, 6, 2)
+        shown_year = F.substring(full, 3, 2) if short_date else full
+        if style.date_format == "numeric":
+            shown_month = number
+        else:
+            words = MONTHS_SHORT if short_date else MONTHS_LONG
+            shown_month = F.element_at(F.array(*[F.lit(w) for w in words]), number.cast("int"))
+        date = F.concat(_cased(shown_month, style), F.lit(between), _cased(shown_year, style))
+        tail_year = empty
+    else:
+        text = year.cast("string")
+        cut = style.date_format != "numeric"
+        tail_year = F.when(F.length(text) == 4, F.substring(text, 3, 2)).otherwise(text) if cut else text
+        date = empty
+    prefix = _cased(F.lit(style.prefixes.get(kind, style.base_prefix)), style)
+    owner = _cased(F.lit(style.owner), style)
+    joint = F.lit(SEPARATORS[style.prefix_separator])
+    text = template or (style.monthly_template if month is not None else style.yearly_template)
+    result = F.lit(text)
+    if style.owner:
+        result = F.replace(result, F.lit("{owner}{prefix}"), F.concat(owner, joint, prefix))
+    for mark, value in {
+        "{owner}": owner,
+        "{prefix}": prefix,
+        "{genre}": _cased(F.lit(genre), style),
+        "{mon}": date,
+        "{year}": tail_year,
+    }.items():
+        result = F.replace(result, F.lit(mark), value)
+    return result
+
+
+def renamed(name: Column, changes: dict[str, str]) -> Column:
+    """Name with the first contained old prefix exchanged, its letter case carried over.
+
+    Null when no old prefix occurs.
+    """
+    result = F.lit(None).cast("string")
+    for old, new in reversed(list(changes.items())):
+        if old.isupper():
+            fresh = new.upper()
+        elif old.islower():
+            fresh = new.lower()
+        else:
+            fresh = new.title()
+        at = F.instr(name, old)
+        swapped = F.concat(
+            F.substring(name, F.lit(1), at - 1),
+            F.lit(fresh),
+            F.substring(name, at + len(old), F.length(name)),
+        )
+        result = F.when(at > 0, swapped).otherwise(result)
+    return result

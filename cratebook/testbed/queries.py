@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from cratebook.testbed import queries_library  # noqa: F401
+from cratebook.testbed import queries_library, queries_overlap  # noqa: F401
 from cratebook.testbed.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

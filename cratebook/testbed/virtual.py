@@ -358,6 +358,9 @@ def with_tables(*names: str, body: str) -> str:
         add(name)
     head = ",\n".join(f"{name} AS (\n  {SQL[name][0]}\n)" for name in ordered)
     body = body.strip()
+    recursive = body.upper().startswith("WITH RECURSIVE ")
+    if recursive:
+        return f"WITH RECURSIVE {head},\n{body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {head},\n{body[5:]}"
     return f"WITH {head}\n{body}"

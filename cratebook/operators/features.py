@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cratebook.functions import music, times
-from cratebook.operators.grouping import exact_medians
+from cratebook.operators.grouping import aggregate_with_medians
+from cratebook.session import cut_lineage
 
 # Legacy audio columns, summarised when present.
 AUDIO_COLUMNS = [
@@ -32,8 +31,13 @@ def _with_medians(
     df: DataFrame, key: str, moments: list[Column], medians: dict[str, tuple[Column, float]]
 ) -> DataFrame:
     known = df.where(F.col(key).isNotNull())
-    plain = known.groupBy(key).agg(*moments)
-    return plain.join(exact_medians(known, [key], medians), key, "left") if medians else plain
+    return aggregate_with_medians(known, [key], moments, medians)
+
+
+def _narrow(wide: DataFrame, *columns: str) -> DataFrame:
+    """The wanted columns that exist, written once: the joins behind ``wide`` run a
+    single time however many passes a feature needs."""
+    return cut_lineage(wide.select(*[c for c in dict.fromkeys(columns) if c in wide.columns]))
 
 
 def _profile_parts(wide: DataFrame) -> tuple[list[Column], dict[str, tuple[Column, float]]]:
@@ -54,7 +58,8 @@ def profile_features(wide: DataFrame, playlist_col: str = "playlist_id") -> Data
     moments, medians = _profile_parts(wide)
     if not moments:
         return wide.select(playlist_col).distinct()
-    return _with_medians(wide, playlist_col, moments, medians)
+    narrow = _narrow(wide, playlist_col, "popularity", "duration_ms", *AUDIO_COLUMNS)
+    return _with_medians(narrow, playlist_col, moments, medians)
 
 
 def artist_concentration(
@@ -113,7 +118,7 @@ def added_age_features(
     if added_at_col not in wide.columns:
         return wide.select(playlist_col).dropna().distinct()
     moments, medians = _added_parts(as_of, added_at_col)
-    df = _with_medians(wide, playlist_col, moments, medians)
+    df = _with_medians(_narrow(wide, playlist_col, added_at_col), playlist_col, moments, medians)
     return df.select("*", _age_median(as_of)).drop("added_seconds_median")
 
 
@@ -130,7 +135,17 @@ def release_year_features(
 ) -> DataFrame:
     if release_date_col not in wide.columns:
         return wide.select(playlist_col).dropna().distinct()
-    return _with_medians(wide, playlist_col, *_year_parts(release_date_col))
+    narrow = _narrow(wide, playlist_col, release_date_col)
+    return _with_medians(narrow, playlist_col, *_year_parts(release_date_col))
+
+
+def _tier_shares(popularity_col: str, item_col: str) -> list[Column]:
+    tier = music.popularity_tier(F.col(popularity_col))
+    known = F.col(item_col).isNotNull()
+    return [
+        F.try_divide(F.count_if(known & (tier == name)), F.count_if(known)).alias(f"pct_{name}")
+        for name in music.TIER_NAMES
+    ]
 
 
 def popularity_tiers(
@@ -142,38 +157,39 @@ def popularity_tiers(
     """Share of rows per tier; all six columns always exist, absent tiers are 0."""
     if popularity_col not in wide.columns:
         return wide.select(playlist_col).dropna().distinct()
-    tier = music.popularity_tier(F.col(popularity_col))
-    known = F.col(item_col).isNotNull()
-    counts = wide.where(F.col(playlist_col).isNotNull()).groupBy(playlist_col).agg(
-        F.count_if(known).alias("all_rows"),
-        *[F.count_if(known & (tier == name)).alias(f"n_{name}") for name in music.TIER_NAMES],
-    )
-    return counts.select(
-        playlist_col,
-        *[
-            F.try_divide(F.col(f"n_{name}"), F.col("all_rows")).alias(f"pct_{name}")
-            for name in music.TIER_NAMES
-        ],
-    )
+    shares = _tier_shares(popularity_col, item_col)
+    return wide.where(F.col(playlist_col).isNotNull()).groupBy(playlist_col).agg(*shares)
 
 
 def all_features(wide: DataFrame, as_of: str, playlist_col: str = "playlist_id") -> DataFrame:
-    """Every feature family. Those with plain moments share one aggregate and one
-    median pass; the others are joined on the collection."""
-    moments, medians = _profile_parts(wide)
-    has_added = "added_at" in wide.columns
-    if has_added:
+    """Every feature family. All but the concentration share one aggregate."""
+    narrow = _narrow(
+        wide,
+        playlist_col,
+        "track_id",
+        "primary_artist_id",
+        "added_at",
+        "release_date",
+        "popularity",
+        "duration_ms",
+        *AUDIO_COLUMNS,
+    )
+    present = set(narrow.columns)
+    aggregates, medians = _profile_parts(narrow)
+    if "added_at" in present:
         more, middle = _added_parts(as_of, "added_at")
-        moments, medians = moments + more, {**medians, **middle}
-    if "release_date" in wide.columns:
+        aggregates, medians = aggregates + more, {**medians, **middle}
+    if "release_date" in present:
         more, middle = _year_parts("release_date")
-        moments, medians = moments + more, {**medians, **middle}
-    first = _with_medians(wide, playlist_col, moments, medians)
-    if has_added:
-        first = first.select("*", _age_median(as_of)).drop("added_seconds_median")
-    families = [first]
-    if "primary_artist_id" in wide.columns:
-        families.append(artist_concentration(wide, playlist_col))
-    if "popularity" in wide.columns:
-        families.append(popularity_tiers(wide, playlist_col=playlist_col))
-    return reduce(lambda a, b: a.join(b, playlist_col, "full"), families)
+        aggregates, medians = aggregates + more, {**medians, **middle}
+    if "popularity" in present:
+        aggregates = aggregates + _tier_shares("popularity", "track_id")
+    if not aggregates:
+        result = narrow.select(playlist_col).distinct()
+    else:
+        result = _with_medians(narrow, playlist_col, aggregates, medians)
+    if "added_at" in present:
+        result = result.select("*", _age_median(as_of)).drop("added_seconds_median")
+    if "primary_artist_id" in present:
+        result = result.join(artist_concentration(narrow, playlist_col), playlist_col, "full")
+    return result

@@ -101,6 +101,49 @@ def exact_medians(
     return middle.groupBy(*keys).agg(*[half_way(name) for name in metrics])
 
 
+# Groups up to this size are sorted or counted whole; larger ones take the step-wise
+# way. The number of larger groups is at most rows / GROUP_LIMIT.
+GROUP_LIMIT = 1_000_000
+
+
+def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -> DataFrame:
+    """Keys of groups with more than ``limit`` rows: rows / limit of them at most,
+    so a million keys for 10**12 rows. That bound makes them safe to broadcast."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return sizes.where(F.col("_rows") > limit).select(*keys)
+
+
+def aggregate_with_medians(
+    df: DataFrame,
+    keys: Sequence[str],
+    aggregates: Sequence[Column],
+    metrics: Mapping[str, tuple[Column, float]],
+    limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """``aggregates`` and exact medians per group in one pass.
+
+    The built-in median holds a group's distinct values in one task, so it is used
+    up to ``limit`` rows; larger groups go through ``exact_medians``. ``df`` is read
+    three times: pass a materialised one. Keys must be non-null.
+    """
+    if not metrics:
+        return df.groupBy(*keys).agg(*aggregates)
+    hot = hot_groups(df, keys, limit)
+    flagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), list(keys), "left")
+    usual = F.col("_hot").isNull()
+    plain = flagged.groupBy(*keys).agg(
+        *aggregates,
+        *[F.median(F.when(usual, value)).alias(name) for name, (value, _) in metrics.items()],
+    )
+    large = exact_medians(df.join(F.broadcast(hot), list(keys), "left_semi"), keys, metrics)
+    renamed = large.withColumnsRenamed({name: f"_large_{name}" for name in metrics})
+    return (
+        plain.join(renamed, list(keys), "left")
+        .withColumns({name: F.coalesce(name, f"_large_{name}") for name in metrics})
+        .drop(*[f"_large_{name}" for name in metrics])
+    )
+
+
 def top_per_group(
     df: DataFrame,
     keys: Sequence[str],

@@ -13,14 +13,21 @@ Two things keep the work near the size of the result, whatever the skew:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cratebook.operators.grouping import counted_row_number
+from cratebook.operators.grouping import GROUP_LIMIT, counted_row_number
+from cratebook.session import cut_lineage
 
 # Slack for bounds computed in floating point; final tests are done on exact counts.
 EPS = 1e-9
 ROWS_PER_TILE = 50_000
+# Sets up to this size travel as one array through the join.
+SHORT_SET = 64
 
 
 def item_sets(members: DataFrame, set_col: str = "playlist_id", item_col: str = "track_id") -> DataFrame:
@@ -72,126 +79,178 @@ def _at_least(share: float, n: Column) -> Column:
     return F.ceil(F.lit(share) * n - EPS)
 
 
-def _place_items(sets: DataFrame) -> DataFrame:
-    """Adds set size ``n``, document frequency ``df`` and rarest-first position ``pos``."""
+def place_items(sets: DataFrame, group_limit: int = GROUP_LIMIT) -> DataFrame:
+    """Adds set size ``n``, document frequency ``df`` and rarest-first position ``pos``.
+
+    Written once, as every later step reads it.
+    """
+    if "n" not in sets.columns:
+        sets = sets.join(sets.groupBy("set_id").agg(F.count(F.lit(1)).alias("n")), "set_id")
     frequency = sets.groupBy("item_id").agg(F.count(F.lit(1)).alias("df"))
-    sizes = sets.groupBy("set_id").agg(F.count(F.lit(1)).alias("n"))
     # Frequency first; a hash bucket splits the many items of equal frequency, so
     # that no counting step of a huge set grows with the set.
     rarity = F.col("df") * 1024 + F.pmod(F.xxhash64("item_id"), F.lit(1024))
-    placed = counted_row_number(
-        sets.join(frequency, "item_id").withColumn("rarity", rarity),
-        ["set_id"],
-        F.col("rarity"),
-        ["item_id"],
-        name="pos",
+    rare_first = sets.join(frequency, "item_id").withColumn("rarity", rarity)
+    usual = rare_first.where(F.col("n") <= group_limit).withColumn(
+        "pos",
+        F.row_number().over(Window.partitionBy("set_id").orderBy("rarity", "item_id")).cast("bigint"),
     )
-    return placed.drop("rarity").join(sizes, "set_id")
+    huge = counted_row_number(
+        rare_first.where(F.col("n") > group_limit), ["set_id"], F.col("rarity"), ["item_id"], name="pos"
+    )
+    return cut_lineage(usual.unionByName(huge).drop("rarity"))
 
 
-def candidate_pairs(
-    sets: DataFrame,
-    jaccard: float | None = None,
-    subsets: bool = False,
-    containment: float | None = None,
-    size_ratio: float = 1.0,
-    rows_per_tile: int = ROWS_PER_TILE,
-) -> DataFrame:
-    """(small, large, n_small, n_large): every pair that can reach a wanted bound.
+@dataclass(frozen=True)
+class Bounds:
+    """Which pairs are wanted. A pair is wanted when any given bound holds.
 
     * ``jaccard``: overlap / union at least this.
     * ``subsets``: the smaller set lies inside the larger.
     * ``containment``: overlap / smaller at least this, larger >= size_ratio x smaller.
     """
-    if jaccard is None and not subsets and containment is None:
-        raise ValueError("name a bound: without one the result is every pair")
-    if any(b is not None and b <= 0 for b in (jaccard, containment)):
-        raise ValueError("bounds must be positive")
-    placed = _place_items(sets)
-    # A common item is split over tiles; one side takes a tile, the other visits all.
+
+    jaccard: float | None = None
+    subsets: bool = False
+    containment: float | None = None
+    size_ratio: float = 1.0
+
+    def __post_init__(self) -> None:
+        if self.jaccard is None and not self.subsets and self.containment is None:
+            raise ValueError("name a bound: without one the result is every pair")
+        if any(b is not None and b <= 0 for b in (self.jaccard, self.containment)):
+            raise ValueError("bounds must be positive")
+
+    def small_prefix(self, n: Column) -> Column:
+        """Items of the smaller set, rarest first, one of which a wanted pair shares."""
+        options = [F.lit(1)]
+        if self.jaccard is not None:
+            options.append(n - _at_least(2 * self.jaccard / (1 + self.jaccard), n) + 1)
+        if self.containment is not None:
+            options.append(n - _at_least(self.containment, n) + 1)
+        return F.greatest(*options, F.lit(1))
+
+    def large_prefix(self, n: Column) -> Column:
+        if self.subsets or self.containment is not None:
+            return n
+        return n - _at_least(self.jaccard, n) + 1
+
+    def possible(self, n1: Column, n2: Column, p1: Column, p2: Column) -> Column:
+        """Can a pair still be wanted whose first shared item lies at p1 and p2?"""
+        # Items behind the first shared one bound what can still be shared.
+        reachable = 1 + F.least(n1 - p1, n2 - p2)
+        ways: list[Column] = []
+        if self.jaccard is not None:
+            t = self.jaccard
+            ways.append(
+                (p1 <= n1 - _at_least(2 * t / (1 + t), n1) + 1)
+                & (p2 <= n2 - _at_least(t, n2) + 1)
+                & (n1 >= t * n2 - EPS)
+                & (reachable >= t / (1 + t) * (n1 + n2) - EPS)
+            )
+        if self.subsets:
+            ways.append((p1 == 1) & (n2 - p2 >= n1 - 1))
+        if self.containment is not None:
+            ways.append(
+                (p1 <= n1 - _at_least(self.containment, n1) + 1)
+                & (n2 >= self.size_ratio * n1 - EPS)
+                & (reachable >= self.containment * n1 - EPS)
+            )
+        return reduce(or_, ways)
+
+    def holds(self, n1: Column, n2: Column, overlap: Column) -> Column:
+        ways: list[Column] = []
+        if self.jaccard is not None:
+            ways.append(overlap >= self.jaccard * (n1 + n2 - overlap) - EPS)
+        if self.subsets:
+            ways.append(overlap == n1)
+        if self.containment is not None:
+            ways.append(
+                (overlap >= self.containment * n1 - EPS) & (n2 >= self.size_ratio * n1 - EPS)
+            )
+        return reduce(or_, ways)
+
+
+def _sides(placed: DataFrame, bounds: Bounds, rows_per_tile: int, *carried: str):
+    """Both sides of the prefix join. A common item is split over tiles: one side
+    takes one tile, the other, which rarely holds common items, visits all."""
     tiles = F.ceil(F.col("df") / F.lit(rows_per_tile)).cast("int")
 
-    n, pos = F.col("n"), F.col("pos")
-    small_prefix, large_prefix = [], []
-    if jaccard is not None:
-        small_prefix.append(n - _at_least(2 * jaccard / (1 + jaccard), n) + 1)
-        large_prefix.append(n - _at_least(jaccard, n) + 1)
-    if subsets:
-        small_prefix.append(F.lit(1))
-        large_prefix.append(n)
-    if containment is not None:
-        small_prefix.append(n - _at_least(containment, n) + 1)
-        large_prefix.append(n)
-
-    def longest(options: list[Column]) -> Column:
-        return options[0] if len(options) == 1 else F.greatest(*options)
-
-    small = placed.where(pos <= longest(small_prefix)).select(
-        "item_id",
-        F.explode(F.sequence(F.lit(0), tiles - 1)).alias("tile"),
-        F.col("set_id").alias("small"),
-        F.col("n").alias("n_small"),
-        F.col("pos").alias("pos_small"),
+    def named(side: str) -> list[Column]:
+        columns = [F.col("set_id").alias(side), F.col("n").alias(f"n_{side}"), F.col("pos").alias(f"pos_{side}")]
+        return columns + [F.col(c).alias(f"{c}_{side}") for c in carried]
+
+    small = placed.where(F.col("pos") <= bounds.small_prefix(F.col("n"))).select(
+        "item_id", F.explode(F.sequence(F.lit(0), tiles - 1)).alias("tile"), *named("small")
     )
-    large = placed.where(pos <= longest(large_prefix)).select(
-        "item_id",
-        F.pmod(F.xxhash64("set_id"), tiles).cast("int").alias("tile"),
-        F.col("set_id").alias("large"),
-        F.col("n").alias("n_large"),
-        F.col("pos").alias("pos_large"),
+    large = placed.where(F.col("pos") <= bounds.large_prefix(F.col("n"))).select(
+        "item_id", F.pmod(F.xxhash64("set_id"), tiles).cast("int").alias("tile"), *named("large")
     )
+    return small, large
+
+
+def _meet(small: DataFrame, large: DataFrame, bounds: Bounds) -> DataFrame:
     n1, n2 = F.col("n_small"), F.col("n_large")
-    p1, p2 = F.col("pos_small"), F.col("pos_large")
-    # Items behind the first shared one bound what can still be shared.
-    reachable = 1 + F.least(n1 - p1, n2 - p2)
-    ways: list[Column] = []
-    if jaccard is not None:
-        ways.append(
-            (p1 <= n1 - _at_least(2 * jaccard / (1 + jaccard), n1) + 1)
-            & (p2 <= n2 - _at_least(jaccard, n2) + 1)
-            & (n1 >= jaccard * n2 - EPS)
-            & (reachable >= jaccard / (1 + jaccard) * (n1 + n2) - EPS)
-        )
-    if subsets:
-        ways.append((p1 == 1) & (n2 - p2 >= n1 - 1))
-    if containment is not None:
-        ways.append(
-            (p1 <= n1 - _at_least(containment, n1) + 1)
-            & (n2 >= size_ratio * n1 - EPS)
-            & (reachable >= containment * n1 - EPS)
-        )
-    wanted = ways[0]
-    for way in ways[1:]:
-        wanted = wanted | way
     ordered = (n1 < n2) | ((n1 == n2) & (F.col("small") < F.col("large")))
+    possible = bounds.possible(n1, n2, F.col("pos_small"), F.col("pos_large"))
+    return small.join(large, ["item_id", "tile"]).where(ordered & possible)
+
+
+def _short_pairs(placed: DataFrame, bounds: Bounds, rows_per_tile: int) -> DataFrame:
+    """Both sets short: their items travel along, the overlap is known at the join,
+    and a pair is emitted only at its first shared item - no second shuffle."""
+    cells = F.array_sort(F.collect_list(F.struct("pos", "item_id", "df")))
+    short = (
+        placed.where(F.col("n") <= SHORT_SET)
+        .groupBy("set_id", "n")
+        .agg(cells.alias("cells"))
+        .withColumn("items", F.transform("cells", lambda c: c["item_id"]))
+        .select("set_id", "n", "items", F.inline("cells"))
+    )
+    met = _meet(*_sides(short, bounds, rows_per_tile, "items"), bounds)
+    # A one-element explode keeps the optimizer from repeating the intersection in
+    # every condition that uses it.
+    shared = F.explode(F.array(F.struct(F.array_intersect("items_small", "items_large").alias("items"))))
+    n1, n2, overlap = F.col("n_small"), F.col("n_large"), F.size("shared.items")
     return (
-        small.join(large, ["item_id", "tile"])
-        .where(ordered & wanted)
-        .select("small", "large", "n_small", "n_large")
-        .distinct()
+        met.select("item_id", "small", "large", "n_small", "n_large", shared.alias("shared"))
+        .where(F.element_at("shared.items", 1) == F.col("item_id"))
+        .where(bounds.holds(n1, n2, overlap))
+        .select("small", "large", "n_small", "n_large", overlap.cast("bigint").alias("overlap"))
     )
 
 
-def count_overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Exact overlap of each candidate pair; the items of the smaller set are looked
-    up in the larger, so the work is the sum of the smaller sizes."""
-    ours = sets.select(F.col("set_id").alias("small"), "item_id")
-    theirs = sets.select(F.col("set_id").alias("large"), "item_id")
+def _long_pairs(placed: DataFrame, bounds: Bounds, rows_per_tile: int) -> DataFrame:
+    """The larger set is long: candidates first, then the items of the smaller set
+    are looked up in the larger. The work is the sum of the smaller sizes."""
+    small, large = _sides(placed, bounds, rows_per_tile)
+    pairs = (
+        _meet(small, large.where(F.col("n_large") > SHORT_SET), bounds)
+        .select("small", "large", "n_small", "n_large")
+        .distinct()
+    )
+    ours = placed.select(F.col("set_id").alias("small"), "item_id")
+    theirs = placed.where(F.col("n") > SHORT_SET).select(F.col("set_id").alias("large"), "item_id")
     return (
         pairs.join(ours, "small")
         .join(theirs, ["large", "item_id"])
         .groupBy("small", "large", "n_small", "n_large")
         .agg(F.count(F.lit(1)).alias("overlap"))
+        .where(bounds.holds(F.col("n_small"), F.col("n_large"), F.col("overlap")))
     )
 
 
-def pair_overlap(sets: DataFrame, **bounds) -> DataFrame:
+def pair_overlap(sets: DataFrame, rows_per_tile: int = ROWS_PER_TILE, **wanted) -> DataFrame:
     """Pairs of distinct sets with overlap, union, Jaccard and both containments.
 
-    Columns ``set1 < set2``. Pairs below every bound may appear only if another
-    bound admitted them; callers filter on the exact numbers.
+    ``wanted`` are the fields of ``Bounds``; every pair that meets one of them is
+    found. Columns ``set1 < set2``.
     """
-    counted = count_overlaps(candidate_pairs(sets, **bounds), sets)
+    bounds = Bounds(**wanted)
+    placed = place_items(sets)
+    counted = _short_pairs(placed, bounds, rows_per_tile).unionByName(
+        _long_pairs(placed, bounds, rows_per_tile)
+    )
     swap = F.col("small") > F.col("large")
     x = F.col("overlap")
     n1 = F.when(swap, F.col("n_large")).otherwise(F.col("n_small"))
@@ -209,12 +268,13 @@ def pair_overlap(sets: DataFrame, **bounds) -> DataFrame:
     )
 
 
-def _first_sets(sets: DataFrame, groups: DataFrame) -> DataFrame:
-    firsts = groups.where(F.col("set_id") == F.col("first_id")).select("set_id")
-    return sets.join(firsts, "set_id", "left_semi")
+def first_sets(sets: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows of the first set of each group, with the set size ``n``."""
+    firsts = groups.where(F.col("set_id") == F.col("first_id"))
+    return sets.join(firsts.select("set_id", F.col("n_items").alias("n")), "set_id")
 
 
-def _with_copies(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+def with_copies(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     firsts = groups.where(F.col("set_id") == F.col("first_id"))
     for side in ("1", "2"):
         pairs = pairs.join(
@@ -237,9 +297,10 @@ def _with_names(pairs: DataFrame, names: DataFrame) -> DataFrame:
 def _grouped_similarity(
     sets: DataFrame, bound: float, first_by: DataFrame | None = None, **more
 ) -> tuple[DataFrame, DataFrame]:
-    groups = identical_sets(sets, first_by)
-    pairs = pair_overlap(_first_sets(sets, groups), jaccard=bound, **more)
-    return groups, _with_copies(pairs, groups)
+    sets = cut_lineage(sets)
+    groups = cut_lineage(identical_sets(sets, first_by))
+    pairs = pair_overlap(first_sets(sets, groups), jaccard=bound, **more)
+    return groups, with_copies(pairs, groups)
 
 
 def copy_rows(groups: DataFrame) -> DataFrame:
@@ -249,8 +310,18 @@ def copy_rows(groups: DataFrame) -> DataFrame:
     )
 
 
-def similar_collections(members: DataFrame, names: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """Pairs with Jaccard of at least ``threshold``, best first.
+def _best_first(df: DataFrame, limit: int | None) -> DataFrame:
+    """With a limit the best rows in order; a full result is left unsorted, since
+    sorting it is one more shuffle that the reader may not need."""
+    if limit is None:
+        return df
+    return df.orderBy(F.desc("similarity"), "set1", "set2").limit(limit)
+
+
+def similar_collections(
+    members: DataFrame, names: DataFrame, threshold: float = 0.3, limit: int | None = None
+) -> DataFrame:
+    """Pairs with Jaccard of at least ``threshold``; with ``limit`` the best of them.
 
     ``pairs`` is the number of collection pairs a row stands for. Copies appear
     with similarity 1 against the first of their group.
@@ -263,7 +334,7 @@ def similar_collections(members: DataFrame, names: DataFrame, threshold: float =
     same = copy_rows(groups).select(
         "set1", "set2", F.lit(1.0).alias("similarity"), F.lit(1).cast("bigint").alias("pairs")
     )
-    return _with_names(close.unionByName(same), names).orderBy(F.desc("similarity"), "set1", "set2")
+    return _with_names(_best_first(close.unionByName(same), limit), names)
 
 
 def merge_candidates(
@@ -271,8 +342,10 @@ def merge_candidates(
     names: DataFrame,
     similarity_threshold: float = 0.5,
     size_threshold: int = 20,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Similar pairs of collections with at least ``size_threshold`` items, by rounded similarity."""
+    """Similar pairs of collections with at least ``size_threshold`` items; with
+    ``limit`` the best of them by rounded similarity."""
     sets = item_sets(members, "set_id", "item_id")
     large = sets.groupBy("set_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= size_threshold)
     sets = sets.join(large, "set_id", "left_semi")
@@ -294,12 +367,8 @@ def merge_candidates(
     benefit = F.format_string(
         "Would combine %d + %d = %d unique tracks", "size1", "size2", "unique_tracks"
     )
-    return (
-        _with_names(close.unionByName(same), names)
-        .withColumn("similarity", F.round("similarity", 2))
-        .withColumn("merge_benefit", benefit)
-        .orderBy(F.desc("similarity"), "set1", "set2")
-    )
+    rounded = close.unionByName(same).withColumn("similarity", F.round("similarity", 2))
+    return _with_names(_best_first(rounded, limit), names).withColumn("merge_benefit", benefit)
 
 
 def duplicate_collections(members: DataFrame, names: DataFrame) -> DataFrame:

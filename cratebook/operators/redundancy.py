@@ -36,10 +36,12 @@ def find_redundancy(members: DataFrame, names: DataFrame) -> Redundancy:
 
     Among identical collections the longest name stays, then the lowest id.
     """
-    sets = overlap.item_sets(members, "set_id", "item_id").join(names, "set_id", "left_semi")
+    sets = cut_lineage(
+        overlap.item_sets(members, "set_id", "item_id").join(names, "set_id", "left_semi")
+    )
     longest = names.select("set_id", (-F.length("name")).alias("preference"))
-    groups = overlap.identical_sets(sets, longest)
-    firsts = overlap._first_sets(sets, groups)
+    groups = cut_lineage(overlap.identical_sets(sets, longest))
+    firsts = overlap.first_sets(sets, groups)
     pairs = overlap.pair_overlap(
         firsts,
         jaccard=SIMILAR,
@@ -60,7 +62,7 @@ def find_redundancy(members: DataFrame, names: DataFrame) -> Redundancy:
             & (F.col("overlap") / low > CANDIDATE_SHARE),
         }
     ).where(F.col("band").isNotNull() | F.col("is_subset") | F.col("is_candidate"))
-    return Redundancy(names, overlap.copy_rows(groups), overlap._with_copies(classified, groups))
+    return Redundancy(names, overlap.copy_rows(groups), overlap.with_copies(classified, groups))
 
 
 def _smaller_first(pairs: DataFrame) -> DataFrame:

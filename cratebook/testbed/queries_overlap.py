@@ -47,7 +47,7 @@ FROM p WHERE jaccard >= {bound}""",
     )
     def query(v):
         sets = overlap.item_sets(v.overlap_sets(family), "set_id", "item_id")
-        firsts = overlap._first_sets(sets, overlap.identical_sets(sets))
+        firsts = overlap.first_sets(sets, overlap.identical_sets(sets))
         pairs = overlap.pair_overlap(firsts, jaccard=bound).where(F.col("jaccard") >= bound)
         return r6(pairs, "jaccard", "containment1", "containment2")
 
@@ -64,7 +64,7 @@ for _family, _bound in (("order_part", 0.25), ("user_hour", 0.5), ("nation_part"
 )
 def contained_collections(v):
     sets = overlap.item_sets(v.overlap_sets("order_part"), "set_id", "item_id")
-    firsts = overlap._first_sets(sets, overlap.identical_sets(sets))
+    firsts = overlap.first_sets(sets, overlap.identical_sets(sets))
     pairs = overlap.pair_overlap(firsts, subsets=True)
     return pairs.where(F.col("overlap") == F.least("n1", "n2")).select(
         "set1", "set2", "n1", "n2", "overlap"

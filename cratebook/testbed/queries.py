@@ -1,6 +1,11 @@
 """All registered queries."""
 
-from cratebook.testbed import queries_library, queries_overlap  # noqa: F401
+from cratebook.testbed import (  # noqa: F401
+    queries_library,
+    queries_overlap,
+    queries_plays,
+    queries_sets,
+)
 from cratebook.testbed.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -151,18 +152,23 @@ def archive_name(
     owner = _cased(F.lit(style.owner), style)
     joint = F.lit(SEPARATORS[style.prefix_separator])
     text = template or (style.monthly_template if month is not None else style.yearly_template)
-    result = F.lit(text)
-    if style.owner:
-        result = F.replace(result, F.lit("{owner}{prefix}"), F.concat(owner, joint, prefix))
-    for mark, value in {
+    values = {
         "{owner}": owner,
         "{prefix}": prefix,
         "{genre}": _cased(F.lit(genre), style),
         "{mon}": date,
         "{year}": tail_year,
-    }.items():
-        result = F.replace(result, F.lit(mark), value)
-    return result
+    }
+    if style.owner:
+        values["{owner}{prefix}"] = F.concat(owner, joint, prefix)
+    return fill_template(text, values)
+
+
+def fill_template(template: str, values: dict[str, Column]) -> Column:
+    """Concatenation of the fixed pieces of ``template`` and the values of its marks."""
+    marks = sorted(values, key=len, reverse=True)
+    pieces = re.split("(" + "|".join(re.escape(m) for m in marks) + ")", template)
+    return F.concat(*[values[p] if p in values else F.lit(p) for p in pieces if p], F.lit(""))
 
 
 def renamed(name: Column, changes: dict[str, str]) -> Column:

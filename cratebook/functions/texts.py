@@ -7,8 +7,9 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from cratebook.functions.names import MONTHS_SHORT, OWNER, PREFIXES
+from cratebook.functions.names import MONTHS_SHORT, OWNER, PREFIXES, fill_template
 
 # Length limits of a description and of its mood line.
 MAX_LENGTH = 300
@@ -30,11 +31,11 @@ def archive_description(
     genre: Column | None = None,
 ) -> Column:
     values = {"description": description, "period": period, "date": date, "type": kind, "genre": genre}
-    result = F.lit(template)
-    for mark, value in values.items():
-        text = F.lit("") if value is None else F.coalesce(value, F.lit(""))
-        result = F.replace(result, F.lit("{" + mark + "}"), text)
-    return result
+    filled = {
+        "{" + mark + "}": F.lit("") if value is None else F.coalesce(value, F.lit(""))
+        for mark, value in values.items()
+    }
+    return fill_template(template, filled)
 
 
 def base_line(name: Column, owner: str = OWNER, prefixes: dict[str, str] | None = None) -> Column:
@@ -61,10 +62,15 @@ def base_line(name: Column, owner: str = OWNER, prefixes: dict[str, str] | None
     return F.coalesce(*options)
 
 
+# White space of any script.
+SPACE = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]"
+
+
 def strip_parens(text: Column) -> Column:
-    for shape in (r"\s*\([^)]*\)\s*", r"\s*\[[^\]]*\]\s*"):
-        text = F.regexp_replace(text, shape, " ")
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    """Without round and square bracketed parts; white space collapsed."""
+    for shape in (r"\([^)]*\)", r"\[[^\]]*\]"):
+        text = F.regexp_replace(text, f"{SPACE}*{shape}{SPACE}*", " ")
+    return F.trim(F.regexp_replace(text, f"{SPACE}+", " "))
 
 
 def simple_description(line: Column) -> Column:
@@ -75,43 +81,40 @@ def _ellipsis(text: Column, limit: int) -> Column:
     return F.concat(F.substring(text, 1, limit - 3), F.lit("..."))
 
 
-def _shorten(text: Column, limit: int, keep_short_rest: bool) -> Column:
-    """Cut at ``limit``; the first line stays whole when it leaves room."""
-    at = F.instr(text, "\n")
-    first = F.when(at > 0, F.substring(text, F.lit(1), at - 1)).otherwise(text)
-    rest = F.when(at > 0, F.substring(text, at + 1, F.length(text))).otherwise(F.lit(""))
-    room = F.lit(limit - 5) - F.length(first)
-    two_lines = F.concat(first, F.lit("\n"), F.substring(rest, F.lit(1), room), F.lit("..."))
-    usable = (at > 0) & (F.length(first) <= limit - 10) & (room > 0)
-    if not keep_short_rest:
-        usable = usable & (F.length(rest) > room)
-        fallback = F.when(
-            F.length(first) <= limit - 10, _ellipsis(first, limit)
-        ).otherwise(_ellipsis(text, limit))
-    else:
-        fallback = _ellipsis(text, limit)
-    return F.when(F.length(text) <= limit, text).when(usable, two_lines).otherwise(fallback)
-
-
 def clean_description(text: Column, limit: int = MAX_LENGTH) -> Column:
-    """Control characters removed, cut at ``limit``; null becomes empty."""
+    """Control characters removed, cut at ``limit``; null becomes empty.
+
+    When cut, the first line stays whole if it leaves room for more.
+    """
     cleaned = F.regexp_replace(F.coalesce(text, F.lit("")), CONTROL, "")
-    return _shorten(cleaned, limit, keep_short_rest=True)
+    first = F.substring_index(cleaned, "\n", 1)
+    size = F.length(first)
+    several = (size < F.length(cleaned)) & (size <= limit - 10)
+    # First line, line break and as much of the rest as fits.
+    two_lines = F.concat(F.substring(cleaned, 1, limit - 4), F.lit("..."))
+    return (
+        F.when(F.length(cleaned) <= limit, cleaned)
+        .when(several, two_lines)
+        .otherwise(_ellipsis(cleaned, limit))
+    )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(text: pd.Series) -> pd.Series:
     """Canonical composition; the one text step without a built-in expression."""
     return text.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
 
 def publishable_description(text: Column, limit: int = MAX_LENGTH, compose: bool = True) -> Column:
-    """Composed, stripped of characters that a service may refuse, cut at ``limit``."""
+    """Composed, stripped of characters that a service may refuse, cut at ``limit``.
+
+    Line breaks are control characters, so one line is left.
+    """
     value = F.coalesce(text, F.lit(""))
     if compose:
         value = nfc(value)
     value = F.regexp_replace(value, UNSAFE, "")
-    return F.substring(_shorten(value, limit, keep_short_rest=False), 1, limit)
+    return F.when(F.length(value) <= limit, value).otherwise(_ellipsis(value, limit))
 
 
 def mood_tags(moods: Column, max_tags: int = 5, limit: int = MOOD_LENGTH) -> Column:

@@ -3,6 +3,7 @@
 from cratebook.testbed import (  # noqa: F401
     queries_library,
     queries_overlap,
+    queries_plans,
     queries_plays,
     queries_sets,
 )

@@ -21,24 +21,25 @@ MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
 
 
-def collection_name(key: Column, fallback: Column) -> Column:
-    slot = key % 84
-    year = F.expr("1995 + (c_custkey % 84) div 12")
-    month = slot % 12 + 1
+def name_parts(spark: SparkSession) -> DataFrame:
+    """(slot, fixed, lead) for key % 168: a whole name, or the start of one that ends in
+    the key. A table instead of one long expression, which every filter on names
+    would repeat."""
+    slot = F.col("id")
+    month = (slot % 84) % 12 + 1
+    year = F.expr("1995 + (id % 84) div 12").cast("string")
     mon = F.substring(F.lit(MONTHS), (month * 3 - 2).cast("int"), F.lit(3))
-    yy = F.substring(year.cast("string"), 3, 2)
-    text = key.cast("string")
-    kind = key % 8
-    return (
+    yy = F.substring(year, 3, 2)
+    kind = slot % 8
+    fixed = (
         F.when(kind == 0, F.concat(F.lit("AJFinds"), mon, yy))
         .when(kind == 1, F.concat(F.lit("AJTop"), yy))
         .when(kind == 2, F.concat(F.lit("AJDiscovery"), yy))
         .when(kind == 3, F.concat(mon, F.lit("'"), yy))
-        .when(kind == 4, F.concat(year.cast("string"), F.lit("-"), F.lpad(month.cast("string"), 2, "0")))
-        .when(kind == 5, F.concat(F.lit("New rock "), text))
-        .when(kind == 6, F.concat(F.lit("Liked "), text))
-        .otherwise(fallback)
+        .when(kind == 4, F.concat(year, F.lit("-"), F.lpad(month.cast("string"), 2, "0")))
     )
+    lead = F.when(kind == 5, "New rock ").when(kind == 6, "Liked ")
+    return spark.range(168).select(slot.alias("slot"), fixed.alias("fixed"), lead.alias("lead"))
 
 
 class VirtualLibrary:
@@ -69,9 +70,10 @@ class VirtualLibrary:
         return (
             self.table("customer")
             .join(state, key == F.col("o_custkey"), "left")
+            .join(F.broadcast(name_parts(self.spark)), key % 168 == F.col("slot"))
             .select(
                 key.alias("playlist_id"),
-                collection_name(key, F.col("c_name")).alias("name"),
+                F.coalesce("fixed", F.concat("lead", key.cast("string")), "c_name").alias("name"),
                 F.concat(F.lit("Segment "), F.lower("c_mktsegment")).alias("description"),
                 F.lit(False).alias("public"),
                 F.lit(False).alias("collaborative"),

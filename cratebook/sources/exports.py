@@ -10,17 +10,18 @@ from cratebook.functions import times
 from cratebook.functions.music import uri_item
 
 # File name patterns of the export.
-BASIC_FILES = "StreamingHistory_music_*.json"
-EXTENDED_FILES = "Streaming_History_Audio_*.json"
-SEARCH_FILE = "SearchQueries.json"
-FOLLOW_FILE = "Follow.json"
-LIBRARY_FILE = "YourLibrary.json"
-WRAPPED_FILES = "Wrapped*.json"
-TECH_FILES = {
+FILES = {
+    "basic": "StreamingHistory_music_*.json",
+    "extended": "Streaming_History_Audio_*.json",
+    "search": "SearchQueries.json",
+    "follow": "Follow.json",
+    "library": "YourLibrary.json",
+    "wrapped": "Wrapped*.json",
     "playback_errors": "PlaybackError.json",
     "playback_retries": "PlaybackRetry.json",
     "webapi_events": "WebapiEvent.json",
 }
+TECH_TABLES = ["playback_errors", "playback_retries", "webapi_events"]
 
 
 def read_arrays(spark: SparkSession, folder: str, pattern: str, schema: str) -> DataFrame:
@@ -61,12 +62,12 @@ def extended_history(records: DataFrame, minimum: int = schemas.MIN_PLAY_MS) ->
     return times.with_time_parts(named).withColumn("source", F.lit("extended"))
 
 
-def load_basic(spark: SparkSession, folder: str) -> DataFrame:
-    return basic_history(read_arrays(spark, folder, BASIC_FILES, schemas.BASIC_HISTORY))
+def load_basic(spark: SparkSession, folder: str, pattern: str = FILES["basic"]) -> DataFrame:
+    return basic_history(read_arrays(spark, folder, pattern, schemas.BASIC_HISTORY))
 
 
-def load_extended(spark: SparkSession, folder: str) -> DataFrame:
-    return extended_history(read_arrays(spark, folder, EXTENDED_FILES, schemas.EXTENDED_HISTORY))
+def load_extended(spark: SparkSession, folder: str, pattern: str = FILES["extended"]) -> DataFrame:
+    return extended_history(read_arrays(spark, folder, pattern, schemas.EXTENDED_HISTORY))
 
 
 def search_queries(records: DataFrame) -> DataFrame:
@@ -81,29 +82,26 @@ def search_queries(records: DataFrame) -> DataFrame:
     )
 
 
-def load_search(spark: SparkSession, folder: str) -> DataFrame:
-    return search_queries(read_arrays(spark, folder, SEARCH_FILE, schemas.SEARCH_FILE))
+def load_search(spark: SparkSession, folder: str, pattern: str = FILES["search"]) -> DataFrame:
+    return search_queries(read_arrays(spark, folder, pattern, schemas.SEARCH_FILE))
 
 
 def follow_data(records: DataFrame) -> DataFrame:
     """(user, relationship) from the three lists."""
-    lists = {"following": "userIsFollowing", "followed_by": "userIsFollowedBy", "blocking": "userIsBlocking"}
-    pairs = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.coalesce(F.col(field), F.array().cast("array<string>")),
-                    lambda u, kind=kind: F.struct(u.alias("user"), F.lit(kind).alias("relationship")),
-                )
-                for kind, field in lists.items()
-            ]
-        )
+    def pairs(kind: str, field: str) -> Column:
+        users = F.coalesce(F.col(field), F.array().cast("array<string>"))
+        return F.transform(users, lambda u: F.struct(u.alias("user"), F.lit(kind).alias("relationship")))
+
+    everyone = F.concat(
+        pairs("following", "userIsFollowing"),
+        pairs("followed_by", "userIsFollowedBy"),
+        pairs("blocking", "userIsBlocking"),
     )
-    return records.select(F.inline(pairs))
+    return records.select(F.inline(everyone))
 
 
-def load_follow(spark: SparkSession, folder: str) -> DataFrame:
-    return follow_data(read_arrays(spark, folder, FOLLOW_FILE, schemas.FOLLOW_FILE))
+def load_follow(spark: SparkSession, folder: str, pattern: str = FILES["follow"]) -> DataFrame:
+    return follow_data(read_arrays(spark, folder, pattern, schemas.FOLLOW_FILE))
 
 
 def library_snapshot(records: DataFrame) -> DataFrame:
@@ -124,8 +122,8 @@ def library_snapshot(records: DataFrame) -> DataFrame:
     )
 
 
-def load_library(spark: SparkSession, folder: str) -> DataFrame:
-    return library_snapshot(read_arrays(spark, folder, LIBRARY_FILE, schemas.LIBRARY_FILE))
+def load_library(spark: SparkSession, folder: str, pattern: str = FILES["library"]) -> DataFrame:
+    return library_snapshot(read_arrays(spark, folder, pattern, schemas.LIBRARY_FILE))
 
 
 def tech_log(records: DataFrame) -> DataFrame:
@@ -140,15 +138,17 @@ def tech_log(records: DataFrame) -> DataFrame:
     )
 
 
-def load_tech_log(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return tech_log(read_arrays(spark, folder, TECH_FILES[table], schemas.TECH_LOG))
+def load_tech_log(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    return tech_log(read_arrays(spark, folder, pattern, schemas.TECH_LOG))
 
 
-def load_wrapped(spark: SparkSession, folder: str, preferred: str = "Wrapped2024.json") -> DataFrame:
+def load_wrapped(
+    spark: SparkSession, folder: str, preferred: str = "Wrapped2024.json", pattern: str = FILES["wrapped"]
+) -> DataFrame:
     """(file, body): the preferred year if present, else the first file by name."""
     texts = (
         spark.read.option("wholetext", True)
-        .option("pathGlobFilter", WRAPPED_FILES)
+        .option("pathGlobFilter", pattern)
         .text(folder)
         .select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("body"))
     )

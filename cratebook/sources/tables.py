@@ -78,31 +78,46 @@ def write_history(history: DataFrame, path: str) -> str:
     return path
 
 
-def load_history(spark: SparkSession, account: str, extended: str) -> DataFrame:
-    return history_union(exports.load_basic(spark, account), exports.load_extended(spark, extended))
+def load_history(
+    spark: SparkSession, account: str, extended: str, patterns: Mapping[str, str] = exports.FILES
+) -> DataFrame:
+    return history_union(
+        exports.load_basic(spark, account, patterns["basic"]),
+        exports.load_extended(spark, extended, patterns["extended"]),
+    )
 
 
 def _loaders(
-    spark: SparkSession, account: str, extended: str, tech: str
+    spark: SparkSession, account: str, extended: str, tech: str, patterns: Mapping[str, str]
 ) -> Mapping[str, Callable[[], DataFrame]]:
     loaders: dict[str, Callable[[], DataFrame]] = {
-        "streaming_history": lambda: load_history(spark, account, extended),
-        "search_queries": lambda: exports.load_search(spark, account),
-        "wrapped_data": lambda: exports.load_wrapped(spark, account),
-        "follow_data": lambda: exports.load_follow(spark, account),
-        "library_snapshot": lambda: exports.load_library(spark, account),
+        "streaming_history": lambda: load_history(spark, account, extended, patterns),
+        "search_queries": lambda: exports.load_search(spark, account, patterns["search"]),
+        "wrapped_data": lambda: exports.load_wrapped(spark, account, pattern=patterns["wrapped"]),
+        "follow_data": lambda: exports.load_follow(spark, account, patterns["follow"]),
+        "library_snapshot": lambda: exports.load_library(spark, account, patterns["library"]),
     }
-    for table in exports.TECH_FILES:
-        loaders[table] = lambda table=table: exports.load_tech_log(spark, tech, table)
+    for table in exports.TECH_TABLES:
+        loaders[table] = lambda table=table: exports.load_tech_log(spark, tech, patterns[table])
     return loaders
 
 
 def sync_exports(
-    spark: SparkSession, account: str, extended: str, tech: str, folder: str, force: bool = False
+    spark: SparkSession,
+    account: str,
+    extended: str,
+    tech: str,
+    folder: str,
+    force: bool = False,
+    patterns: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Load and save every export table that is not there yet; (table, status, rows)."""
+    """Load and save every export table that is not there yet; (table, status, rows).
+
+    ``patterns`` replaces file name patterns of the export.
+    """
+    patterns = {**exports.FILES, **(patterns or {})}
     status = []
-    for table, load in _loaders(spark, account, extended, tech).items():
+    for table, load in _loaders(spark, account, extended, tech, patterns).items():
         path = table_path(folder, table)
         if force or not exists(spark, path):
             save_table(load(), folder, table)

@@ -6,6 +6,7 @@ from cratebook.testbed import (  # noqa: F401
     queries_plans,
     queries_plays,
     queries_sets,
+    queries_sources,
 )
 from cratebook.testbed.registry import ORACLES, QUERIES
 

@@ -480,6 +480,18 @@ def restore_plan(v):
     return protect.restore_plan(records, items, "8_20011231_000000", F.lit(-1).cast("bigint"))
 
 
+@entry(
+    "restore_counts",
+    """SELECT playlist_id, count(*) AS to_restore, count(*) AS to_clear FROM playlist_tracks
+WHERE playlist_id = 16 GROUP BY 1""",
+    ("playlist_tracks",),
+)
+def restore_counts(v):
+    records, items = backup_of(v)
+    plan = protect.restore_plan(records, items, "16_20011231_000000")
+    return protect.restore_counts(plan, v.playlist_tracks())
+
+
 @entry(
     "backup_catalog",
     f"""WITH r AS (SELECT c_custkey AS playlist_id, max(o_orderdate) AS t FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1)

@@ -229,17 +229,11 @@ def rerank_by_plays(v):
 
 @entry(
     "history_sort",
-    """SELECT CAST(row_number() OVER (ORDER BY timestamp) AS BIGINT) AS nr, event_id FROM plays_short""",
+    f"SELECT event_id, {second_sql('timestamp')} AS timestamp FROM plays_short ORDER BY plays_short.timestamp",
     ("plays_short",),
 )
 def history_sort(v):
-    """The sorted history, numbered through counts per day."""
-    from cratebook.operators.grouping import counted_row_number
-
-    one = plays.sorted_history(v.plays_short()).withColumn("all", F.lit(1))
-    return counted_row_number(one, ["all"], F.to_date("timestamp"), ["timestamp"], name="nr").select(
-        "nr", "event_id"
-    )
+    return plays.sorted_history(v.plays_short()).select("event_id", second("timestamp").alias("timestamp"))
 
 
 @entry(

@@ -113,11 +113,17 @@ def greedy_removals(pairs: DataFrame) -> DataFrame:
             break
         fired = marked.where("fires").drop("fires")
         fired_parts.append(fired)
+        # A removed set is out of all later pairs. Pairs before its removal that would
+        # keep it are still open; before its removal it was never threatened.
         gone = fired.select("loser")
+        left_at = fired.select(F.col("loser").alias("keeper"), place.alias("removed_at"))
         rest = marked.where(~F.col("fires")).drop("fires")
-        live = rest.join(gone, "loser", "left_anti").join(
-            gone.withColumnRenamed("loser", "keeper"), "keeper", "left_anti"
-        ).select(*pairs.columns)
+        live = (
+            rest.join(gone, "loser", "left_anti")
+            .join(left_at, "keeper", "left")
+            .where(F.col("removed_at").isNull() | (place < F.col("removed_at")))
+            .select(*pairs.columns)
+        )
     result = fired_parts[0] if fired_parts else marked.drop("fires")
     for part in fired_parts[1:]:
         result = result.unionByName(part)

@@ -26,16 +26,13 @@ def monthly_playlists(playlists: DataFrame) -> DataFrame:
 def find_by_name(playlists: DataFrame, name: str) -> DataFrame:
     """Exactly one row, or the job fails when it runs."""
     hits = playlists.where(F.col("name") == name)
-    single = hits.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
-    counted = F.coalesce(single.select("n").scalar(), F.lit(0))
-    verdict = F.when(counted == 1, True).otherwise(
-        F.raise_error(F.concat(counted.cast("string"), F.lit(f" collections are named {name}")))
-    )
-    probe = playlists.sparkSession.range(1).where(verdict.cast("boolean"))
-    # The probe is one fixed row: an equi-join keeps the check in the plan.
-    return (
-        probe.select(F.lit(name).alias("name")).join(hits, "name", "left").select(*playlists.columns)
+    # A global aggregate has one row even without hits, so the check always runs.
+    single = hits.agg(
+        F.count(F.lit(1)).alias("n"), F.any_value(F.struct(*playlists.columns)).alias("found")
     )
+    complaint = F.concat(F.col("n").cast("string"), F.lit(f" collections are named {name}"))
+    checked = F.when(F.col("n") == 1, F.col("found")).otherwise(F.raise_error(complaint))
+    return single.select(checked.alias("found")).select("found.*")
 
 
 def _distinct_keys(keys: DataFrame, on: str | Sequence[str]) -> DataFrame:

@@ -243,7 +243,8 @@ def health_score(
         + F.when(genres >= 5, F.least(genres - 5, F.lit(10))).otherwise(0)
         - F.when(F.col("no_popularity") > rows * 0.1, 5).otherwise(0)
     )
-    clamped = F.greatest(F.lit(0), F.least(F.lit(100), score))
+    # least and greatest skip nulls, so empty collections are told apart first.
+    clamped = F.when(rows.isNull(), 0).otherwise(F.greatest(F.lit(0), F.least(F.lit(100), score)))
     return (
         playlists.select("playlist_id")
         .join(counts, "playlist_id", "left")
@@ -253,7 +254,7 @@ def health_score(
             F.coalesce(rows, F.lit(0)).cast("bigint").alias("track_count"),
             F.coalesce(repeats, F.lit(0)).cast("bigint").alias("duplicates"),
             genres.cast("bigint").alias("unique_genres"),
-            F.coalesce(clamped, F.lit(0)).cast("bigint").alias("score"),
+            clamped.cast("bigint").alias("score"),
         )
     )
 

@@ -410,7 +410,7 @@ n AS (SELECT playlist_id, primary_artist_id, count(DISTINCT track_id) AS n FROM
       WHERE primary_artist_id IS NOT NULL GROUP BY 1, 2),
 p AS (SELECT playlist_id, n, n / sum(n) OVER (PARTITION BY playlist_id) AS p FROM n),
 c AS (SELECT playlist_id, round(sum(n * n) / (CAST(sum(n) AS DOUBLE) * sum(n)), 6) AS artist_hhi,
-        round(-sum(p * ln(p + 1e-12)), 6) AS artist_entropy
+        round(-sum(p * ln(p + 1e-12)), 6) + 0.0 AS artist_entropy
       FROM p GROUP BY 1)"""
 
 

@@ -119,8 +119,8 @@ def library_wide(
     if "uri" in items.columns:
         items = items.withColumnRenamed("uri", "uri_track")
     # Track and artist are joined first: one row per track, far smaller than memberships.
-    described = items.join(primary_artist(track_artists, artists), "track_id", "left")
-    # A membership without a known track may still have a credited artist.
+    # A full join: a membership of an unknown track may still have a credited artist.
+    described = items.join(primary_artist(track_artists, artists), "track_id", "full")
     return (
         playlist_tracks.join(collections, "playlist_id", "left").join(described, "track_id", "left")
     )

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from cratebook.operators.grouping import GROUP_LIMIT, counted_row_number
 from cratebook.session import cut_lineage
 
-# Slack for bounds computed in floating point; final tests are done on exact counts.
-EPS = 1e-9
+# Relative slack, a few units in the last place, for bounds computed in floating point.
+SLACK = 2e-15
 ROWS_PER_TILE = 50_000
 # Sets up to this size travel as one array through the join.
 SHORT_SET = 64
@@ -74,11 +74,6 @@ def identical_sets(sets: DataFrame, first_by: DataFrame | None = None) -> DataFr
     )
 
 
-def _at_least(share: float, n: Column) -> Column:
-    """Smallest whole number not below ``share * n``."""
-    return F.ceil(F.lit(share) * n - EPS)
-
-
 def place_items(sets: DataFrame, group_limit: int = GROUP_LIMIT) -> DataFrame:
     """Adds set size ``n``, document frequency ``df`` and rarest-first position ``pos``.
 
@@ -108,12 +103,16 @@ class Bounds:
     * ``jaccard``: overlap / union at least this.
     * ``subsets``: the smaller set lies inside the larger.
     * ``containment``: overlap / smaller at least this, larger >= size_ratio x smaller.
+
+    ``strict`` asks for more than the bound instead of at least; it shortens the
+    prefixes of sets that can meet a bound exactly.
     """
 
     jaccard: float | None = None
     subsets: bool = False
     containment: float | None = None
     size_ratio: float = 1.0
+    strict: bool = False
 
     def __post_init__(self) -> None:
         if self.jaccard is None and not self.subsets and self.containment is None:
@@ -121,19 +120,25 @@ class Bounds:
         if any(b is not None and b <= 0 for b in (self.jaccard, self.containment)):
             raise ValueError("bounds must be positive")
 
+    def needed(self, share: float, n: Column) -> Column:
+        """Smallest number of items that is at least (or more than) ``share * n``."""
+        if self.strict:
+            return F.floor(F.lit(share * (1 + SLACK)) * n) + 1
+        return F.ceil(F.lit(share * (1 - SLACK)) * n)
+
     def small_prefix(self, n: Column) -> Column:
         """Items of the smaller set, rarest first, one of which a wanted pair shares."""
         options = [F.lit(1)]
         if self.jaccard is not None:
-            options.append(n - _at_least(2 * self.jaccard / (1 + self.jaccard), n) + 1)
+            options.append(n - self.needed(2 * self.jaccard / (1 + self.jaccard), n) + 1)
         if self.containment is not None:
-            options.append(n - _at_least(self.containment, n) + 1)
+            options.append(n - self.needed(self.containment, n) + 1)
         return F.greatest(*options, F.lit(1))
 
     def large_prefix(self, n: Column) -> Column:
         if self.subsets or self.containment is not None:
             return n
-        return n - _at_least(self.jaccard, n) + 1
+        return n - self.needed(self.jaccard, n) + 1
 
     def possible(self, n1: Column, n2: Column, p1: Column, p2: Column) -> Column:
         """Can a pair still be wanted whose first shared item lies at p1 and p2?"""
@@ -143,30 +148,30 @@ class Bounds:
         if self.jaccard is not None:
             t = self.jaccard
             ways.append(
-                (p1 <= n1 - _at_least(2 * t / (1 + t), n1) + 1)
-                & (p2 <= n2 - _at_least(t, n2) + 1)
-                & (n1 >= t * n2 - EPS)
-                & (reachable >= t / (1 + t) * (n1 + n2) - EPS)
+                (p1 <= n1 - self.needed(2 * t / (1 + t), n1) + 1)
+                & (p2 <= n2 - self.needed(t, n2) + 1)
+                & (n1 >= t * (1 - SLACK) * n2)
+                & (reachable >= self.needed(t / (1 + t), n1 + n2))
             )
         if self.subsets:
             ways.append((p1 == 1) & (n2 - p2 >= n1 - 1))
         if self.containment is not None:
             ways.append(
-                (p1 <= n1 - _at_least(self.containment, n1) + 1)
-                & (n2 >= self.size_ratio * n1 - EPS)
-                & (reachable >= self.containment * n1 - EPS)
+                (p1 <= n1 - self.needed(self.containment, n1) + 1)
+                & (n2 >= self.size_ratio * (1 - SLACK) * n1)
+                & (reachable >= self.needed(self.containment, n1))
             )
         return reduce(or_, ways)
 
     def holds(self, n1: Column, n2: Column, overlap: Column) -> Column:
         ways: list[Column] = []
         if self.jaccard is not None:
-            ways.append(overlap >= self.jaccard * (n1 + n2 - overlap) - EPS)
+            ways.append(overlap >= self.jaccard * (1 - SLACK) * (n1 + n2 - overlap))
         if self.subsets:
             ways.append(overlap == n1)
         if self.containment is not None:
             ways.append(
-                (overlap >= self.containment * n1 - EPS) & (n2 >= self.size_ratio * n1 - EPS)
+                (overlap >= self.containment * (1 - SLACK) * n1) & (n2 >= self.size_ratio * (1 - SLACK) * n1)
             )
         return reduce(or_, ways)
 

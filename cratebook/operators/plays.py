@@ -178,7 +178,9 @@ def recent_listening(
     track: str = "track_name",
 ) -> DataFrame:
     """(section, rank, label, value) over the last ``days`` days."""
-    recent = history.where(F.col("timestamp").cast("timestamp") >= times.days_before(as_of, days))
+    # The bound takes the column's own type, so that the scan can use it.
+    start = times.days_before(as_of, days).cast(dict(history.dtypes)["timestamp"])
+    recent = history.where(F.col("timestamp") >= start)
 
     def top(column: Column, section: str, limit: int) -> DataFrame:
         counts = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from cratebook.session import cut_lineage
 # Band limits and size ratios.
 HIGH, NEAR, SIMILAR = 0.7, 0.5, 0.4
 CANDIDATE_RATIO, CANDIDATE_SHARE = 3.0, 0.5
+MAX_PARTS = 32
 
 
 @dataclass(frozen=True)
@@ -48,6 +50,7 @@ def find_redundancy(members: DataFrame, names: DataFrame) -> Redundancy:
         subsets=True,
         containment=CANDIDATE_SHARE,
         size_ratio=CANDIDATE_RATIO,
+        strict=True,
     )
     low, high = F.least("n1", "n2"), F.greatest("n1", "n2")
     jaccard = F.col("jaccard")
@@ -113,6 +116,9 @@ def greedy_removals(pairs: DataFrame) -> DataFrame:
             break
         fired = marked.where("fires").drop("fires")
         fired_parts.append(fired)
+        if len(fired_parts) == MAX_PARTS:
+            # A long chain of rounds must not become one plan of as many branches.
+            fired_parts = [cut_lineage(reduce(DataFrame.unionByName, fired_parts))]
         # A removed set is out of all later pairs. Pairs before its removal that would
         # keep it are still open; before its removal it was never threatened.
         gone = fired.select("loser")
@@ -124,10 +130,7 @@ def greedy_removals(pairs: DataFrame) -> DataFrame:
             .where(F.col("removed_at").isNull() | (place < F.col("removed_at")))
             .select(*pairs.columns)
         )
-    result = fired_parts[0] if fired_parts else marked.drop("fires")
-    for part in fired_parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, fired_parts) if fired_parts else marked.drop("fires")
 
 
 def _without(pairs: DataFrame, removed: DataFrame, *ends: str) -> DataFrame:

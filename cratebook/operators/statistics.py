@@ -230,6 +230,7 @@ def health_score(
     counts = _health_counts(playlist_tracks, tracks)
     variety = (
         playlist_tracks.select("playlist_id", "track_id")
+        .distinct()
         .join(tracks.select("track_id", F.explode("genres").alias("genre")), "track_id")
         .groupBy("playlist_id")
         .agg(F.countDistinct("genre").alias("n_genres"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,11 +19,10 @@ def table_path(folder: str, key: str, fmt: str = "parquet") -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether Spark finds anything below ``path``, on any file system it knows."""
-    try:
-        return bool(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).inputFiles())
-    except AnalysisException:
-        return False
+    """Asked of the file system the path belongs to; nothing is listed or read."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
 
 
 def load_table(spark: SparkSession, folder: str, key: str, fmt: str = "parquet") -> DataFrame:

@@ -235,3 +235,37 @@ def test_no_cartesian_product(spark):
     sets = distinct_sets(make_sets(1))
     plan = overlap.pair_overlap(frame(spark, sets), jaccard=0.5)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("bound", [1 / 3, 0.333333, 0.4, 0.5, 2 / 3])
+@pytest.mark.parametrize("strict", [False, True])
+def test_bounds_that_are_met_exactly(spark, bound, strict):
+    sets = distinct_sets(make_sets(11, 90))
+    got = overlap.pair_overlap(frame(spark, sets), jaccard=bound, strict=strict)
+    got = got.where(F.col("jaccard") > bound) if strict else got.where(F.col("jaccard") >= bound)
+    assert {(r["set1"], r["set2"]): r["overlap"] for r in got.collect()} == brute(
+        sets, lambda n, m, x: x / (n + m - x) > bound if strict else x / (n + m - x) >= bound
+    )
+
+
+def test_a_common_item_stays_out_of_the_prefix(spark):
+    """Sets that share only one very common item are never compared."""
+    sets = {i: frozenset([0, 1000 + i]) for i in range(1, 300)}
+    placed = overlap.place_items(frame(spark, sets))
+    bounds = overlap.Bounds(jaccard=0.4, subsets=True, containment=0.5, size_ratio=3.0, strict=True)
+    small, large = overlap._sides(placed, bounds, 50)
+    assert small.where("item_id = 0").count() == 0
+    assert overlap._meet(small, large, bounds).count() == 0
+
+
+def test_long_chains_are_compacted(spark, monkeypatch):
+    monkeypatch.setattr(redundancy, "MAX_PARTS", 3)
+    # Each pair can only be decided after the one before it.
+    rows = [(i, i + 1, i + 1, i) for i in range(12)]
+    gone, expected = set(), set()
+    for a, b, loser, _ in rows:
+        if a not in gone and b not in gone:
+            gone.add(loser)
+            expected.add((a, b))
+    df = spark.createDataFrame(rows, "set1 bigint, set2 bigint, loser bigint, keeper bigint")
+    assert {(r["set1"], r["set2"]) for r in redundancy.greedy_removals(df).collect()} == expected

@@ -133,6 +133,11 @@ def greedy_removals(pairs: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, fired_parts) if fired_parts else marked.drop("fires")
 
 
+def _one_place(value: Column) -> Column:
+    """Text with one decimal; a tie goes to the even digit."""
+    return F.format_string("%.1f", F.bround(value, 1))
+
+
 def _without(pairs: DataFrame, removed: DataFrame, *ends: str) -> DataFrame:
     for end in ends:
         pairs = pairs.join(removed.select(F.col("loser").alias(end)), end, "left_anti")
@@ -187,8 +192,8 @@ def consolidation_suggestions(found: Redundancy) -> DataFrame:
 
     loser_n = F.when(F.col("loser") == F.col("set1"), F.col("n1")).otherwise(F.col("n2"))
     missing = loser_n - F.col("overlap")
-    percent = F.format_string("%.1f", F.col("overlap") / loser_n * 100)
-    alike = F.format_string("%.1f", F.col("jaccard") * 100)
+    percent = _one_place(F.col("overlap") / loser_n * 100)
+    alike = _one_place(F.col("jaccard") * 100)
     exact = copies.select(
         F.lit(1).alias("phase"),
         F.lit("delete").alias("action"),

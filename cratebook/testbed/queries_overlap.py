@@ -164,23 +164,24 @@ def suggestions_sql(family: str) -> str:
         + pairs_sql(family, LONGEST)[5:]
         + BANDS_SQL
         + """,
-d1 AS (SELECT set2 AS loser, set1 AS keeper, 1 AS phase, 0 AS lost FROM cp),
+d1 AS (SELECT set2 AS loser, set1 AS keeper, 1 AS phase, 0 AS lost, n AS ln, n AS kn, 1.0 AS jaccard FROM cp),
 sub AS (SELECT CASE WHEN n1 < n2 THEN set1 ELSE set2 END AS loser, CASE WHEN n1 < n2 THEN set2 ELSE set1 END AS keeper,
+    least(n1, n2) AS ln, greatest(n1, n2) AS kn, jaccard,
     row_number() OVER (PARTITION BY CASE WHEN n1 < n2 THEN set1 ELSE set2 END ORDER BY set1, set2) AS k
   FROM c WHERE is_subset),
-d2 AS (SELECT loser, keeper, 2 AS phase, 0 AS lost FROM sub WHERE k = 1),
+d2 AS (SELECT loser, keeper, 2 AS phase, 0 AS lost, ln, kn, jaccard FROM sub WHERE k = 1),
 hp AS (SELECT row_number() OVER (ORDER BY set1, set2) AS i, set1, set2,
     CASE WHEN n1 > n2 THEN set2 ELSE set1 END AS loser, CASE WHEN n1 > n2 THEN set1 ELSE set2 END AS keeper,
-    least(n1, n2) - overlap AS lost
+    least(n1, n2) - overlap AS lost, least(n1, n2) AS ln, greatest(n1, n2) AS kn, jaccard
   FROM c WHERE band = 'high' AND set1 NOT IN (SELECT loser FROM d2) AND set2 NOT IN (SELECT loser FROM d2)),
 walk(i, gone) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[])
   UNION ALL SELECT hp.i, CASE WHEN list_contains(gone, hp.set1) OR list_contains(gone, hp.set2) THEN gone
       ELSE list_append(gone, hp.loser) END FROM walk JOIN hp ON hp.i = walk.i + 1),
-d3 AS (SELECT hp.loser, hp.keeper, 3 AS phase, hp.lost FROM walk w JOIN hp ON hp.i = w.i + 1
+d3 AS (SELECT hp.loser, hp.keeper, 3 AS phase, hp.lost, ln, kn, jaccard FROM walk w JOIN hp ON hp.i = w.i + 1
   WHERE NOT list_contains(gone, hp.set1) AND NOT list_contains(gone, hp.set2)),
 cand AS (SELECT CASE WHEN n1 < n2 THEN set1 ELSE set2 END AS loser, CASE WHEN n1 < n2 THEN set2 ELSE set1 END AS keeper,
-    least(n1, n2) - overlap AS lost, set1, set2 FROM c WHERE is_candidate),
-d5 AS (SELECT loser, keeper, 5 AS phase, lost FROM (SELECT *, row_number() OVER (PARTITION BY loser ORDER BY set1, set2) AS k
+    least(n1, n2) - overlap AS lost, least(n1, n2) AS ln, greatest(n1, n2) AS kn, jaccard, set1, set2 FROM c WHERE is_candidate),
+d5 AS (SELECT loser, keeper, 5 AS phase, lost, ln, kn, jaccard FROM (SELECT *, row_number() OVER (PARTITION BY loser ORDER BY set1, set2) AS k
   FROM cand WHERE loser NOT IN (SELECT loser FROM d2) AND loser NOT IN (SELECT loser FROM d3)) WHERE k = 1),
 alld AS (SELECT * FROM d1 UNION ALL SELECT * FROM d2 UNION ALL SELECT * FROM d3 UNION ALL SELECT * FROM d5)"""
     )
@@ -196,24 +197,21 @@ def _suggestions(family: str):
         f"consolidation_suggestions_{family}",
         suggestions_sql(family)
         + """ SELECT phase, CASE WHEN phase <= 2 THEN 'delete' ELSE 'merge' END AS action, loser AS set_id,
-  nm.name, keeper AS target_id, lost AS tracks_lost,
-  keeper IN (SELECT loser FROM alld) AS target_also_removed
-FROM alld JOIN nm ON loser = nm.set_id""",
+  nm.name, keeper AS target_id, kp.name AS target_name, lost AS tracks_lost,
+  keeper IN (SELECT loser FROM alld) AS target_also_removed,
+  CASE phase WHEN 1 THEN 'Exact duplicate of ' WHEN 2 THEN 'All ' || ln || ' tracks are in '
+    WHEN 3 THEN printf('%.1f', jaccard * 100) || '% similar, ' || printf('%.1f', (ln - lost) / ln * 100) || '% of tracks already in '
+    ELSE 'Small playlist (' || ln || ' tracks) with ' || printf('%.1f', (ln - lost) / ln * 100) || '% overlap in larger ' END
+    || '"' || kp.name || '"' || CASE WHEN phase IN (2, 5) THEN ' (' || kn || ' tracks)' ELSE '' END AS reason
+FROM alld JOIN nm ON loser = nm.set_id JOIN nm kp ON keeper = kp.set_id""",
         (family,),
     )
     def query(v):
-        return suggestions_of(v, family)[1].drop("target_name", "reason")
+        return suggestions_of(v, family)[1]
 
 
-_suggestions("nation_part")
-_suggestions("user_hour")
-
-
-# The pair-by-pair recursion is too slow for SQL on the many order pairs; the
-# result is compared with a sequential pass in tests/.
-@entry("consolidation_suggestions_order_part")
-def consolidation_suggestions_order_part(v):
-    return suggestions_of(v, "order_part")[1]
+for _family in NAMES:
+    _suggestions(_family)
 
 
 @entry(

@@ -99,10 +99,14 @@ def clean_description(text: Column, limit: int = MAX_LENGTH) -> Column:
     )
 
 
-@F.pandas_udf(StringType())
-def nfc(text: pd.Series) -> pd.Series:
+def nfc(text: Column) -> Column:
     """Canonical composition; the one text step without a built-in expression."""
-    return text.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
+
+    # Defined here so that workers receive the function itself and need no package.
+    def compose(values: pd.Series) -> pd.Series:
+        return values.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
+
+    return F.pandas_udf(compose, StringType())(text)
 
 
 def publishable_description(text: Column, limit: int = MAX_LENGTH, compose: bool = True) -> Column:

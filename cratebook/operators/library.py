@@ -146,13 +146,17 @@ def item_genres(track_artists: DataFrame, artists: DataFrame) -> DataFrame:
     return seen.groupBy("track_id").agg(F.transform(ordered, lambda g: g["genre"]).alias("genres"))
 
 
-def item_set(playlist_tracks: DataFrame, playlist_id: object) -> DataFrame:
-    return (
-        playlist_tracks.where(F.col("playlist_id") == playlist_id)
-        .select("track_uri")
-        .dropna()
-        .distinct()
-    )
+def item_set(playlist_tracks: DataFrame, playlist_id: object = None) -> DataFrame:
+    """Distinct items of every collection, or of one; missing items are skipped."""
+    if playlist_id is not None:
+        playlist_tracks = playlist_tracks.where(F.col("playlist_id") == playlist_id)
+    return playlist_tracks.select("playlist_id", "track_uri").dropna().distinct()
+
+
+def liked_items(playlist_tracks: DataFrame, playlists: DataFrame) -> DataFrame:
+    """Items of the liked collection; ``position`` holds the order they were saved in."""
+    liked = playlists.where(F.col("is_liked_songs"))
+    return keep_in(playlist_tracks, liked, "playlist_id").where(F.col("track_uri").isNotNull())
 
 
 # Alternative column names, first present one wins.

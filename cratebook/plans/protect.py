@@ -46,13 +46,18 @@ def write_backup(records: DataFrame, items: DataFrame, path: str) -> None:
         df.write.mode("append").partitionBy("backup_date").parquet(f"{path}/{name}")
 
 
-def restore_plan(records: DataFrame, items: DataFrame, backup_id: str, target_id: object = None) -> DataFrame:
-    """Rows that restore one backup into ``target_id``, or into its own collection."""
-    wanted = items.where(F.col("backup_id") == backup_id)
+def restore_plan(
+    records: DataFrame, items: DataFrame, backup_id: str | None = None, target_id: object = None
+) -> DataFrame:
+    """Rows that restore one backup, or every backup given, each into its own
+    collection or into ``target_id``."""
+    if backup_id is not None:
+        records = records.where(F.col("backup_id") == backup_id)
+        items = items.where(F.col("backup_id") == backup_id)
     target = F.col("playlist_id") if target_id is None else F.lit(target_id)
-    return wanted.join(
-        records.where(F.col("backup_id") == backup_id).select("backup_id", "playlist_name"), "backup_id"
-    ).select(target.alias("playlist_id"), "playlist_name", "track_uri", "position")
+    return items.join(records.select("backup_id", "playlist_name"), "backup_id").select(
+        target.alias("playlist_id"), "playlist_name", "track_uri", "position"
+    )
 
 
 def restore_counts(plan: DataFrame, members: DataFrame) -> DataFrame:

@@ -147,9 +147,8 @@ def load_wrapped(
 ) -> DataFrame:
     """(file, body): the preferred year if present, else the first file by name."""
     texts = (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", pattern)
-        .text(folder)
+        spark.read.option("pathGlobFilter", pattern)
+        .text(folder, wholetext=True)
         .select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("body"))
     )
     return texts.orderBy((F.col("file") != preferred).cast("int"), "file").limit(1)

@@ -9,9 +9,11 @@ from cratebook import schemas
 from cratebook.schemas import LIKED_PLAYLIST_ID
 
 
-def read_pages(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """One page per line, or one page per file; damaged pages become null rows."""
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+def read_pages(spark: SparkSession, path: str, schema: str, one_per_file: bool = False) -> DataFrame:
+    """One page per line, which splits large files; or one page per file, over any
+    number of lines. Damaged pages become null rows, which flatten to nothing."""
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
+    return reader.option("multiLine", one_per_file).json(path)
 
 
 def parse_pages(df: DataFrame, column: str, schema: str) -> DataFrame:

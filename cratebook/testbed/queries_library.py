@@ -273,11 +273,20 @@ def column_fallback(v):
 
 @entry(
     "item_set",
-    "SELECT DISTINCT track_uri FROM playlist_tracks WHERE playlist_id = 0",
+    "SELECT DISTINCT playlist_id, track_uri FROM playlist_tracks",
     ("playlist_tracks",),
 )
 def item_set(v):
-    return library.item_set(v.playlist_tracks(), 0)
+    return library.item_set(v.playlist_tracks())
+
+
+@entry(
+    "liked_items",
+    "SELECT track_uri, position FROM playlist_tracks SEMI JOIN (SELECT playlist_id FROM playlists WHERE is_liked_songs) USING (playlist_id)",
+    ("playlists", "playlist_tracks"),
+)
+def liked_items(v):
+    return library.liked_items(v.positioned_tracks(), v.playlists()).select("track_uri", "position")
 
 
 @entry(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cratebook.functions import music, names, texts, times
 from cratebook.functions.names import NameStyle
-from cratebook.operators import library, profiles
+from cratebook.operators import library, overlap, profiles
 from cratebook.plans import archive, protect, refresh, reports
 from cratebook.testbed.queries_library import LIBRARY, MOOD_SQL, MONTHS, r6, stats_of
 from cratebook.testbed.queries_overlap import pairs_sql
@@ -217,20 +217,23 @@ def rich_description(v):
 @entry(
     "description_delta",
     f"""
-WITH p AS (SELECT playlist_id, name, CASE WHEN playlist_id % 3 = 0 THEN '' WHEN playlist_id % 3 = 1 THEN name
-    ELSE description || ' (auto) [x]' END AS description, snapshot_id FROM playlists),
-w AS (SELECT p.*, CASE WHEN p.playlist_id % 3 < 2 THEN coalesce({BASE_LINE_SQL}, name)
-    ELSE substr(description, 1, length(description) - 11) END AS new_description
-  FROM p LEFT JOIN old_playlists o USING (playlist_id)
+WITH p AS (SELECT playlist_id, name, CASE WHEN starts_with(name, 'AJ') THEN ''
+    WHEN starts_with(name, 'New') OR starts_with(name, 'Liked') THEN name ELSE description || ' (auto) [x]' END AS description,
+    description AS plain, snapshot_id FROM playlists),
+o AS (SELECT playlist_id, snapshot_id FROM old_playlists),
+w AS (SELECT p.playlist_id, p.name, p.description, p.snapshot_id,
+    CASE WHEN description = '' OR description = name THEN coalesce({BASE_LINE_SQL}, name) ELSE plain END AS new_description
+  FROM p LEFT JOIN o USING (playlist_id)
   WHERE p.snapshot_id IS DISTINCT FROM o.snapshot_id AND playlist_id IN (SELECT playlist_id FROM playlist_tracks))
-SELECT * FROM w WHERE new_description <> description""".replace("LEFT JOIN old_playlists o USING (playlist_id)",
-        "LEFT JOIN (SELECT playlist_id, snapshot_id FROM old_playlists) o USING (playlist_id)"),
+SELECT * FROM w WHERE new_description <> description""",
     ("playlists", "old_playlists", "playlist_tracks"),
 )
 def description_delta(v):
-    kind = F.col("playlist_id") % 3
+    name = F.col("name")
     current = (
-        F.when(kind == 0, "").when(kind == 1, F.col("name")).otherwise(F.concat("description", F.lit(" (auto) [x]")))
+        F.when(name.startswith("AJ"), "")
+        .when(name.startswith("New") | name.startswith("Liked"), name)
+        .otherwise(F.concat("description", F.lit(" (auto) [x]")))
     )
     described = v.playlists().withColumn("description", current)
     return archive.description_delta(described, v.playlist_tracks(), v.playlists(before=OLD_STATE_CUTOFF))
@@ -471,25 +474,24 @@ def backup_snapshot(v):
 
 @entry(
     "restore_plan",
-    """SELECT CAST(-1 AS BIGINT) AS playlist_id, name AS playlist_name, track_uri, position
-FROM playlist_tracks JOIN (SELECT playlist_id, name FROM playlists) USING (playlist_id) WHERE playlist_id = 8""",
+    """SELECT playlist_id, name AS playlist_name, track_uri, position
+FROM playlist_tracks JOIN (SELECT playlist_id, name FROM playlists WHERE is_owned) USING (playlist_id)""",
     ("playlists", "playlist_tracks"),
 )
 def restore_plan(v):
-    records, items = backup_of(v)
-    return protect.restore_plan(records, items, "8_20011231_000000", F.lit(-1).cast("bigint"))
+    return protect.restore_plan(*backup_of(v))
 
 
 @entry(
     "restore_counts",
-    """SELECT playlist_id, count(*) AS to_restore, count(*) AS to_clear FROM playlist_tracks
-WHERE playlist_id = 16 GROUP BY 1""",
-    ("playlist_tracks",),
+    f"""SELECT playlist_id, count(*) AS to_restore, count(*) FILTER (WHERE added_at <= TIMESTAMP '{OLD_STATE_CUTOFF}') AS to_clear
+FROM playlist_tracks SEMI JOIN (SELECT playlist_id FROM playlists WHERE is_owned) USING (playlist_id) GROUP BY 1""",
+    ("playlists", "playlist_tracks"),
 )
 def restore_counts(v):
-    records, items = backup_of(v)
-    plan = protect.restore_plan(records, items, "16_20011231_000000")
-    return protect.restore_counts(plan, v.playlist_tracks())
+    """The backup is restored over the older state."""
+    then = v.playlist_tracks().where(F.col("added_at") <= F.lit(OLD_STATE_CUTOFF).cast("timestamp_ntz"))
+    return protect.restore_counts(protect.restore_plan(*backup_of(v)), then)
 
 
 @entry(
@@ -520,9 +522,10 @@ def list_backups(v):
 
 
 VERDICT_SQL = """WITH s AS (SELECT set_id, list(item_id ORDER BY item_id) AS l FROM order_part GROUP BY 1),
-rq AS (SELECT a.set_id AS playlist_id, a.set_id + 1 AS target_id FROM s a WHERE a.set_id % 2 = 0
-       UNION ALL SELECT set_id, first FROM (SELECT set_id, first_value(set_id) OVER (PARTITION BY l ORDER BY set_id) AS first FROM s)
-       WHERE set_id <> first AND set_id % 2 = 1),
+g AS (SELECT set_id, first_value(set_id) OVER (PARTITION BY l ORDER BY set_id) AS first FROM s),
+la AS (SELECT o_orderkey AS playlist_id, max(o_orderkey) OVER (PARTITION BY o_custkey) AS target_id FROM orders),
+rq AS (SELECT set_id AS playlist_id, first AS target_id FROM g WHERE set_id <> first
+       UNION SELECT playlist_id, target_id FROM la WHERE playlist_id <> target_id),
 mi AS (SELECT rq.playlist_id, rq.target_id, count(*) AS missing FROM rq JOIN order_part o ON o.set_id = rq.playlist_id
        ANTI JOIN order_part t ON t.set_id = rq.target_id AND t.item_id = o.item_id GROUP BY 1, 2),
 v AS (SELECT rq.*, coalesce(missing, 0) AS missing, target_id IN (SELECT playlist_id FROM rq) AS target_also_deleted
@@ -530,19 +533,17 @@ v AS (SELECT rq.*, coalesce(missing, 0) AS missing, target_id IN (SELECT playlis
 
 
 def verdicts_of(v):
-    """Even orders are to go into the next order, odd copies into their first."""
-    from cratebook.operators import overlap
-
+    """Orders are to go into the last order of their customer, copies also into their first."""
     sets = overlap.item_sets(v.overlap_sets("order_part"), "set_id", "item_id")
-    groups = overlap.identical_sets(sets)
-    even = groups.where(F.col("set_id") % 2 == 0).select(
-        F.col("set_id").alias("playlist_id"), (F.col("set_id") + 1).alias("target_id")
-    )
-    odd = overlap.copy_rows(groups).where(F.col("set2") % 2 == 1).select(
+    copies = overlap.copy_rows(overlap.identical_sets(sets)).select(
         F.col("set2").alias("playlist_id"), F.col("set1").alias("target_id")
     )
+    orders = v.table("orders").select("o_custkey", F.col("o_orderkey").alias("playlist_id"))
+    last = orders.groupBy("o_custkey").agg(F.max("playlist_id").alias("target_id"))
+    older = orders.join(last, "o_custkey").where(F.col("playlist_id") != F.col("target_id"))
+    requests = copies.unionByName(older.select("playlist_id", "target_id")).distinct()
     members = sets.withColumnsRenamed({"set_id": "playlist_id", "item_id": "track_id"})
-    return members, protect.delete_verdicts(even.unionByName(odd), members)
+    return members, protect.delete_verdicts(requests, members)
 
 
 @entry(

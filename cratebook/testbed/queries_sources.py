@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,8 +57,8 @@ def flatten_collections(v):
 
 
 def membership_pages(v, *keys):
-    """Every seventh track has lost its id."""
-    known = F.when(F.col("track_id") % 7 != 0, text("track_id"))
+    """What was added on a Sunday has lost its id."""
+    known = F.when(F.weekday("added_at") != 6, text("track_id"))
     item = F.struct(
         second("added_at").alias("added_at"),
         F.struct(F.lit("me").alias("id")).alias("added_by"),
@@ -70,7 +71,7 @@ def membership_pages(v, *keys):
 
 MEMBER_SQL = f"""SELECT CAST(playlist_id AS VARCHAR) AS playlist_id, CAST(track_id AS VARCHAR) AS track_id, track_uri,
   false AS is_local, {second_sql('added_at')} AS added_at, 'me' AS added_by, position
-FROM playlist_tracks WHERE track_id % 7 <> 0"""
+FROM playlist_tracks WHERE isodow(added_at) <> 7"""
 
 
 @entry("flatten_membership", MEMBER_SQL, ("playlist_tracks",))
@@ -90,24 +91,29 @@ def flatten_liked(v):
 
 
 def item_responses(v):
-    """Each track in two responses, with its credits; every fifth artist has no id."""
-    credit = F.struct(
-        F.col("position").alias("o"),
-        F.struct(F.when(F.col("artist_id") % 5 != 0, text("artist_id")).alias("id")).alias("a"),
-    )
-    credits = v.track_artists().groupBy("track_id").agg(
-        F.transform(F.array_sort(F.collect_list(credit)), lambda c: c["a"]).alias("artists")
-    )
+    """Each track in two responses."""
     item = F.struct(
         text("track_id").alias("id"), "name", "duration_ms", "popularity",
-        F.struct(F.col("album_name").alias("name"), "release_date").alias("album"), "uri", "artists",
+        F.struct(F.col("album_name").alias("name"), "release_date").alias("album"), "uri",
     )
-    full = v.tracks().join(credits, "track_id", "left")
-    by_fifty = paged(full, item, F.floor(F.col("track_id") / PAGE), "tracks")
-    by_forty = paged(full, item, F.floor(F.col("track_id") / 40), "tracks")
+    by_fifty = paged(v.tracks(), item, F.floor(F.col("track_id") / PAGE), "tracks")
+    by_forty = paged(v.tracks(), item, F.floor(F.col("track_id") / 40), "tracks")
     return pages.parse_pages(by_fifty.unionByName(by_forty), "page", schemas.ITEMS_RESPONSE)
 
 
+def order_responses(v):
+    """Orders as tracks credited to customer, priority and status; the customer of an
+    open order has no id."""
+    credits = F.array(
+        F.struct(F.when(F.col("o_orderstatus") != "O", text("o_custkey")).alias("id")),
+        F.struct(F.col("o_orderpriority").alias("id")),
+        F.struct(F.col("o_orderstatus").alias("id")),
+    )
+    item = F.struct(text("o_orderkey").alias("id"), credits.alias("artists"))
+    landed = paged(v.table("orders"), item, F.floor(F.col("o_orderkey") / PAGE), "tracks")
+    return pages.parse_pages(landed, "page", schemas.ITEMS_RESPONSE)
+
+
 @entry(
     "flatten_items",
     """SELECT CAST(track_id AS VARCHAR) AS track_id, name, duration_ms, popularity, album_name, release_date, uri,
@@ -124,12 +130,13 @@ def flatten_items(v):
 
 @entry(
     "flatten_item_creators",
-    """SELECT CAST(track_id AS VARCHAR) AS track_id, CAST(artist_id AS VARCHAR) AS artist_id,
-  CAST(position AS INTEGER) AS position FROM track_artists WHERE artist_id % 5 <> 0""",
-    ("track_artists",),
+    """SELECT CAST(o_orderkey AS VARCHAR) AS track_id, CAST(o_custkey AS VARCHAR) AS artist_id, 0 AS position
+  FROM orders WHERE o_orderstatus <> 'O'
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), o_orderpriority, 1 FROM orders
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), o_orderstatus, 2 FROM orders""",
 )
 def flatten_item_creators(v):
-    return pages.flatten_item_creators(item_responses(v))
+    return pages.flatten_item_creators(order_responses(v))
 
 
 @entry(
@@ -354,13 +361,22 @@ def load_tech_log(v):
     return read(with_text, "text").unionByName(read(with_millis, "millis"))
 
 
-def land_arrays(v, records: DataFrame, chunk, label: str) -> str:
-    """One JSON array per file below a scratch folder; returns the folder."""
+def land_arrays(v, records: DataFrame, label: str) -> str:
+    """The records as JSON array files, one per task, written line by line."""
+
+    def array_lines(batches):
+        started = False
+        for batch in batches:
+            lines = list(batch["value"])
+            if lines:
+                marks = ["," if started else "["] + [","] * (len(lines) - 1)
+                started = True
+                yield pd.DataFrame({"value": [m + x for m, x in zip(marks, lines)]})
+        yield pd.DataFrame({"value": ["]" if started else "[]"]})
+
     folder = scratch_path(v.spark, label)
-    arrays = records.withColumn("chunk", chunk).groupBy("chunk").agg(
-        F.to_json(F.collect_list(F.struct(*records.columns))).alias("value")
-    )
-    arrays.select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    lines = records.select(F.to_json(F.struct(*records.columns)).alias("value"))
+    lines.mapInPandas(array_lines, "value string").write.text(folder)
     return folder
 
 
@@ -374,7 +390,7 @@ def load_wrapped(v):
     plays = v.plays_short().groupBy(F.hour("timestamp").alias("hour")).agg(
         F.count(F.lit(1)).alias("plays"), F.sum("ms_played").alias("total_ms")
     )
-    folder = land_arrays(v, plays, F.lit(0), "wrapped")
+    folder = land_arrays(v, plays.coalesce(1), "wrapped")
     wrapped = exports.load_wrapped(v.spark, folder, pattern="part-*")
     body = F.from_json("body", "ARRAY<STRUCT<hour BIGINT, plays BIGINT, total_ms BIGINT>>")
     return wrapped.select(F.inline(body))
@@ -388,12 +404,12 @@ UNION ALL SELECT unnest(['search_queries', 'wrapped_data', 'follow_data', 'libra
     ("plays_short", "error_log"),
 )
 def sync_exports(v):
-    account = land_arrays(v, basic_records(v), F.pmod(F.xxhash64("trackName"), F.lit(16)), "account")
-    extended = land_arrays(v, extended_records(v), F.pmod(F.xxhash64("ts"), F.lit(16)), "extended")
+    account = land_arrays(v, basic_records(v), "account")
+    extended = land_arrays(v, extended_records(v), "extended")
     errors = v.error_log().select(
         F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp_utc"), "fatal", "message_error_code"
     )
-    tech = land_arrays(v, errors, F.pmod(F.xxhash64("timestamp_utc"), F.lit(16)), "tech")
+    tech = land_arrays(v, errors, "tech")
     patterns = {"basic": "part-*", "extended": "part-*", "playback_errors": "part-*"}
     return tables.sync_exports(v.spark, account, extended, tech, scratch_path(v.spark, "tables"), patterns=patterns)
 

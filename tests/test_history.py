@@ -231,6 +231,7 @@ def test_backup_and_restore(spark, members, rows, tmp_path):
     assert rows(plan, "playlist_id", "track_uri", "position") == [(1, "a", 0), (1, "a", 2), (1, "a", 3), (1, "b", 1)]
     assert protect.restore_plan(records, items, "1_20240601_100000", 77).select("playlist_id").distinct().collect() == [(77,)]
     assert rows(protect.restore_counts(plan, members)) == [(1, 4, 4)]
+    assert protect.restore_plan(records, items).count() == 5
     assert protect.expired_backups(records, "2024-08-02", 30).count() == 2
     assert protect.retained_backups(records, "2024-08-02", 30).count() == 2
 

@@ -13,8 +13,9 @@ from cratebook.streaming import jobs
 
 
 def write(folder, name, value):
+    """Files of several lines, as exports come."""
     folder.mkdir(parents=True, exist_ok=True)
-    (folder / name).write_text(json.dumps(value), encoding="utf-8")
+    (folder / name).write_text(json.dumps(value, indent=1), encoding="utf-8")
     return str(folder)
 
 
@@ -27,17 +28,24 @@ def test_collection_pages(spark, tmp_path, rows):
         ],
         "next": None,
     }
-    read = pages.read_pages(spark, write(tmp_path / "c", "page.json", page), schemas.COLLECTION_PAGE)
+    read = pages.read_pages(spark, write(tmp_path / "c", "page.json", page), schemas.COLLECTION_PAGE, True)
     got = pages.flatten_collections(read, "test_user", 5)
     assert got.columns == [f.split()[0] for f in schemas.TABLES["playlists"].split(", ")]
     assert rows(got, "playlist_id", "name", "track_count", "is_owned", "is_liked_songs", "snapshot_id") == [
         ("1", "My Playlist", 10, True, False, "s"), ("2", "Other", None, False, False, None),
         ("__liked_songs__", "Liked Songs", 5, True, True, "liked_songs_5"),
     ]
-    empty = pages.read_pages(spark, write(tmp_path / "e", "page.json", {"items": [], "next": None}), schemas.COLLECTION_PAGE)
+    empty = pages.read_pages(spark, write(tmp_path / "e", "page.json", {"items": [], "next": None}), schemas.COLLECTION_PAGE, True)
     assert rows(pages.flatten_collections(empty, "test_user", 0), "playlist_id", "is_liked_songs") == [("__liked_songs__", True)]
 
 
+def test_one_page_per_line(spark, tmp_path):
+    lines = "\n".join(json.dumps({"items": [{"id": str(i)}]}) for i in range(3))
+    (tmp_path / "pages.json").write_text(lines + "\nbroken", encoding="utf-8")
+    read = pages.read_pages(spark, str(tmp_path), schemas.COLLECTION_PAGE)
+    assert pages.flatten_collections(read, "me").count() == 3
+
+
 def test_membership_pages_keep_position_gaps(spark, tmp_path, rows):
     one = {"playlist_id": "p", "offset": 0, "items": [
         {"added_at": "2024-01-01T00:00:00Z", "added_by": {"id": "me"}, "track": {"id": "a", "uri": "ua", "is_local": True}},
@@ -45,7 +53,7 @@ def test_membership_pages_keep_position_gaps(spark, tmp_path, rows):
         {"added_at": "bad", "added_by": None, "track": {"id": "b"}}]}
     two = {"playlist_id": "p", "offset": 100, "items": [{"track": {"id": "c"}}]}
     write(tmp_path / "m", "1.json", one)
-    read = pages.read_pages(spark, write(tmp_path / "m", "2.json", two), schemas.MEMBERSHIP_PAGE)
+    read = pages.read_pages(spark, write(tmp_path / "m", "2.json", two), schemas.MEMBERSHIP_PAGE, True)
     assert rows(pages.flatten_membership(read), "track_id", "position", "is_local", "added_by") == [
         ("a", 0, True, "me"), ("b", 3, None, None), ("c", 100, None, None),
     ]
@@ -57,27 +65,27 @@ def test_item_responses(spark, tmp_path, rows):
     track = {"id": "t", "name": "T", "duration_ms": 1, "album": None, "external_ids": {"isrc": "i"}, "uri": "u",
              "artists": [{"id": None, "name": "x"}, {"id": "a2"}, {"id": "a3"}]}
     folder = write(tmp_path / "t", "1.json", {"tracks": [track, None, dict(track)]})
-    read = pages.read_pages(spark, folder, schemas.ITEMS_RESPONSE)
+    read = pages.read_pages(spark, folder, schemas.ITEMS_RESPONSE, True)
     known = spark.createDataFrame([("t", ["rock"])], "track_id string, genres array<string>")
     assert rows(pages.flatten_items(read, known), "track_id", "isrc", "album_id", "genres") == [("t", "i", None, ["rock"])]
     assert rows(pages.flatten_items(read), "genres") == [(None,)]
     # The missing first id leaves no primary artist.
     assert rows(pages.flatten_item_creators(read)) == [("t", "a2", 1), ("t", "a3", 2)]
     folder = write(tmp_path / "a", "1.json", {"artists": [{"id": "a", "genres": None, "followers": {"total": 3}}, {"id": "a", "genres": None, "followers": {"total": 3}}]})
-    creators = pages.flatten_creators(pages.read_pages(spark, folder, schemas.CREATORS_RESPONSE))
+    creators = pages.flatten_creators(pages.read_pages(spark, folder, schemas.CREATORS_RESPONSE, True))
     assert rows(creators, "artist_id", "genres", "followers") == [("a", [], 3)]
 
 
 def test_market_pages(spark, tmp_path, rows):
     album = {"id": "1", "name": "A", "artists": [{"name": "X"}, {"name": None}, {"name": "Z"}]}
     folder = write(tmp_path / "n", "1.json", {"albums": {"items": [album] * 60}})
-    read = pages.read_pages(spark, folder, pages.MARKET_SCHEMAS["new_releases"])
+    read = pages.read_pages(spark, folder, pages.MARKET_SCHEMAS["new_releases"], True)
     got = pages.new_releases(read, limit=80)
     assert got.count() == 50 and got.first()["artist_names"] == "X, , Z"
     folder = write(tmp_path / "p", "1.json", {"playlists": {"items": [{"id": "1", "description": "d" * 600}, {"id": "2"}]}})
-    found = pages.market_playlists(pages.read_pages(spark, folder, pages.MARKET_SCHEMAS["playlists"]))
+    found = pages.market_playlists(pages.read_pages(spark, folder, pages.MARKET_SCHEMAS["playlists"], True))
     assert rows(found, "playlist_id", F.length("description")) == [("1", 500), ("2", 0)]
-    nothing = pages.read_pages(spark, write(tmp_path / "q", "1.json", {"albums": None}), pages.MARKET_SCHEMAS["new_releases"])
+    nothing = pages.read_pages(spark, write(tmp_path / "q", "1.json", {"albums": None}), pages.MARKET_SCHEMAS["new_releases"], True)
     assert pages.new_releases(nothing).count() == 0
 
 
@@ -116,7 +124,7 @@ def test_export_loaders(spark, export, rows):
     assert rows(exports.load_library(spark, account), "track_id", "artist_name", "album_name", F.col("added_date").cast("string")) == [
         ("", "", "B", None), ("x", "A", "", "2024-01-01")
     ]
-    assert rows(exports.load_wrapped(spark, account)) == [("Wrapped2024.json", '{"y": 2024}')]
+    assert rows(exports.load_wrapped(spark, account)) == [("Wrapped2024.json", '{\n "y": 2024\n}')]
     assert rows(exports.load_wrapped(spark, account, preferred="Wrapped2030.json"), "file") == [("Wrapped2023.json",)]
     # One text time in the log decides for the whole log.
     assert rows(exports.load_tech_log(spark, tech, "PlaybackError.json"), "month") == [("2024-01",), (None,)]

@@ -182,8 +182,10 @@ def renamed(name: Column, changes: dict[str, str]) -> Column:
             fresh = new.upper()
         elif old.islower():
             fresh = new.lower()
-        else:
+        elif old[0].isupper():
             fresh = new.title()
+        else:
+            fresh = new
         at = F.instr(name, old)
         swapped = F.concat(
             F.substring(name, F.lit(1), at - 1),

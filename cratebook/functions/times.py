@@ -45,10 +45,10 @@ def in_daypart(ts: Column, name: str) -> Column:
 
 
 def period_end(period_type: Column, value: Column) -> Column:
-    """Last second of a month ``yyyy-MM`` or a year ``yyyy``; null when invalid."""
+    """Last second of a ``month`` yyyy-MM or a ``year`` yyyy; null when invalid."""
     first = F.when(
-        period_type == "monthly", F.try_to_timestamp(value, F.lit("yyyy-MM"))
-    ).when(period_type == "yearly", F.try_to_timestamp(F.concat(value, F.lit("-12")), F.lit("yyyy-MM")))
+        period_type == "month", F.try_to_timestamp(value, F.lit("yyyy-MM"))
+    ).when(period_type == "year", F.try_to_timestamp(F.concat(value, F.lit("-12")), F.lit("yyyy-MM")))
     return F.last_day(first).cast("timestamp") + F.expr("INTERVAL '23:59:59' HOUR TO SECOND")
 
 

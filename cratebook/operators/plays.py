@@ -142,17 +142,26 @@ def rerank_by_plays(
     )
 
 
-def listening_patterns(history: DataFrame, artist: str = "artist_name") -> DataFrame:
-    """(section, label, n): totals, plays per hour, plays per weekday."""
+def listening_patterns(
+    history: DataFrame, track: str = "track_id", artist: str = "artist_id"
+) -> DataFrame:
+    """(section, label, n): totals, plays per hour, plays per weekday.
+
+    A missing track or artist column counts as 0.
+    """
     ts = F.col("timestamp")
+
+    def distinct(name: str) -> Column:
+        return F.countDistinct(name) if name in history.columns else F.lit(0).cast("bigint")
+
     # Both distributions come from one pass over 24 x 7 cells.
     cells = history.groupBy(F.hour(ts).alias("hour"), F.date_format(ts, "EEEE").alias("day")).agg(
         F.count(F.lit(1)).alias("n")
     )
     totals = history.agg(
         F.count(F.lit(1)).alias("total_plays"),
-        F.countDistinct("track_uri").alias("unique_tracks"),
-        F.countDistinct(artist).alias("unique_artists"),
+        distinct(track).alias("unique_tracks"),
+        distinct(artist).alias("unique_artists"),
         F.unix_seconds(F.min(ts).cast("timestamp")).alias("first_second"),
         F.unix_seconds(F.max(ts).cast("timestamp")).alias("last_second"),
     )

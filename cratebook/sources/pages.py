@@ -9,6 +9,11 @@ from cratebook import schemas
 from cratebook.schemas import LIKED_PLAYLIST_ID
 
 
+# How the synthetic liked collection is described.
+LIKED_NAME = "❤️ Liked Songs"
+LIKED_DESCRIPTION = "Your liked songs - the master playlist"
+
+
 def read_pages(spark: SparkSession, path: str, schema: str, one_per_file: bool = False) -> DataFrame:
     """One page per line, which splits large files; or one page per file, over any
     number of lines. Damaged pages become null rows, which flatten to nothing."""
@@ -26,7 +31,7 @@ def _items(pages: DataFrame, field: str) -> DataFrame:
 
 
 def flatten_collections(
-    pages: DataFrame, me: str, liked_total: Column | int | None = None, liked_name: str = "Liked Songs"
+    pages: DataFrame, me: str, liked_total: Column | int | None = None, liked_name: str = LIKED_NAME
 ) -> DataFrame:
     """Collections; with ``liked_total`` also the synthetic liked collection."""
     x = F.col("x")
@@ -50,13 +55,13 @@ def flatten_collections(
     values = {
         "playlist_id": F.lit(LIKED_PLAYLIST_ID),
         "name": F.lit(liked_name),
-        "description": F.lit("Your liked songs"),
+        "description": F.lit(LIKED_DESCRIPTION),
         "public": F.lit(False),
         "collaborative": F.lit(False),
         "snapshot_id": F.concat(F.lit("liked_songs_"), total.cast("string")),
         "track_count": total.cast("bigint"),
         "owner_id": F.lit(me),
-        "owner_name": F.lit(None).cast("string"),
+        "owner_name": F.lit("You"),
         "is_owned": F.lit(True),
         "is_liked_songs": F.lit(True),
         "uri": F.lit(None).cast("string"),

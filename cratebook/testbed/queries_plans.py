@@ -29,9 +29,9 @@ def period_end(v):
     month, year = F.date_format(day, "yyyy-MM"), F.date_format(day, "yyyy")
     return v.table("orders").select(
         "o_orderkey",
-        second(times.period_end(F.lit("monthly"), month)).alias("month_end"),
-        second(times.period_end(F.lit("yearly"), year)).alias("year_end"),
-        second(times.period_end(F.lit("monthly"), F.concat(F.lit("x"), month))).alias("bad_end"),
+        second(times.period_end(F.lit("month"), month)).alias("month_end"),
+        second(times.period_end(F.lit("year"), year)).alias("year_end"),
+        second(times.period_end(F.lit("month"), F.concat(F.lit("x"), month))).alias("bad_end"),
     )
 
 

@@ -38,7 +38,7 @@ def text(column: str):
     "flatten_collections",
     """SELECT CAST(playlist_id AS VARCHAR) AS playlist_id, name, description, snapshot_id, track_count,
   is_owned, false AS is_liked_songs FROM playlists
-UNION ALL SELECT '__liked_songs__', 'Liked Songs', 'Your liked songs',
+UNION ALL SELECT '__liked_songs__', '❤️ Liked Songs', 'Your liked songs - the master playlist',
   'liked_songs_' || (SELECT count(*) FROM lineitem), (SELECT count(*) FROM lineitem), true, true""",
     ("playlists",),
 )

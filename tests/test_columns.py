@@ -60,7 +60,7 @@ def test_dayparts(spark):
 
 def test_period_end(spark):
     df = spark.createDataFrame(
-        [(0, "monthly", "2024-02"), (1, "yearly", "2023"), (2, "monthly", "oops"), (3, "yearly", "x")], "i int, t string, v string"
+        [(0, "month", "2024-02"), (1, "year", "2023"), (2, "month", "oops"), (3, "year", "x")], "i int, t string, v string"
     )
     shown = F.date_format(times.period_end(F.col("t"), F.col("v")), "yyyy-MM-dd HH:mm:ss")
     got = [r[0] for r in df.orderBy("i").select(shown).collect()]

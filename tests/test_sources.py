@@ -33,7 +33,7 @@ def test_collection_pages(spark, tmp_path, rows):
     assert got.columns == [f.split()[0] for f in schemas.TABLES["playlists"].split(", ")]
     assert rows(got, "playlist_id", "name", "track_count", "is_owned", "is_liked_songs", "snapshot_id") == [
         ("1", "My Playlist", 10, True, False, "s"), ("2", "Other", None, False, False, None),
-        ("__liked_songs__", "Liked Songs", 5, True, True, "liked_songs_5"),
+        ("__liked_songs__", pages.LIKED_NAME, 5, True, True, "liked_songs_5"),
     ]
     empty = pages.read_pages(spark, write(tmp_path / "e", "page.json", {"items": [], "next": None}), schemas.COLLECTION_PAGE, True)
     assert rows(pages.flatten_collections(empty, "test_user", 0), "playlist_id", "is_liked_songs") == [("__liked_songs__", True)]

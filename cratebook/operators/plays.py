@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cratebook.functions import times
+from cratebook.functions.music import uri_item
 from cratebook.operators.grouping import counted_row_number, top_per_group
 
 
@@ -244,7 +245,7 @@ def history_union(basic: DataFrame, extended: DataFrame, fill_gaps: bool = False
     for name in ("track_uri", "album_name", "skipped"):
         if name not in both.columns:
             both = both.withColumn(name, F.lit(None).cast("boolean" if name == "skipped" else "string"))
-    return both.withColumn("track_id", F.regexp_replace("track_uri", "^spotify:track:", ""))
+    return both.withColumn("track_id", uri_item(F.col("track_uri")))
 
 
 def sorted_history(history: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from cratebook.functions import music
 from cratebook.operators.grouping import ordered_list, top_per_group
-from cratebook.operators.library import primary_artist
 
 
 def genre_profiles(

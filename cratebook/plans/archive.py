@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from cratebook.functions import names, texts, times
 from cratebook.functions.names import NameStyle
 from cratebook.operators import plays
-from cratebook.operators.library import keep_not_in
+from cratebook.operators.library import keep_in, keep_not_in
 from cratebook.operators.selection import delta_add
+from cratebook.session import cut_lineage
 
 DEFAULT_STYLE = NameStyle()
 
@@ -30,10 +31,13 @@ def name_ids(playlists: DataFrame) -> DataFrame:
 def upsert_plan(desired: DataFrame, playlists: DataFrame, members: DataFrame) -> DataFrame:
     """Rows of ``desired`` (name, track_uri, ...) to add, each with its ``action``.
 
-    ``create`` when no collection has the name, else ``add`` for missing items.
+    ``create`` when no collection has the name, else ``add`` for missing items. The
+    desired rows are written once; of the memberships only those of the named
+    collections are compared.
     """
-    located = desired.join(name_ids(playlists), "name", "left")
-    missing = delta_add(located, members, on=["playlist_id", "track_uri"])
+    located = cut_lineage(desired.join(name_ids(playlists), "name", "left"))
+    existing = keep_in(members, located.where(F.col("playlist_id").isNotNull()), "playlist_id")
+    missing = delta_add(located, existing, on=["playlist_id", "track_uri"])
     return missing.withColumn("action", F.when(F.col("playlist_id").isNull(), "create").otherwise("add"))
 
 
@@ -228,7 +232,9 @@ def archive_plan(
 
     # A monthly collection may go when each of its items is in its archive afterwards.
     target_items = (
-        desired.select("year", "type", "name").distinct()
+        monthly.select("year", "type")
+        .distinct()
+        .withColumn("name", _yearly_name(F.col("type"), F.col("year"), style))
         .join(name_ids(playlists), "name")
         .join(members.select("playlist_id", "track_uri"), "playlist_id")
         .select("year", "type", "track_uri")

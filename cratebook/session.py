@@ -21,12 +21,18 @@ SKEW_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Checkpoints are compressed, and removed once nothing refers to them.
+STORAGE_CONF = {
+    "spark.checkpoint.compress": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
 
 def get_session(app_name: str = "cratebook", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SEMANTIC_CONF, **SKEW_CONF, **conf}.items():
+    for key, value in {**SEMANTIC_CONF, **SKEW_CONF, **STORAGE_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -118,7 +118,7 @@ def library_snapshot(records: DataFrame) -> DataFrame:
         text(t["album"]["name"]).alias("album_name"),
         added.alias("added_at"),
         F.to_date(added).alias("added_date"),
-        F.replace(text(t["uri"]), F.lit("spotify:track:"), F.lit("")).alias("track_id"),
+        uri_item(text(t["uri"])).alias("track_id"),
     )
 
 

@@ -130,33 +130,51 @@ BANDS_SQL = """, c AS (SELECT *, CASE WHEN jaccard > 0.7 THEN 'high' WHEN jaccar
   greatest(n1, n2) >= 3 * least(n1, n2) AND overlap / least(n1, n2) > 0.5 AS is_candidate FROM p)"""
 
 
-def _bands(family: str):
-    @entry(
-        f"redundancy_bands_{family}",
-        pairs_sql(family, LONGEST)
-        + BANDS_SQL
-        + """ SELECT set1, set2, n1, n2, overlap, round(jaccard, 6) AS jaccard, band, is_subset, is_candidate, copies1, copies2
-FROM c WHERE band IS NOT NULL OR is_subset OR is_candidate
-UNION ALL SELECT set1, set2, n, n, n, 1.0::DOUBLE, 'exact', false, false, 1, 1 FROM cp""",
-        (family,),
+def banded(found: redundancy.Redundancy):
+    pairs = found.pairs.select(
+        "set1", "set2", "n1", "n2", "overlap", F.round("jaccard", 6).alias("jaccard"), "band",
+        "is_subset", "is_candidate", "copies1", "copies2",
     )
+    n, one = F.col("n_items"), F.lit(1).cast("bigint")
+    exact = found.copies.select(
+        "set1", "set2", n, n, n, F.lit(1.0), F.lit("exact"), F.lit(False), F.lit(False), one, one
+    )
+    return pairs.union(exact)
+
+
+BANDED_SQL = (
+    BANDS_SQL
+    + """ SELECT set1, set2, n1, n2, overlap, round(jaccard, 6) AS jaccard, band, is_subset, is_candidate, copies1, copies2
+FROM c WHERE band IS NOT NULL OR is_subset OR is_candidate
+UNION ALL SELECT set1, set2, n, n, n, 1.0::DOUBLE, 'exact', false, false, 1, 1 FROM cp"""
+)
+
+
+def _bands(family: str):
+    @entry(f"redundancy_bands_{family}", pairs_sql(family, LONGEST) + BANDED_SQL, (family,))
     def query(v):
-        found = redundancy.find_redundancy(*family_of(v, family))
-        pairs = found.pairs.select(
-            "set1", "set2", "n1", "n2", "overlap", F.round("jaccard", 6).alias("jaccard"), "band",
-            "is_subset", "is_candidate", "copies1", "copies2",
-        )
-        n, one = F.col("n_items"), F.lit(1).cast("bigint")
-        exact = found.copies.select(
-            "set1", "set2", n, n, n, F.lit(1.0), F.lit("exact"), F.lit(False), F.lit(False), one, one
-        )
-        return pairs.union(exact)
+        return banded(redundancy.find_redundancy(*family_of(v, family)))
 
 
 for _family in NAMES:
     _bands(_family)
 
 
+@entry(
+    "redundancy_bands_owned",
+    pairs_sql("order_part", LONGEST).replace(
+        NAMES["order_part"], NAMES["order_part"] + " WHERE o_orderstatus <> 'P'"
+    )
+    + BANDED_SQL,
+    ("order_part",),
+)
+def redundancy_bands_owned(v):
+    """Only owned collections without an automatic name are compared."""
+    compared = redundancy.comparable(v.order_playlists())
+    names = compared.select(F.col("playlist_id").alias("set_id"), "name")
+    return banded(redundancy.find_redundancy(v.overlap_sets("order_part"), names))
+
+
 def suggestions_sql(family: str) -> str:
     """The sequential pass over ordered pairs, one recursion step per pair."""
     return (

@@ -573,7 +573,7 @@ def safe_delete_apply(v):
 WITH rm AS (SELECT DISTINCT playlist_id, track_id FROM playlist_tracks JOIN tracks USING (track_id) WHERE popularity IS NULL),
 b AS (SELECT DISTINCT playlist_id, track_id FROM playlist_tracks SEMI JOIN rm USING (playlist_id))
 SELECT playlist_id, count(*) AS before_count, count(*) FILTER (WHERE rm.track_id IS NULL) AS after_count,
-  count(rm.track_id) AS removals, 0 AS unexpected_removals, 0 AS missing_additions,
+  count(rm.track_id) AS removals, CAST(0 AS BIGINT) AS unexpected_removals, CAST(0 AS BIGINT) AS missing_additions,
   false AS count_decrease, true AS preserved
 FROM b LEFT JOIN rm USING (playlist_id, track_id) GROUP BY 1""",
     ("playlist_tracks", "tracks"),

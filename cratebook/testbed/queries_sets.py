@@ -157,8 +157,8 @@ def merge_report(v):
 WITH n AS (SELECT DISTINCT playlist_id, track_id FROM playlist_tracks),
 o AS (SELECT DISTINCT playlist_id, track_id FROM playlist_tracks WHERE added_at <= TIMESTAMP '{OLD_STATE_CUTOFF}'),
 b AS (SELECT playlist_id, n.track_id, o.track_id IS NOT NULL AS still FROM n LEFT JOIN o USING (playlist_id, track_id))
-SELECT playlist_id, count(*) AS before_count, count(*) FILTER (WHERE still) AS after_count, 0 AS removals,
-  count(*) FILTER (WHERE NOT still) AS unexpected_removals, 0 AS missing_additions,
+SELECT playlist_id, count(*) AS before_count, count(*) FILTER (WHERE still) AS after_count, CAST(0 AS BIGINT) AS removals,
+  count(*) FILTER (WHERE NOT still) AS unexpected_removals, CAST(0 AS BIGINT) AS missing_additions,
   count(*) FILTER (WHERE NOT still) > 0 AS count_decrease, count(*) FILTER (WHERE NOT still) = 0 AS preserved
 FROM b GROUP BY 1""",
     ("playlist_tracks",),

@@ -3,11 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cratebook.llm import decontaminate, pieces, pii, simhash, toxicity
+from cratebook.llm import caps, decontaminate, idfile, pieces, pii, quality, sharding, simhash, toxicity, urls
 from cratebook.llm.common import load
 
 PIECE_MODEL = "piece_bpe_32k.model"
+WORD_TOKENIZER = "word_bpe_49k.json"
+
+# The rules of the URL filter.
+URL_RULES = [
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+]
 
 
 def vocabulary(name: str) -> str:
@@ -17,11 +28,23 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return caps.near_vectors(load(spark, folder, "embeddings"))
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents")
     return toxicity.severity(docs, toxicity.fit(docs, load(spark, folder, "labels")))
 
 
+def op3_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(load(spark, folder, "pages"), URL_RULES).drop("trust", "distrust")
+
+
+def op4_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return idfile.encoded_checksums(load(spark, folder, "documents"), vocabulary(WORD_TOKENIZER))
+
+
 def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(load(spark, folder, "documents")).drop("n_spans")
 
@@ -30,19 +53,34 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
 
 
+def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sharding.shard_rows(load(spark, folder, "documents"))
+    return rows.select("*", F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_decode_digests(load(spark, folder, "documents"), vocabulary(PIECE_MODEL))
 
 
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    return quality.scores(docs, quality.fit(docs, load(spark, folder, "labels")))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_neardup(load(spark, folder, "documents"))
 
 
 QUERIES = {
+    "op1_embeddings": op1_embeddings,
     "op2_toxicity": op2_toxicity,
+    "op3_urls": op3_urls,
+    "op4_token_ids": op4_token_ids,
     "op5_pii": op5_pii,
     "op6_decontamination": op6_decontamination,
+    "op7_sharding": op7_sharding,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
 }
 ORACLES: dict[str, str] = {}

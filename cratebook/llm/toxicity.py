@@ -32,6 +32,10 @@ SAMPLE = 3000
 #: Most features kept.
 FEATURES = 1024
 GRADES = 3
+#: The feature number under which a sampled row carries its number of words.
+WORDS = 0
+#: A feature's likelihood ratio must exceed so many times the logarithm of the features tried.
+BAR = 1.3
 BEGINNINGS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -50,6 +54,7 @@ def features_of(word: str) -> list[int]:
 @dataclass
 class Model:
     place: dict[int, int] = field(default_factory=dict)
+    # of the features, and last of the number of words, against chance hits in long texts
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     cuts: np.ndarray = field(default_factory=lambda: np.full(GRADES, np.inf))
 
@@ -68,12 +73,15 @@ class Scorer:
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
         x, memo, place = np.zeros(len(self.model.weights)), self.memo, self.model.place
+        words = 0
         for word in map(str.lower, (m.group() for m in _WORD.finditer(text))):
             hit = memo.get(word, 0)
             if hit == 0:
                 hit = memo[word] = [place[f] for f in features_of(word) if f in place] or None
+            words += 1
             if hit:
                 x[hit] += 1
+        x[-1:] = words
         return np.log1p(x)
 
     def __call__(self, texts: list[str]) -> np.ndarray:
@@ -105,6 +113,7 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
                     for w, n in words.items():
                         for f in features_of(w):
                             seen[f] += n
+                    seen[WORDS] = sum(words.values())
                     rows.append((i, y, np.fromiter(seen.keys(), "<u4", len(seen)).tobytes(), np.fromiter(seen.values(), "<u4", len(seen)).tobytes()))
                 yield pa.record_batch(
                     [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
@@ -125,15 +134,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return Model()
     ids = [np.frombuffer(bytes(r[1]), "<u4") for r in rows]
     counts = [np.frombuffer(bytes(r[2]), "<u4") for r in rows]
+    length = np.array([int(c[-1]) for i, c in zip(ids, counts, strict=True)])
     every, where = np.unique(np.concatenate(ids), return_inverse=True)
     label = np.repeat(y, [len(i) for i in ids])
     bad = np.bincount(where, label == 1, len(every))
     good = np.bincount(where, label == 0, len(every))
     n1, n0 = (y == 1).sum(), (y == 0).sum()
-    odds = np.log((bad + 0.5) / (n1 - bad + 0.5)) - np.log((good + 0.5) / (n0 - good + 0.5))
-    sure = odds / np.sqrt(1 / (bad + 0.5) + 1 / (n1 - bad + 0.5) + 1 / (good + 0.5) + 1 / (n0 - good + 0.5))
-    order = np.lexsort((every, -sure))
-    keep = np.sort(order[: min(FEATURES, int((sure > 2.5).sum()))])
+    # Signed likelihood ratio of a feature's documents being toxic more often than chance says;
+    # the bar rises with the number of features that are tried.
+    share, all_ = n1 / (n1 + n0), bad + good
+    ratio = 2 * (bad * np.log(np.maximum(bad, 1e-9) / (all_ * share)) + good * np.log(np.maximum(good, 1e-9) / (all_ * (1 - share))))
+    ratio[(bad <= all_ * share) | (every == WORDS)] = 0
+    order = np.lexsort((every, -ratio))
+    tried = max(2, int((all_ >= 3).sum()))
+    keep = np.sort(order[: min(FEATURES, int((ratio > BAR * np.log(tried)).sum()))])
     place = np.full(len(every), -1)
     place[keep] = np.arange(len(keep))
     x = np.zeros((len(rows), len(keep)))
@@ -145,11 +159,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     edges = np.quantile(held[y == 1], [1 / 3, 2 / 3])
     grade[y == 1] = 1 + (held[y == 1][:, None] > edges[None, :]).sum(1)
     model = Model({int(f): k for k, f in enumerate(every[keep])})
-    model.weights, model.cuts = _ordinal(np.log1p(x), grade)
+    model.weights, model.cuts = _ordinal(np.log1p(np.c_[x, length]), grade)
     return model
 
 
-def _ordinal(x: np.ndarray, grade: np.ndarray, rounds: int = 400, rate: float = 0.05, ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+def _ordinal(x: np.ndarray, grade: np.ndarray, rounds: int = 600, rate: float = 0.05, ridge: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ascending cuts by gradient descent (Adam) on the likelihood of the grades.
 
     P(grade = k) is a difference of neighbouring cumulative probabilities. The gaps between

@@ -18,6 +18,8 @@ not 64 bits each; a document's offset is found by two selects without reading th
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -29,13 +31,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cratebook.llm.common import MEMO_WORDS, keyed_text, slices
+from cratebook.llm.common import keyed_text, slices
 from cratebook.session import scratch_path
 
 #: A block is closed at so many ids or documents (a longer document is a block of its own).
 BLOCK_IDS = 1 << 20
 BLOCK_DOCS = 1 << 14
 END_ID = 1
+#: Most runs remembered by a task's encoder.
+MEMO_RUNS = 500_000
 #: Every so many ones the place of a one is noted.
 EVERY = 64
 
@@ -98,31 +102,100 @@ class EliasFano:
         return (self.select(k - 1) if k else 0), self.select(k)
 
 
+# The splitting pattern and normalisers of the public word tokenizer.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMAL = ["NFC", "Replace", "Lowercase"]
+WORD_END = "</w>"
+
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_{|}~"
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+# Python splits at these too, the tokenizer does not.
+_SEPARATORS = re.compile("[\x1c-\x1f]")
+
+
 @lru_cache(maxsize=2)
-def _tokenizer(path: str):
+def _tokenizer(path: str) -> tuple:
+    """The library's tokenizer; and, if its words are letter runs with a marked last token, which
+    ids end a word."""
     import tokenizers
 
-    return tokenizers.Tokenizer.from_file(path)
+    library = tokenizers.Tokenizer.from_file(path)
+    rules = json.loads(library.to_str())
+    splits = [p.get("pattern", {}).get("Regex") for p in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])]
+    normal = [n["type"] for n in (rules["normalizer"] or {}).get("normalizers", [])]
+    if splits[:1] != [_SPLIT] or normal != _NORMAL or rules["model"].get("end_of_word_suffix") != WORD_END:
+        return library, None
+    names = [library.id_to_token(i) or "" for i in range(library.get_vocab_size())]
+    return library, np.array([n.endswith(WORD_END) for n in names])
 
 
 class WordTokenizer:
-    """Ids of texts by the tokenizers library, for tokenizers that never join across a space:
-    every distinct run between spaces is encoded once and remembered, up to a bound."""
+    """Ids of texts by the tokenizers library, for tokenizers that never join across white space.
 
-    def __init__(self, path: str, most: int = MEMO_WORDS):
-        self.library, self.most = _tokenizer(path), most
+    Distinct runs between spaces are encoded once and remembered, up to a bound. A run of letters
+    (up to U+00FF) before an ASCII mark is a word of its own to the tokenizer, whatever its case;
+    such words go to the library many at a time, and the marks behind their last tokens tell them
+    apart again.
+    """
+
+    def __init__(self, path: str, most: int = MEMO_RUNS):
+        self.library, self.ends = _tokenizer(path)
+        self.most = most
         self.memo: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def _single(self, runs: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(runs), 20_000):
+            for e in self.library.encode_batch_fast(runs[at : at + 20_000], add_special_tokens=False):
+                yield struct.pack(f"<{len(e.ids)}I", *e.ids)
+
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        """Lower-case letter words, joined by spaces for the library."""
+        for at in range(0, len(words), 500):
+            some = words[at : at + 500]
+            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) != len(some):
+                yield from self._single(some)
+                continue
+            raw, first = ids.tobytes(), 0
+            for end in (4 * last).tolist():
+                yield raw[first:end]
+                first = end
+
+    def _learn(self, runs: list[str]) -> None:
+        if self.ends is None:
+            self.memo.update(zip(runs, self._single(runs), strict=True))
+            return
+        heads: list[str] = []
+        tails: list[str] = []
+        for run in runs:
+            word = run.rstrip(_MARKS)
+            # Letters, and behind them ASCII marks only; anything else goes to the library whole.
+            if word.isalpha() and (word.isascii() or _LETTERS.fullmatch(word)):
+                heads.append(word.lower())
+                tails.append(run[len(word) :])
+            else:
+                heads.append("")
+                tails.append(run)
+        parts = self.parts
+        words = list(set(heads).difference(parts))
+        parts.update(zip(words, self._words(words), strict=True))
+        others = list(set(tails).difference(parts))
+        parts.update(zip(others, self._single(others), strict=True))
+        self.memo.update(zip(runs, [parts[h] + parts[t] for h, t in zip(heads, tails, strict=True)], strict=True))
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of every text."""
-        split = [t.split(" ") for t in texts]
+        split = [t.split() if not _SEPARATORS.search(t) else t.split(" ") for t in texts]
         if len(self.memo) > self.most:
             self.memo.clear()
-        missing = list({w for words in split for w in words if w not in self.memo})
-        for at in range(0, len(missing), 20_000):
-            part = missing[at : at + 20_000]
-            for w, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.memo[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+            self.parts = {"": b""}
+        missing = set()
+        for words in split:
+            missing.update(words)
+        missing.difference_update(self.memo)
+        self._learn(list(missing))
         get = self.memo.__getitem__
         for words in split:
             yield b"".join(map(get, words))
@@ -165,7 +238,7 @@ def write_ids(
         names: list[int] = []
         chunks: list[bytes] = []
         for whole in batches:
-            for batch in slices(whole, most=4 << 20):
+            for batch in slices(whole, most=2 << 20):
                 for name, ids in zip(batch.column(0).to_pylist(), ids_of(batch.column(1).to_pylist()), strict=True):
                     if names and (held + len(ids) // 4 >= block_ids or len(names) >= block_docs):
                         yield _block(seq, names, chunks)

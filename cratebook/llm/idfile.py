@@ -38,8 +38,8 @@ from cratebook.session import scratch_path
 BLOCK_IDS = 1 << 20
 BLOCK_DOCS = 1 << 14
 END_ID = 1
-#: Most runs remembered by a task's encoder.
-MEMO_RUNS = 500_000
+#: Most runs remembered by a worker process.
+MEMO_RUNS = 900_000
 #: Every so many ones the place of a one is noted.
 EVERY = 64
 
@@ -201,6 +201,12 @@ class WordTokenizer:
             yield b"".join(map(get, words))
 
 
+@lru_cache(maxsize=1)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """The process's tokenizer: what one task has learned serves the next."""
+    return WordTokenizer(path)
+
+
 _BLOCK = "part int, seq int, n_docs long, n_ids long, docs binary, ids binary, ends binary"
 _BLOCK_ARROW = pa.schema(
     [("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("docs", pa.binary()), ("ids", pa.binary()), ("ends", pa.binary())]
@@ -308,6 +314,6 @@ def encoded_checksums(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_i
     reads from it where each document lies, its length with the end id, and its ids' checksum."""
     spark = docs.sparkSession
     path = scratch_path(spark, "ids")
-    write_ids(docs, path, lambda: WordTokenizer(tokenizer_file), id_col, text_col)
+    write_ids(docs, path, lambda: word_tokenizer(tokenizer_file), id_col, text_col)
     found = read_documents(spark, path, lambda ids: (zlib.crc32(ids),), "ids_crc32 long", [pa.int64()])
     return found.withColumnRenamed("id", id_col)

@@ -32,7 +32,7 @@ SAMPLE = 3000
 #: Most features kept.
 FEATURES = 1024
 GRADES = 3
-#: The feature number under which a sampled row carries its number of words.
+#: The feature number under which a sampled row carries its number of words, behind the others.
 WORDS = 0
 #: A feature's likelihood ratio must exceed so many times the logarithm of the features tried.
 BAR = 1.3
@@ -128,37 +128,41 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most: int = SAMPLE) -> Model:
     """Learn from labelled rows outside the held-out third. Without toxic rows nothing is toxic."""
-    rows = _sample(docs, labels, id_col, text_col, label_col, most).collect()
-    y = np.array([r[0] for r in rows], int)
+    # Row by row, so that the driver holds the sample's feature numbers once and nothing beside.
+    y_, ids, counts, length_ = [], [], [], []
+    for label, raw_ids, raw_counts in _sample(docs, labels, id_col, text_col, label_col, most).toLocalIterator():
+        y_.append(label)
+        ids.append(np.frombuffer(bytes(raw_ids), "<u4")[:-1])
+        counts.append(np.frombuffer(bytes(raw_counts), "<u4")[:-1])
+        length_.append(int(np.frombuffer(bytes(raw_counts), "<u4")[-1]))
+    y, length = np.array(y_, int), np.array(length_, int)
     if not (y == 1).any() or not (y == 0).any():
         return Model()
-    ids = [np.frombuffer(bytes(r[1]), "<u4") for r in rows]
-    counts = [np.frombuffer(bytes(r[2]), "<u4") for r in rows]
-    length = np.array([int(c[-1]) for i, c in zip(ids, counts, strict=True)])
-    every, where = np.unique(np.concatenate(ids), return_inverse=True)
-    label = np.repeat(y, [len(i) for i in ids])
-    bad = np.bincount(where, label == 1, len(every))
-    good = np.bincount(where, label == 0, len(every))
     n1, n0 = (y == 1).sum(), (y == 0).sum()
+    every, bad = np.unique(np.concatenate([i for i, t in zip(ids, y, strict=True) if t]), return_counts=True)
+    all_features, good_all = np.unique(np.concatenate([i for i, t in zip(ids, y, strict=True) if not t]), return_counts=True)
+    at = np.minimum(np.searchsorted(all_features, every), max(0, len(all_features) - 1))
+    good = np.where(all_features[at] == every, good_all[at], 0) if len(all_features) else np.zeros(len(every), int)
+    tried = max(2, int((bad + good >= 3).sum()) + int((good_all >= 3).sum()) - int(((good >= 3)).sum()))
+    del all_features, good_all
     # Signed likelihood ratio of a feature's documents being toxic more often than chance says;
     # the bar rises with the number of features that are tried.
-    share, all_ = n1 / (n1 + n0), bad + good
-    ratio = 2 * (bad * np.log(np.maximum(bad, 1e-9) / (all_ * share)) + good * np.log(np.maximum(good, 1e-9) / (all_ * (1 - share))))
-    ratio[(bad <= all_ * share) | (every == WORDS)] = 0
+    share, both = n1 / (n1 + n0), bad + good
+    ratio = 2 * (bad * np.log(bad / (both * share)) + good * np.log(np.maximum(good, 1e-9) / (both * (1 - share))))
+    ratio[bad <= both * share] = 0
     order = np.lexsort((every, -ratio))
-    tried = max(2, int((all_ >= 3).sum()))
-    keep = np.sort(order[: min(FEATURES, int((ratio > BAR * np.log(tried)).sum()))])
-    place = np.full(len(every), -1)
-    place[keep] = np.arange(len(keep))
-    x = np.zeros((len(rows), len(keep)))
-    doc = np.repeat(np.arange(len(rows)), [len(i) for i in ids])
-    used = place[where] >= 0
-    x[doc[used], place[where][used]] = np.concatenate(counts)[used]
-    grade = np.zeros(len(rows), int)
+    keep = every[np.sort(order[: min(FEATURES, int((ratio > BAR * np.log(tried)).sum()))])]
+    x = np.zeros((len(y), len(keep)))
+    for k, (own, n) in enumerate(zip(ids, counts, strict=True)):
+        if len(keep):
+            place = np.minimum(np.searchsorted(keep, own), len(keep) - 1)
+            hit = keep[place] == own
+            x[k, place[hit]] = n[hit]
+    grade = np.zeros(len(y), int)
     held = x.sum(1)
     edges = np.quantile(held[y == 1], [1 / 3, 2 / 3])
     grade[y == 1] = 1 + (held[y == 1][:, None] > edges[None, :]).sum(1)
-    model = Model({int(f): k for k, f in enumerate(every[keep])})
+    model = Model({int(f): k for k, f in enumerate(keep)})
     model.weights, model.cuts = _ordinal(np.log1p(np.c_[x, length]), grade)
     return model
 

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from cratebook.session import scratch_path
 
 #: Most entries of a per-process memo of words; beyond that it starts anew.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 300_000
 #: Arrow batches are cut so that one holds about so many bytes of text.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
+#: And Spark sends at most about so many bytes to a Python worker at once.
+SENT_BYTES = 8 << 20
 
 
 def col(name: str) -> Column:
@@ -31,6 +33,8 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    # Spark sends rows to Python workers in batches of up to 64 MB, held several times over.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(SENT_BYTES))
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 

@@ -83,4 +83,49 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_embeddings": """
+        WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+        ),
+        reach(a, b) AS (
+            SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        ),
+        n AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+        c AS (SELECT a, min(b) AS least FROM reach GROUP BY a)
+        SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(v.vec_id, c.least) AS component_id,
+            v.vec_id = least(v.vec_id, c.least) AS kept
+        FROM v LEFT JOIN n ON v.vec_id = n.a LEFT JOIN c ON v.vec_id = c.a""",
+    "op6_decontamination": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ),
+        b AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+        ),
+        windows AS (
+            SELECT DISTINCT item_id, w[k : k + 9] AS win
+            FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS k FROM b WHERE len(w) > 0)
+        ),
+        sizes AS (SELECT DISTINCT len(win) AS n FROM windows),
+        places AS (
+            SELECT doc_id, n, k, w[k : k + n - 1] AS win
+            FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS k FROM d, sizes WHERE len(w) >= n)
+        ),
+        found AS (SELECT p.doc_id, p.k, p.n, x.item_id FROM places p JOIN windows x ON p.win = x.win),
+        hits AS (
+            SELECT doc_id, count(DISTINCT spot) AS n_hit
+            FROM (SELECT doc_id, unnest(range(k, k + n)) AS spot FROM found) GROUP BY doc_id
+        ),
+        named AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+            sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)""",
+}

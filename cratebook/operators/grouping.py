@@ -152,7 +152,11 @@ def top_per_group(
     rank: str = "rank",
 ) -> DataFrame:
     """First ``limit`` rows per group. Spark prunes to ``limit`` rows per task
-    and group before the shuffle, so a hot group is cut down where it lies."""
+    and group before the shuffle, so a hot group is cut down where it lies; the
+    setting up to which it does so is raised with the limit."""
+    conf, threshold = df.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(conf.get(threshold)) < limit:
+        conf.set(threshold, str(limit))
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= limit)
 

@@ -155,7 +155,6 @@ def flatten_creators(responses: DataFrame) -> DataFrame:
     )
 
 
-MARKET_LIMIT = 50  # fixed value: most rows one request may ask for
 DESCRIPTION_LENGTH = 500  # fixed value: longer descriptions are cut
 
 MARKET_SCHEMAS: dict[str, str] = {
@@ -180,18 +179,16 @@ def _artist_names(x: Column) -> Column:
     return F.array_join(F.transform(found, lambda a: F.coalesce(a["name"], F.lit(""))), ", ")
 
 
-def _market(pages: DataFrame, field: str, limit: int, columns: dict[str, Column]) -> DataFrame:
-    """The first items of each response, as the request limit would give."""
-    first = F.slice(F.col(f"{field}.items"), 1, min(limit, MARKET_LIMIT))
-    return pages.select(F.explode(first).alias("x")).select(*[c.alias(n) for n, c in columns.items()])
+def _market(pages: DataFrame, field: str, columns: dict[str, Column]) -> DataFrame:
+    """All items of each response; how many it may hold is the request's affair."""
+    return pages.select(F.explode(f"{field}.items").alias("x")).select(*[c.alias(n) for n, c in columns.items()])
 
 
-def new_releases(pages: DataFrame, limit: int = 50) -> DataFrame:
+def new_releases(pages: DataFrame) -> DataFrame:
     x = F.col("x")
     return _market(
         pages,
         "albums",
-        limit,
         {
             "album_id": x["id"],
             "name": x["name"],
@@ -204,18 +201,17 @@ def new_releases(pages: DataFrame, limit: int = 50) -> DataFrame:
     )
 
 
-def categories(pages: DataFrame, limit: int = 50) -> DataFrame:
+def categories(pages: DataFrame) -> DataFrame:
     x = F.col("x")
-    return _market(pages, "categories", limit, {"id": x["id"], "name": x["name"]})
+    return _market(pages, "categories", {"id": x["id"], "name": x["name"]})
 
 
-def market_playlists(pages: DataFrame, limit: int = 50) -> DataFrame:
+def market_playlists(pages: DataFrame) -> DataFrame:
     """Collections of a category, or found by a search."""
     x = F.col("x")
     return _market(
         pages,
         "playlists",
-        limit,
         {
             "playlist_id": x["id"],
             "name": x["name"],
@@ -226,12 +222,11 @@ def market_playlists(pages: DataFrame, limit: int = 50) -> DataFrame:
     )
 
 
-def search_tracks(pages: DataFrame, limit: int = 20) -> DataFrame:
+def search_tracks(pages: DataFrame) -> DataFrame:
     x = F.col("x")
     return _market(
         pages,
         "tracks",
-        limit,
         {
             "track_id": x["id"],
             "name": x["name"],

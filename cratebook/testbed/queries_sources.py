@@ -199,7 +199,7 @@ def market_search_tracks(v):
     )
     landed = wrapped_pages(v, item, v.table("part"), "p_partkey", "tracks")
     parsed = pages.parse_pages(landed, "page", pages.MARKET_SCHEMAS["search_tracks"])
-    return pages.search_tracks(parsed, limit=50).select(
+    return pages.search_tracks(parsed).select(
         "track_id", "name", "artist_names", "album_name", "duration_ms", "popularity"
     )
 
@@ -438,7 +438,8 @@ _round_trip("save_json", lambda s, df, p: s.read.schema(TRIP_SCHEMA).json(tables
 
 def event_stream(v):
     plays = v.table("events")
-    raw = jobs.read_stream(v.spark, v.folder, plays.schema, pattern="events.parquet")
+    # As a pattern the path may be one file or the folder of files that a cluster writes.
+    raw = jobs.read_stream(v.spark, f"{v.folder}/events[.]parquet", plays.schema)
     track = F.get_json_object("props", "$.k").cast("bigint")
     return raw.select(
         "event_id",

@@ -11,9 +11,10 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as driver  # noqa: E402
+from cratebook.testbed import queries as testbed  # noqa: E402
 from tools.check import TABLES, normal  # noqa: E402
 
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = testbed.QUERIES, testbed.ORACLES
 # Writing or streaming runs while the query is built; the plan says nothing more.
 PLANNED = [n for n in QUERIES if not n.startswith(("stream", "sync", "save", "export", "load_table", "consolidation"))]
 
@@ -65,3 +66,17 @@ def test_filters_and_columns_reach_the_scan(spark, small):
 def test_top_lists_are_cut_before_the_shuffle(spark, small, name):
     plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_long_top_lists_are_cut_before_the_shuffle(spark, small):
+    from pyspark.sql import functions as F
+
+    from cratebook.operators.grouping import top_per_group
+
+    lines = spark.read.parquet(f"{small}/lineitem.parquet").select("l_returnflag", "l_orderkey")
+    plan = top_per_group(lines, ["l_returnflag"], [F.col("l_orderkey")], 5000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_every_registered_query_of_the_library_is_offered():
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())

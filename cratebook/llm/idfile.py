@@ -19,7 +19,6 @@ not 64 bits each; a document's offset is found by two selects without reading th
 from __future__ import annotations
 
 import json
-import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -27,6 +26,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,8 +38,10 @@ from cratebook.session import scratch_path
 BLOCK_IDS = 1 << 20
 BLOCK_DOCS = 1 << 14
 END_ID = 1
-#: Most runs remembered by a worker process.
+#: Most words remembered by a worker process, and most other runs.
 MEMO_RUNS = 900_000
+#: Bytes of text encoded together: a run is looked up once in them.
+BATCH_IN = 8 << 20
 #: Every so many ones the place of a one is noted.
 EVERY = 64
 
@@ -107,10 +109,10 @@ _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _NORMAL = ["NFC", "Replace", "Lowercase"]
 WORD_END = "</w>"
 
-_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_{|}~"
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-# Python splits at these too, the tokenizer does not.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
+# A run of letters up to U+00FF, and behind it ASCII marks only.
+_PLAIN = r"^(?P<head>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!\"#$%&()*+,\-./:;<=>?@\[\\\]^_{|}~]*)$"
+# Arrow splits at these too, the tokenizer does not.
+_SEPARATORS = "[\x1c-\x1f]"
 
 
 @lru_cache(maxsize=2)
@@ -132,17 +134,17 @@ def _tokenizer(path: str) -> tuple:
 class WordTokenizer:
     """Ids of texts by the tokenizers library, for tokenizers that never join across white space.
 
-    Distinct runs between spaces are encoded once and remembered, up to a bound. A run of letters
-    (up to U+00FF) before an ASCII mark is a word of its own to the tokenizer, whatever its case;
+    Each distinct run between spaces is encoded once for all texts given together. A run of letters
+    (up to U+00FF) before ASCII marks is a word of its own to the tokenizer, whatever its case;
     such words go to the library many at a time, and the marks behind their last tokens tell them
-    apart again.
+    apart again. Words and other runs are remembered, up to a bound.
     """
 
     def __init__(self, path: str, most: int = MEMO_RUNS):
         self.library, self.ends = _tokenizer(path)
         self.most = most
-        self.memo: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {"": b""}
+        self.others: dict[str, bytes] = {"": b""}
 
     def _single(self, runs: list[str]) -> Iterator[bytes]:
         for at in range(0, len(runs), 20_000):
@@ -163,42 +165,41 @@ class WordTokenizer:
                 yield raw[first:end]
                 first = end
 
-    def _learn(self, runs: list[str]) -> None:
+    def _known(self, runs: pa.Array, memo: dict[str, bytes], encode: Callable[[list[str]], Iterator[bytes]]) -> pa.Array:
+        """The ids of every run, those new to ``memo`` by the library."""
+        coded = runs.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        if len(memo) > self.most:
+            memo.clear()
+            memo[""] = b""
+        new = [n for n in names if n not in memo]
+        memo.update(zip(new, encode(new), strict=True))
+        return pa.array(map(memo.__getitem__, names), pa.large_binary()).take(coded.indices)
+
+    def _encode(self, runs: pa.Array) -> pa.Array:
         if self.ends is None:
-            self.memo.update(zip(runs, self._single(runs), strict=True))
-            return
-        heads: list[str] = []
-        tails: list[str] = []
-        for run in runs:
-            word = run.rstrip(_MARKS)
-            # Letters, and behind them ASCII marks only; anything else goes to the library whole.
-            if word.isalpha() and (word.isascii() or _LETTERS.fullmatch(word)):
-                heads.append(word.lower())
-                tails.append(run[len(word) :])
-            else:
-                heads.append("")
-                tails.append(run)
-        parts = self.parts
-        words = list(set(heads).difference(parts))
-        parts.update(zip(words, self._words(words), strict=True))
-        others = list(set(tails).difference(parts))
-        parts.update(zip(others, self._single(others), strict=True))
-        self.memo.update(zip(runs, [parts[h] + parts[t] for h, t in zip(heads, tails, strict=True)], strict=True))
+            return self._known(runs, self.others, self._single)
+        plain = pc.extract_regex(runs, _PLAIN)
+        is_plain = plain.is_valid()
+        heads = pc.if_else(is_plain, pc.utf8_lower(pc.struct_field(plain, "head")), "")
+        tails = pc.if_else(is_plain, pc.struct_field(plain, "tail"), runs)
+        first, behind = self._known(heads, self.words, self._words), self._known(tails, self.others, self._single)
+        return pc.binary_join_element_wise(first, behind, pa.scalar(b"", pa.large_binary()))
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of every text."""
-        split = [t.split() if not _SEPARATORS.search(t) else t.split(" ") for t in texts]
-        if len(self.memo) > self.most:
-            self.memo.clear()
-            self.parts = {"": b""}
-        missing = set()
-        for words in split:
-            missing.update(words)
-        missing.difference_update(self.memo)
-        self._learn(list(missing))
-        get = self.memo.__getitem__
-        for words in split:
-            yield b"".join(map(get, words))
+        whole = pa.array(texts, pa.large_string())
+        if pc.any(pc.match_substring_regex(whole, _SEPARATORS)).as_py():
+            # No tokenizer joins across a plain space either, whatever else is in the run.
+            split = pc.split_pattern(whole, " ")
+        else:
+            split = pc.utf8_split_whitespace(whole)
+        coded = split.values.dictionary_encode()
+        ids = self._encode(coded.dictionary).take(coded.indices)
+        bounds = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[split.offsets.to_numpy()].tolist()
+        raw = memoryview(ids.buffers()[2])
+        for first, end in zip(bounds, bounds[1:], strict=False):
+            yield bytes(raw[first:end])
 
 
 @lru_cache(maxsize=1)
@@ -244,7 +245,7 @@ def write_ids(
         names: list[int] = []
         chunks: list[bytes] = []
         for whole in batches:
-            for batch in slices(whole, most=2 << 20):
+            for batch in slices(whole, most=BATCH_IN):
                 for name, ids in zip(batch.column(0).to_pylist(), ids_of(batch.column(1).to_pylist()), strict=True):
                     if names and (held + len(ids) // 4 >= block_ids or len(names) >= block_docs):
                         yield _block(seq, names, chunks)

@@ -116,7 +116,9 @@ def publishable_description(text: Column, limit: int = MAX_LENGTH, compose: bool
     """
     value = F.coalesce(text, F.lit(""))
     if compose:
-        value = nfc(value)
+        # ASCII is composed as it is: only other texts go to Python.
+        other = F.when(value.rlike(r"[^\x00-\x7F]"), value)
+        value = F.coalesce(nfc(other), value)
     value = F.regexp_replace(value, UNSAFE, "")
     return F.when(F.length(value) <= limit, value).otherwise(_ellipsis(value, limit))
 

@@ -102,15 +102,20 @@ def exact_medians(
 
 
 # Groups up to this size are sorted or counted whole; larger ones take the step-wise
-# way. The number of larger groups is at most rows / GROUP_LIMIT.
+# way.
 GROUP_LIMIT = 1_000_000
 
 
+# No more groups than this are ever called large, whatever the number of rows.
+MOST_HOT = 100_000
+
+
 def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -> DataFrame:
-    """Keys of groups with more than ``limit`` rows: rows / limit of them at most,
-    so a million keys for 10**12 rows. That bound makes them safe to broadcast."""
+    """Keys of groups with more than ``limit`` rows, and more than one in ``MOST_HOT`` of all
+    rows: fewer than ``MOST_HOT`` keys at every size, which makes them safe to broadcast."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return sizes.where(F.col("_rows") > limit).select(*keys)
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return sizes.where((F.col("_rows") > limit) & (F.col("_rows") > total / MOST_HOT)).select(*keys)
 
 
 def aggregate_with_medians(
@@ -123,8 +128,8 @@ def aggregate_with_medians(
     """``aggregates`` and exact medians per group in one pass.
 
     The built-in median holds a group's distinct values in one task, so it is used
-    up to ``limit`` rows; larger groups go through ``exact_medians``. ``df`` is read
-    three times: pass a materialised one. Keys must be non-null.
+    in groups that are not hot; those go through ``exact_medians``. ``df`` is read
+    several times: pass a materialised one. Keys must be non-null.
     """
     if not metrics:
         return df.groupBy(*keys).agg(*aggregates)
@@ -161,6 +166,11 @@ def top_per_group(
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= limit)
 
 
+def top_rows(df: DataFrame, order: Sequence[str | Column], limit: int, rank: str = "rank") -> DataFrame:
+    """First ``limit`` rows of all: every task keeps its best, and only ``limit`` rows are numbered."""
+    return df.orderBy(*order).limit(limit).withColumn(rank, F.row_number().over(Window.orderBy(*order)))
+
+
 def ordered_list(value: str | Column, rank: str = "rank") -> Column:
     """Aggregate: values of an already limited group, in rank order."""
     value = F.col(value) if isinstance(value, str) else value

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from cratebook.functions import times
 from cratebook.functions.music import uri_item
-from cratebook.operators.grouping import counted_row_number, top_per_group
+from cratebook.operators.grouping import counted_row_number, top_per_group, top_rows
 
 
-def _ranking(item: str) -> list[Column]:
+def ranking(item: str) -> list[Column]:
     return [F.desc("play_count"), F.desc("total_ms"), F.col(item).asc()]
 
 
@@ -44,7 +44,7 @@ def most_played(
     history: DataFrame, month: str | None = None, limit: int = 50, item: str = "track_uri"
 ) -> DataFrame:
     """Best ``limit`` tracks; an empty track is dropped after the cut."""
-    best = play_stats(_in_month(history, month), item=item).orderBy(*_ranking(item)).limit(limit)
+    best = play_stats(_in_month(history, month), item=item).orderBy(*ranking(item)).limit(limit)
     return _usable(best, item)
 
 
@@ -53,7 +53,7 @@ def most_played_by(
 ) -> DataFrame:
     """Best tracks of every period at once. ``period`` is a column of ``history``."""
     stats = play_stats(history.where(F.col(period).isNotNull()), period, item=item)
-    return _usable(top_per_group(stats, [period], _ranking(item), limit), item)
+    return _usable(top_per_group(stats, [period], ranking(item), limit), item)
 
 
 def daypart_top(
@@ -134,12 +134,12 @@ def on_this_day(
 def rerank_by_plays(
     items: DataFrame, history: DataFrame, rank: str = "rank", item: str = "track_uri"
 ) -> DataFrame:
-    """Order by play count, unplayed last; equal counts keep their old rank."""
+    """Order by play count, unplayed last; equal counts keep their old rank, then the item decides."""
     counts = play_stats(history, item=item).select(item, "play_count")
     return (
         items.join(counts, item, "left")
         .withColumn("play_count", F.coalesce("play_count", F.lit(0)))
-        .orderBy(F.desc("play_count"), rank)
+        .orderBy(F.desc("play_count"), rank, item)
     )
 
 
@@ -199,13 +199,8 @@ def recent_listening(
             .groupBy("label")
             .agg(F.count(F.lit(1)).alias("n"))
         )
-        best = top_per_group(
-            counts.select(F.lit(section).alias("section"), "label", "n"),
-            ["section"],
-            [F.desc("n"), "label"],
-            limit,
-        )
-        return best.select("section", "rank", "label", F.col("n").cast("double").alias("value"))
+        best = top_rows(counts, [F.desc("n"), "label"], limit)
+        return best.select(F.lit(section).alias("section"), "rank", "label", F.col("n").cast("double").alias("value"))
 
     # A missing name counts as one more distinct name.
     names = F.countDistinct(track) + F.max(F.when(F.col(track).isNull(), 1).otherwise(0))
@@ -249,7 +244,8 @@ def history_union(basic: DataFrame, extended: DataFrame, fill_gaps: bool = False
 
 
 def sorted_history(history: DataFrame) -> DataFrame:
-    return history.orderBy("timestamp")
+    """Oldest first; the other columns order plays of the same time."""
+    return history.orderBy("timestamp", *[c for c in history.columns if c != "timestamp"])
 
 
 def ordered_distinct(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cratebook.functions import names, texts, times
 from cratebook.functions.names import NameStyle
 from cratebook.operators import plays
+from cratebook.operators.grouping import top_rows
 from cratebook.operators.library import keep_in, keep_not_in
 from cratebook.operators.selection import delta_add
 from cratebook.session import cut_lineage
@@ -111,19 +112,24 @@ def current_year_plan(
 
     ``liked_scope="all"`` takes every liked item, ``"year"`` only this year's.
     """
-    year = F.year(F.lit(as_of).cast("date"))
+    start = F.trunc(F.lit(as_of).cast("date"), "year")
+    year = F.year(start)
+
+    def in_year(df: DataFrame, column: str) -> DataFrame:
+        # A range in the column's own type, so that a scan can use it.
+        kind = dict(df.dtypes)[column]
+        return df.where((F.col(column) >= start.cast(kind)) & (F.col(column) < F.add_months(start, 12).cast(kind)))
+
     if liked_scope == "year":
-        liked = liked.where(F.year("added_at") == year)
+        liked = in_year(liked, "added_at")
     finds = plays.ordered_distinct(liked, [], ["added_at", "position"]).select(
         F.lit("monthly").alias("type"), "track_uri", F.col("position").alias("rank")
     )
-    this_year = history.where(F.year("timestamp") == year).withColumn("all", F.lit(1))
-    top = plays.most_played_by(this_year, "all", limit).select(
-        F.lit("most_played").alias("type"), "track_uri", "rank"
-    )
-    fresh = plays.discovery_by_year(this_year, limit).select(
-        F.lit("discovery").alias("type"), "track_uri", "rank"
-    )
+    this_year = in_year(history, "timestamp")
+    best = top_rows(plays.play_stats(this_year), plays.ranking("track_uri"), limit)
+    top = best.where(F.col("track_uri") != "").select(F.lit("most_played").alias("type"), "track_uri", "rank")
+    firsts = top_rows(plays.first_plays(this_year), ["first_play", "track_uri"], limit)
+    fresh = firsts.select(F.lit("discovery").alias("type"), "track_uri", "rank")
     desired = finds.unionByName(top).unionByName(fresh)
     kind = F.col("type")
     name: Column = F.lit(None).cast("string")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cratebook.operators import overlap, plays, profiles, statistics
-from cratebook.operators.grouping import top_per_group
+from cratebook.operators.grouping import top_rows
 
 
 def _section(df: DataFrame, name: str, rank: Column, label: Column, value: Column) -> DataFrame:
@@ -18,10 +18,6 @@ def _section(df: DataFrame, name: str, rank: Column, label: Column, value: Colum
     )
 
 
-def _ranked(df: DataFrame, order: list, limit: int) -> DataFrame:
-    return top_per_group(df.withColumn("report", F.lit(1)), ["report"], order, limit)
-
-
 def insights_report(
     playlists: DataFrame,
     playlist_tracks: DataFrame,
@@ -51,7 +47,7 @@ def insights_report(
         ).alias("label", "value")
     )
     report = _section(counts, "counts", F.lit(1), F.col("label"), F.col("value"))
-    genres = _ranked(profiles.genre_distribution(tracks), [F.desc("n"), "genre"], 10)
+    genres = top_rows(profiles.genre_distribution(tracks), [F.desc("n"), "genre"], 10)
     report = report.unionByName(
         _section(genres, "genres", F.col("rank"), F.col("genre"), F.col("percentage"))
     )
@@ -64,20 +60,20 @@ def insights_report(
     labels = playlists.select(F.col("playlist_id").alias("set_id"), "name")
     both = F.concat_ws(" + ", "name1", "name2")
     similar = overlap.similar_collections(sets, labels, limit=5)
-    similar = _ranked(similar, [F.desc("similarity"), "set1", "set2"], 5)
+    similar = top_rows(similar, [F.desc("similarity"), "set1", "set2"], 5)
     report = report.unionByName(_section(similar, "similar", F.col("rank"), both, F.col("similarity")))
     own_names = mine.select(F.col("playlist_id").alias("set_id"), "name")
     merges = overlap.merge_candidates(
         sets.join(own_names, "set_id", "left_semi"), own_names, size_threshold=size_threshold, limit=3
     )
-    merges = _ranked(merges, [F.desc("similarity"), "set1", "set2"], 3)
+    merges = top_rows(merges, [F.desc("similarity"), "set1", "set2"], 3)
     report = report.unionByName(_section(merges, "merge", F.col("rank"), both, F.col("similarity")))
     if health:
         first = mine.orderBy("playlist_id").limit(health)
         scores = statistics.health_score(first, playlist_tracks, tracks).join(
             first.select("playlist_id", "name"), "playlist_id"
         )
-        ranked = _ranked(scores, ["playlist_id"], health)
+        ranked = top_rows(scores, ["playlist_id"], health)
         report = report.unionByName(
             _section(ranked, "health", F.col("rank"), F.col("name"), F.col("score"))
         )

@@ -21,6 +21,11 @@ SKEW_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# State of streams lies on the executors' disks and in the checkpoint folder, not in the heap.
+STREAM_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
 # Checkpoints are compressed, and removed once nothing refers to them.
 STORAGE_CONF = {
     "spark.checkpoint.compress": "true",
@@ -32,14 +37,14 @@ def get_session(app_name: str = "cratebook", master: str | None = None, **conf:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SEMANTIC_CONF, **SKEW_CONF, **STORAGE_CONF, **conf}.items():
+    for key, value in {**SEMANTIC_CONF, **SKEW_CONF, **STREAM_CONF, **STORAGE_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def apply_runtime_conf(spark: SparkSession) -> SparkSession:
     """Set the run-time settings on a session that somebody else created."""
-    for key, value in {**SEMANTIC_CONF, **SKEW_CONF}.items():
+    for key, value in {**SEMANTIC_CONF, **SKEW_CONF, **STREAM_CONF}.items():
         spark.conf.set(key, value)
     return spark
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,10 +20,14 @@ def table_path(folder: str, key: str, fmt: str = "parquet") -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Asked of the file system the path belongs to; nothing is listed or read."""
-    context = spark.sparkContext
-    place = context._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
+    """Asked of the file system the path belongs to; no file is read."""
+    try:
+        spark.read.format("binaryFile").load(path).schema  # noqa: B018  Connect resolves only now
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def load_table(spark: SparkSession, folder: str, key: str, fmt: str = "parquet") -> DataFrame:

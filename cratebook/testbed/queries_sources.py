@@ -472,14 +472,14 @@ def stream_ingest_history(v):
 
 @entry(
     "stream_play_counts",
-    """WITH d AS (SELECT strftime(timestamp, '%Y-%m-%d') AS day, track_uri, count(*) AS play_count,
-  CAST(sum(ms_played) AS BIGINT) AS total_ms, date_trunc('day', min(timestamp)) + INTERVAL 1 DAY AS day_end FROM plays_short GROUP BY 1, 2)
-SELECT day, track_uri, play_count, total_ms FROM d
-WHERE day_end <= (SELECT max(timestamp) FROM plays_short) - INTERVAL 1 DAY""",
+    """SELECT strftime(timestamp, '%Y-%m-%d') AS day, track_uri, count(ms_played) AS play_count,
+  CAST(sum(ms_played) AS BIGINT) AS total_ms FROM plays_short GROUP BY 1, 2""",
     ("plays_short",),
 )
 def stream_play_counts(v):
-    counts = streamed(v, jobs.play_counts(event_stream(v)), "counts")
+    sink = scratch_path(v.spark, "counts-sink")
+    jobs.count_available(event_stream(v), sink, scratch_path(v.spark, "counts-state"))
+    counts = jobs.read_counts(v.spark, sink)
     return counts.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "track_uri", "play_count", "total_ms")
 
 

@@ -11,6 +11,7 @@ from cratebook.operators.grouping import (
     counted_row_number,
     exact_medians,
     hot_groups,
+    top_rows,
     top_per_group,
 )
 
@@ -59,6 +60,11 @@ def test_medians_do_not_depend_on_the_group_limit(numbers, limit):
     assert sum(r["n"] for r in got) == len(data)
 
 
+def test_top_rows(spark):
+    got = top_rows(spark.range(100).selectExpr("id", "id % 7 AS k"), ["k", F.desc("id")], 3).collect()
+    assert [(r["id"], r["rank"]) for r in sorted(got, key=lambda r: r["rank"])] == [(98, 1), (91, 2), (84, 3)]
+
+
 def test_hot_groups(numbers):
     _, df = numbers
     assert [r["k"] for r in hot_groups(df, ["k"], 500).collect()] == ["hot"]

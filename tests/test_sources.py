@@ -203,6 +203,20 @@ def test_stream_counts_drop_late_rows(spark, tmp_path, rows):
     assert run() == [("01", "a", 2, 30), ("04", "b", 1, 30)]
 
 
+def test_added_counts_keep_late_rows(spark, tmp_path, rows):
+    folder, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+
+    def run():
+        jobs.count_available(jobs.read_stream(spark, folder, PLAY), sink, state)
+        return rows(jobs.read_counts(spark, sink), F.date_format("start", "dd"), "track_uri", "play_count", "total_ms")
+
+    land(spark, folder, [(1, "2024-01-01 10:00:00", 1, "a", 10, None), (3, "2024-01-04 00:00:00", 1, "b", 30, None)])
+    assert run() == [("01", "a", 1, 10), ("04", "b", 1, 30)]
+    # Days late, and nothing new in the last run.
+    land(spark, folder, [(4, "2024-01-01 12:00:00", 1, "a", 99, None)])
+    assert run() == run() == [("01", "a", 2, 109), ("04", "b", 1, 30)]
+
+
 def test_stream_first_plays(spark, tmp_path, rows):
     folder, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     for play in [(1, "2024-01-01 10:00:00", 1, "a", 10, None)], [(2, "2024-02-01 10:00:00", 1, "a", 10, None), (3, "2024-02-01 10:00:00", 2, "a", 10, None)]:
@@ -220,5 +234,5 @@ def test_streams_read_tables_that_are_folders(spark, small, tmp_path):
         shutil.copy(f"{small}/{table}.parquet", tmp_path / f"{table}.parquet")
     (tmp_path / "events.parquet").unlink()
     spark.read.parquet(f"{small}/events.parquet").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
-    for name in ("stream_first_plays", "stream_ingest_history"):
+    for name in ("stream_first_plays", "stream_ingest_history", "stream_play_counts"):
         assert sorted(map(tuple, QUERIES[name](spark, str(tmp_path)).collect()), key=repr) == sorted(map(tuple, QUERIES[name](spark, small).collect()), key=repr)

@@ -16,14 +16,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from cratebook.llm.common import MEMO_WORDS, keyed_text, slices
+from cratebook.llm.common import keyed_text, slices
 
 SPACE = "▁"
 NO_PAIR = np.int64(1) << 40
 
 
+#: Bytes of text encoded together: a word is merged once in them.
+BATCH_IN = 8 << 20
+
+
 @dataclass
 class Pieces:
     """Lookup tables of a piece model."""
@@ -185,6 +190,8 @@ def words_of(text: str) -> list[str]:
     return text.split(" ")
 
 
+#: Most words merged at once.
+MOST_WORDS = 100_000
 #: Words up to this length are merged as they are.
 SHORT_WORD = 24
 
@@ -199,39 +206,54 @@ def _parts(model: Pieces, word: str) -> list[str]:
     return [word[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def _joined(values: pa.Array, sizes: np.ndarray) -> pa.Array:
+    """Large-binary values run together: as many as ``sizes`` tells into each result."""
+    _, offsets, data = values.buffers()
+    at = np.frombuffer(offsets, np.int64, len(values) + 1)[np.r_[0, np.cumsum(sizes)]] if len(values) else np.zeros(len(sizes) + 1, np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(at), data or pa.py_buffer(b"")])
+
+
 class Encoder:
-    """Encodes texts; remembers words, up to a bound."""
+    """Encodes texts. Each distinct word of the texts given together is merged once, at most
+    ``most`` words at a time; nothing is kept from one call to the next."""
 
-    def __init__(self, model: Pieces, most: int = MEMO_WORDS):
+    def __init__(self, model: Pieces, most: int = MOST_WORDS):
         self.model, self.most = model, most
-        self.memo: dict[str, tuple[bytes, str]] = {}
+        self.decimals = pa.array([f"{i},".encode() for i in range(model.size)], pa.large_binary())
+
+    def _merged(self, words: list[str]) -> pa.Array:
+        ids, ends = encode_words(self.model, words)
+        whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(np.arange(len(ids) + 1) * 4), pa.py_buffer(ids)])
+        return _joined(whole, np.diff(ends, prepend=0))
 
-    def learn(self, words: set[str]) -> None:
+    def _words(self, words: list[str]) -> pa.Array:
+        """The ids of every word, little-endian."""
         cut = [_parts(self.model, w) for w in words]
-        distinct = list({p for parts in cut for p in parts})
-        ids, ends = encode_words(self.model, distinct)
-        raw, said = ids.tobytes(), list(map(str, ids.tolist()))
-        starts = [0, *ends.tolist()]
-        found = {p: (raw[4 * a : 4 * b], ",".join(said[a:b])) for p, a, b in zip(distinct, starts, starts[1:], strict=False)}
-        for w, parts in zip(words, cut, strict=True):
-            if len(parts) == 1:
-                self.memo[w] = found[parts[0]]
-            else:
-                pairs = [found[p] for p in parts]
-                self.memo[w] = (b"".join([p[0] for p in pairs]), ",".join([p[1] for p in pairs]))
+        parts = pa.array([p for c in cut for p in c], pa.large_string()).dictionary_encode()
+        distinct = parts.dictionary.to_pylist()
+        merged = [self._merged(distinct[at : at + self.most]) for at in range(0, len(distinct), self.most)]
+        known = pa.concat_arrays(merged) if merged else pa.array([], pa.large_binary())
+        return _joined(known.take(parts.indices), np.fromiter(map(len, cut), np.int64, len(cut)))
+
+    def _texts(self, split: pa.Array) -> Iterator[tuple[bytes, str]]:
+        """``split``: the words of every text, as a list array."""
+        words = split.values.dictionary_encode()
+        ids = _joined(self._words(words.dictionary.to_pylist()).take(words.indices), np.diff(split.offsets.to_numpy()))
+        at = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)
+        flat = np.frombuffer(ids.buffers()[2], "<i4", int(at[-1]) // 4)
+        said = _joined(self.decimals.take(pa.array(flat)), np.diff(at) // 4)
+        for raw, numbers in zip(ids, said, strict=True):
+            yield raw.as_py(), numbers.as_py()[:-1].decode()
 
     def __call__(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """For each text its ids as little-endian 32-bit integers, and in decimal."""
-        split = [words_of(t) for t in texts]
-        if len(self.memo) > self.most:
-            self.memo.clear()
-        missing = {w for words in split for w in words if w not in self.memo}
-        if missing:
-            self.learn(missing)
-        get = self.memo.__getitem__
-        for words in split:
-            pairs = list(map(get, words))
-            yield b"".join([p[0] for p in pairs]), ",".join([p[1] for p in pairs])
+        # Most texts are cut at single spaces; the others need a closer look.
+        usual = [bool(t) and SPACE not in t and "  " not in t and t[0] != " " and t[-1] != " " for t in texts]
+        plain = pc.split_pattern(pa.array([t for t, u in zip(texts, usual, strict=True) if u], pa.large_string()), " ")
+        other = pa.array([words_of(t) for t, u in zip(texts, usual, strict=True) if not u], pa.list_(pa.large_string()))
+        of_plain, of_other = self._texts(plain), self._texts(other)
+        for u in usual:
+            yield next(of_plain if u else of_other)
 
 
 def decoder(model: Pieces) -> Callable[[list[int]], str]:
@@ -289,7 +311,7 @@ def _encoded(docs: DataFrame, model_file: str, id_col: str, text_col: str, row:
         model = read_pieces(model_file)
         encoder, decode = Encoder(model), decoder(model)
         for whole in batches:
-            for batch in slices(whole, most=4 << 20):
+            for batch in slices(whole, most=BATCH_IN):
                 out = [row(ids, said, decode) for ids, said in encoder(batch.column(1).to_pylist())]
                 arrays = [pa.array(x, t) for x, t in zip(zip(*out, strict=True), row.types, strict=True)]
                 yield pa.record_batch([batch.column(0), *arrays], schema=pa.schema([("id", pa.int64()), *[(f"c{k}", t) for k, t in enumerate(row.types)]]))

@@ -250,6 +250,36 @@ def test_cap_decoding_lists_every_exceeding_direction():
     assert set(zip(*map(np.ndarray.tolist, caps.decode(v, 0.5, 32, 0)), strict=True)) == want
 
 
+def test_near_vectors_of_any_length_by_default(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for dim in (2, 64, 96, 128, 384):
+        for _ in range(150 if dim > 2 else 3):
+            u, w = np.linalg.qr(rng.standard_normal((dim, 2)))[0].T
+            a, b = len(rows), len(rows) + 1
+            rows += [(a, u.tolist()), (b, (3 * (0.901 * u + np.sqrt(1 - 0.901**2) * w)).tolist())]
+    units = [np.array(v) / np.linalg.norm(v) for _, v in rows]
+    links = {(a, b) for a in range(len(rows)) for b in range(len(rows)) if a != b and len(units[a]) == len(units[b]) and units[a] @ units[b] >= 0.9}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in caps.near_vectors(df).collect()}
+    root = brute.components(range(len(rows)), links)
+    assert got == {i: (sum(a == i for a, _ in links), root[i]) for i in range(len(rows))}
+
+
+def test_cap_threshold_follows_the_dimension():
+    rng = np.random.default_rng(9)
+    for dim in (64, 128, 384):
+        u, w = np.linalg.qr(rng.standard_normal((300, dim, 2)))[0].transpose(2, 0, 1)
+        found = [set(zip(*map(np.ndarray.tolist, caps.filters_of(x, 0.9, None, caps.WORDS, caps.TABLES)), strict=True)) for x in (u, 0.9 * u + np.sqrt(0.19) * w)]
+        shared = np.bincount([i for i, _ in found[0] & found[1]], minlength=300)
+        assert shared.min() > 0 and 40 < shared.mean() < 70 and len(found[0]) < 300 * 300
+    assert caps.far(0.9) == 46
+    with pytest.raises(ValueError, match="128 dimensions"):
+        caps.threshold(128, 0.9, caps.WORDS, caps.TABLES, 0.5)
+    with pytest.raises(ValueError, match="no threshold"):
+        caps.threshold(64, 0.1, caps.WORDS, caps.TABLES)
+
+
 def test_urls(spark):
     link = lambda h: f'<a HREF="https://{h}/x">x</a>'
     rows = [

@@ -15,12 +15,13 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cratebook.llm.common import col, keyed_text, slices, stored
+from cratebook.llm.common import col, fresh, keyed_text, slices, stored
 from cratebook.llm.components import components
 
 #: Texts above so many bytes are read in blocks.
@@ -168,19 +169,27 @@ def _finer(mask: int, max_bits: int) -> list[int]:
     return [mask | sum(1 << b for b in unknown[k :: max_bits + 1]) for k in range(min(max_bits + 1, len(unknown)))]
 
 
+def _classes(prints: DataFrame, max_bits: int, limit: int = LIST_LIMIT) -> DataFrame:
+    """(fp, class, smallest): the component of every fingerprint of a row with id, and the
+    smallest id in it. The nodes are fingerprints, as two of them may share their smallest id."""
+    distinct = stored(prints.where("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("least")), "prints")
+    roots = components(links(distinct.select("fp", F.col("fp").alias("rep")), max_bits, limit)).withColumnRenamed("node", "fp")
+    named = stored(distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("class")), "prints")
+    smallest = named.groupBy("class").agg(F.min("least").alias("smallest"))
+    return named.join(smallest, "class").select("fp", "class", "smallest")
+
+
 def near_duplicates(prints: DataFrame, max_bits: int = 3, limit: int = LIST_LIMIT) -> DataFrame:
     """(id, fp, component_id) for a table (id, fp), one row per row.
 
     component_id is the smallest id that a chain of fingerprints of at most ``max_bits``
     differing bits reaches, the document itself included. Equal fingerprints meet in one
     group before anything is compared, so copies cost one row. Rows without id have no
-    component and link with nothing; repeated rows stay repeated; an empty table gives none.
+    component and link with nothing; repeated rows stay repeated, and rows of one id with
+    different fingerprints each have the component of their own; an empty table gives none.
     """
-    distinct = stored(prints.where("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("rep")), "prints")
-    roots = components(links(distinct, max_bits, limit)).withColumnRenamed("node", "rep")
-    named = distinct.join(roots, "rep", "left").select("fp", F.coalesce("root", "rep").alias("root"))
-    joined = prints.join(named, "fp", "left")
-    return joined.select("id", "fp", F.when(F.col("id").isNotNull(), F.col("root")).alias("component_id"))
+    joined = prints.join(_classes(prints, max_bits, limit), "fp", "left")
+    return joined.select("id", "fp", F.when(F.col("id").isNotNull(), F.col("smallest")).alias("component_id"))
 
 
 def simhash_neardup(
@@ -201,17 +210,31 @@ def simhash_neardup(
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 3, max_bits: int = 3) -> DataFrame:
     """The rows of ``docs`` with one document of each group of near-duplicates: that of the
-    smallest id. Rows without id stay; of rows repeated with id and text one stays."""
+    smallest id. Rows without id stay. Of several rows of that id in the group one stays; an id
+    whose rows belong to several groups is decided in each of them."""
     prints = stored(fingerprints(docs, id_col, text_col, length), "prints")
-    found = near_duplicates(prints, max_bits)
+    classes = stored(_classes(prints, max_bits), "prints")
+    found = prints.where("id IS NOT NULL").join(classes, "fp")
     ids = stored(
-        found.where("id IS NOT NULL").groupBy("id").agg((F.max("component_id") < F.col("id")).alias("gone"), (F.count(F.lit(1)) > 1).alias("again")).where("gone OR again"),
+        found.groupBy("id").agg((F.max("smallest") < F.col("id")).alias("gone"), (F.count(F.lit(1)) > 1).alias("again")).where("gone OR again"),
         "flags",
     )
     key = col(id_col).cast("long")
-    stay = docs.join(ids.where("gone"), key == ids["id"], "left_anti")
-    again = ids.where("again AND NOT gone")
+    stay = docs.join(ids.where("gone AND NOT again"), key == ids["id"], "left_anti")
+    again = ids.where("again")
     if not again.limit(1).count():
         return stay
     once = stay.join(again, key == again["id"], "left_anti")
-    return once.unionByName(stay.join(again, key == again["id"], "left_semi").dropDuplicates([id_col, text_col]))
+
+    @F.pandas_udf("long")
+    def print_of(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, length) for t in texts], "<u8").view("<i8"))
+
+    fp, group, digest = fresh(docs, "own_fp"), fresh(docs, "own_class"), fresh(docs, "own_digest")
+    text = F.coalesce(col(text_col).cast("string"), F.lit(""))
+    rows = stay.join(again, key == again["id"], "left_semi").select("*", print_of(text).alias(fp), F.sha2(text, 256).alias(digest))
+    groups = classes.select(F.col("fp").alias(fp), F.col("class").alias(group), F.col("smallest").alias(fresh(docs, "own_smallest")))
+    rows = stored(rows.join(groups, fp).where(key == F.col(fresh(docs, "own_smallest"))), "repeated")
+    first = rows.groupBy(group).agg(F.min(digest).alias(digest))
+    chosen = rows.join(first, [group, digest], "left_semi").dropDuplicates([group])
+    return once.unionByName(chosen.select(*[col(c) for c in docs.columns]))

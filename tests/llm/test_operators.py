@@ -75,6 +75,24 @@ def test_simhash(spark, docs, empty):
     assert simhash.simhash_neardup(empty).count() == 0
 
 
+def test_simhash_of_an_id_with_several_texts(spark):
+    text = " ".join(f"w{k}" for k in range(400))
+    near = next(t for t in (text.replace(f"w{k} ", f"x{k} ") for k in range(100, 400)) if 0 < (brute.simhash(t) ^ brute.simhash(text)).bit_count() <= 3)
+    other = " ".join(f"v{k}" for k in range(400))
+    rows = [(3, text), (7, near), (7, other), (7, other), (8, other), (9, "some words here"), (9, near), (10, near + " "), (11, text[1:]), (11, near[1:])]
+    docs = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, fp string")
+    roots = brute.components(range(len(rows)), [(a, b) for a in range(len(rows)) for b in range(a) if (brute.simhash(rows[a][1]) ^ brute.simhash(rows[b][1])).bit_count() <= 3])
+    groups = {}
+    for k, (i, _) in enumerate(rows):
+        groups[roots[k]] = min(i, groups.get(roots[k], i))
+    want = sorted((i, f"{brute.simhash(t):016x}", groups[roots[k]]) for k, (i, t) in enumerate(rows))
+    assert (7, f"{brute.simhash(other):016x}", 7) in want and (7, f"{brute.simhash(near):016x}", 3) in want
+    assert sorted(map(tuple, simhash.simhash_neardup(docs).collect())) == want
+    kept = [(r.doc_id, brute.simhash(r.text)) for r in simhash.keep_one_of_each(docs).collect()]
+    assert len(kept) == len(groups) and sorted(i for i, _ in kept) == sorted(groups.values())
+    assert (3, brute.simhash(text)) in kept and (7, brute.simhash(other)) in kept
+
+
 def test_simhash_blocks_of_a_long_text_join(monkeypatch):
     text = " ".join(f"w{k % 97}" for k in range(3000))
     whole = simhash.fingerprint(text)

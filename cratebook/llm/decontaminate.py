@@ -42,14 +42,18 @@ class Block:
 
     vocabulary: dict[bytes, int]
     windows: list[np.ndarray]  # distinct windows as word numbers
-    items: list[list[str]]  # the items each window comes from
+    items: list[list[str | None]]  # the items each window comes from; None: items without id
     shingles: dict[int, dict[bytes, int]]  # by length: shingle -> number
     of: list[list[int]]  # the shingle numbers of each window, by offset
 
 
-def make_block(rows: list[tuple[str, list[bytes]]], window: int, shingle: int) -> Block:
+def _by_name(items: set[str | None]) -> list[str | None]:
+    return sorted(items, key=lambda i: (i is None, i or ""))
+
+
+def make_block(rows: list[tuple[str | None, list[bytes]]], window: int, shingle: int) -> Block:
     vocabulary: dict[bytes, int] = {}
-    found: dict[bytes, set[str]] = {}
+    found: dict[bytes, set[str | None]] = {}
     for item, words in rows:
         ids = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words], "<i4")
         for k in range(max(1, len(ids) - window + 1)):
@@ -68,19 +72,19 @@ def make_block(rows: list[tuple[str, list[bytes]]], window: int, shingle: int) -
                 count += 1
             own.append(known[key])
         of.append(own)
-    return Block(vocabulary, windows, [sorted(x) for x in found.values()], shingles, of)
+    return Block(vocabulary, windows, [_by_name(x) for x in found.values()], shingles, of)
 
 
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, shingle: int, most: int) -> Iterator[Block]:
     """The items in blocks of at most ``most`` words (or one item, if it alone is longer)."""
-    rows: list[tuple[str, list[bytes]]] = []
+    rows: list[tuple[str | None, list[bytes]]] = []
     held = 0
     for item, text in benchmark.select(col(id_col).cast("string"), col(text_col).cast("string")).toLocalIterator():
         words = words_of(text or "")
         if rows and held + len(words) > most:
             yield make_block(rows, window, shingle)
             rows, held = [], 0
-        if words and item is not None:
+        if words:
             rows.append((item, words))
             held += len(words)
     yield make_block(rows, window, shingle)
@@ -171,10 +175,10 @@ def contamination(
 
     * number of words;
     * runs of hit words as [first, last + 1, first, ...], word positions from 0;
-    * the ids, as strings, of the items that have a window in the text.
+    * the ids, as strings, of the items that have a window in the text; one null stands for all
+      items without id.
 
-    A null or empty text has no words; an item without words or without id has no windows;
-    equal windows of several items count for each. Either table may be empty.
+    A null or empty text has no words; an item without words has no windows; equal windows of several items count for each. Either table may be empty.
     """
     n_words, hits, items = contamination_columns(docs)
     spark = docs.sparkSession
@@ -238,7 +242,7 @@ def _mark(docs: DataFrame, text_col: str, n_words: str, hits: str, items: str, s
                 for a, b in zip(old[::2], old[1::2], strict=True):
                     own[a:b] = True
                 named = {i for w in inside[d] for i in block.items[w]} | set(known[start + d])
-                out.append((n, _runs(own), sorted(named)))
+                out.append((n, _runs(own), _by_name(named)))
         return pd.DataFrame(out, columns=["n", "hits", "items"])
 
     made = fresh(docs, "marks")

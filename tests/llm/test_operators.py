@@ -123,6 +123,13 @@ def test_decontamination(docs, empty, items, block):
     assert not any(r.contaminated for r in decontaminate.report(docs, items.where("false")).collect())
 
 
+def test_decontamination_by_items_without_id(spark, docs):
+    items = spark.createDataFrame([(None, PASSAGE), (None, PASSAGE + " thirteen"), (200, "call"), (None, "MAIL a.b"), (None, None)], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontaminate.report(docs, items).collect()}
+    assert got[6] == (12, 1, brute.sha(""), True) and got[1] == (4, 2, brute.sha("200"), True) and got[7] == (0, 0, brute.sha(""), False)
+    assert 6 not in {r.doc_id for r in decontaminate.drop_contaminated(docs, items).collect()}
+
+
 def test_pii(docs, empty):
     got = by_id(pii.report(docs))
     texts = sorted(TEXTS, key=lambda r: (r[0] is None, r[0]))

@@ -4,8 +4,8 @@ Two fingerprints that differ in at most three bits agree in at least five of the
 eight bytes, position by position. The inverted index therefore need not hold single
 bytes, whose lists would grow with the square of the table: it holds the fourteen
 quadruples of byte positions in which any five agreeing positions contain one, that is
-32 known bits an entry. Pairs that meet there are tallied for agreeing bytes, those with
-fewer than the guaranteed number are dropped, and the rest is verified bit by bit.
+32 known bits an entry. Pairs that meet there are verified bit by bit; the count of agreeing bytes
+comes after that and drops none, since at most three bytes can hold three differing bits.
 """
 
 from __future__ import annotations

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cratebook.session import cut_lineage
+
 
 def counted_row_number(
     df: DataFrame,
@@ -40,6 +42,36 @@ def counted_row_number(
     )
 
 
+def numbered(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    name: str = "position",
+    total: str = "total",
+) -> DataFrame:
+    """0-based position per ``keys`` in the order of columns ``order``, and the group's size.
+
+    One range exchange sorts the rows, wherever groups begin and end; the sorted rows are
+    written once, numbered by where they lie. Counts per group and partition (no more rows
+    than groups and partitions together) then give each piece of a group its offset. No
+    task holds a group, and rows that are equal in all of ``keys`` and ``order`` are spread
+    by a number of their own. Keys must be non-null, order columns may be null (first).
+    """
+    tie, place, piece = "_tie", "_place", "_piece"
+    tied = cut_lineage(df.withColumn(tie, F.monotonically_increasing_id()))
+    ordered = tied.repartitionByRange(*keys, *order, tie).sortWithinPartitions(*keys, *order, tie)
+    # The upper 31 bits of the number are the partition's, the lower 33 count its rows.
+    rows = cut_lineage(ordered.drop(tie).withColumn(place, F.monotonically_increasing_id()))
+    rows = rows.withColumn(piece, F.shiftright(place, 33))
+    pieces = rows.groupBy(*keys, piece).agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = F.sum("_rows").over(group.orderBy(piece)) - F.col("_rows")
+    offsets = pieces.select(
+        *keys, piece, (before - F.col("_first")).alias("_shift"), F.sum("_rows").over(group).alias(total)
+    )
+    return rows.join(offsets, [*keys, piece]).withColumn(name, F.col(place) + F.col("_shift")).drop(place, piece, "_shift")
+
+
 def exact_medians(
     df: DataFrame,
     keys: Sequence[str],

@@ -38,12 +38,17 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def written(df: DataFrame, label: str) -> str:
+    """The path of a new table in the shared folder that holds the rows."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return path
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read again: survives lost executors, ends the
     lineage, and gives the optimizer true sizes."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(written(df, label))
 
 
 def keyed_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratebook.llm import caps, decontaminate, idfile, pieces, pii, quality, sharding, simhash, toxicity, urls
+from cratebook.llm import caps, decontaminate, idfile, merkle, pieces, pii, quality, sharding, simhash, toxicity, urls
 from cratebook.llm.common import load
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -71,6 +71,13 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_neardup(load(spark, folder, "documents"))
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest against texts of which every second id's has lost its line ends."""
+    docs = load(spark, folder, "documents")
+    cut = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    return merkle.manifest(docs, changed_text=F.when(cut, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text")))
+
+
 QUERIES = {
     "op1_embeddings": op1_embeddings,
     "op2_toxicity": op2_toxicity,
@@ -82,6 +89,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op11_merkle": op11_merkle,
 }
 ORACLES: dict[str, str] = {
     "op1_embeddings": """
@@ -128,4 +136,67 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
             sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op11_merkle": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, source, text, lang, n_chars,
+                list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+                    lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END) AS crc
+            FROM documents
+        ),
+        t AS (
+            SELECT doc_id, source, list_concat([doc_id::VARCHAR, source, lang, n_chars::VARCHAR], [text]) AS old,
+                list_concat([doc_id::VARCHAR, source, lang, n_chars::VARCHAR],
+                    [CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END]) AS new
+            FROM d
+        ),
+        h AS (
+            SELECT doc_id, source,
+                sha256(list_reduce(list_transform(old, lambda v: coalesce(strlen(v) || ':' || v, '-')), lambda a, b: a || b)) AS leaf,
+                sha256(list_reduce(list_transform(new, lambda v: coalesce(strlen(v) || ':' || v, '-')), lambda a, b: a || b)) AS changed
+            FROM t
+        ),
+        leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM h
+        ),
+        low(tree, lv, pos, digest, n) AS (
+            SELECT tree, 0, pos, leaf, count(*) OVER (PARTITION BY tree) FROM leaves
+            UNION ALL
+            SELECT tree, lv + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (n + 2) // 3 FROM low WHERE n > 1
+            GROUP BY tree, lv, pos // 3, n
+        ),
+        top(lv, pos, digest, n) AS (
+            SELECT 0, tree, digest, count(*) OVER () FROM low WHERE n = 1
+            UNION ALL
+            SELECT lv + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (n + 2) // 3 FROM top WHERE n > 1
+            GROUP BY lv, pos // 3, n
+        ),
+        nodes AS (
+            SELECT tree, lv, pos, digest, n FROM low WHERE n > 1 UNION ALL SELECT -1, lv, pos, digest, n FROM top WHERE n > 1
+        ),
+        ways AS (
+            SELECT tree, lv, a.pos, a.n,
+                coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+                coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+            FROM nodes a JOIN nodes b USING (tree, lv) WHERE a.pos // 3 = b.pos // 3 GROUP BY ALL
+        ),
+        subroots AS (SELECT tree, digest FROM low WHERE n = 1),
+        inner_climb(doc, tree, lv, pos, proof, folded) AS (
+            SELECT leaf || pos, tree, 0, pos, '', changed FROM leaves
+            UNION ALL
+            SELECT c.doc, tree, lv + 1, c.pos // 3, c.proof || w.l || w.r, sha256(w.l || c.folded || w.r)
+            FROM inner_climb c JOIN ways w USING (tree, lv) WHERE c.pos = w.pos
+        ),
+        outer_climb(doc, tree, lv, pos, proof, folded) AS (
+            SELECT doc, -1, 0, tree, proof, folded FROM inner_climb c JOIN low USING (tree, lv) WHERE n = 1
+            UNION ALL
+            SELECT c.doc, -1, lv + 1, c.pos // 3, c.proof || w.l || w.r, sha256(w.l || c.folded || w.r)
+            FROM outer_climb c JOIN ways w USING (tree, lv) WHERE c.pos = w.pos
+        ),
+        done AS (SELECT doc, proof, folded FROM outer_climb JOIN top USING (lv) WHERE n = 1)
+        SELECT doc_id, leaf, s.digest AS subroot, r.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+            folded = r.digest AS verified
+        FROM leaves l JOIN subroots s USING (tree) JOIN done ON done.doc = l.leaf || l.pos
+            JOIN (SELECT digest FROM top WHERE n = 1) r ON true""",
 }

@@ -29,23 +29,28 @@ TOP = -1
 #: Powers of the arity, enough for every long.
 POWERS = [ARITY**k for k in range(40)]
 
-STEPS = "array<struct<l: string, r: string>>"
-NODES = f"node string, parent string, steps {STEPS}, subroot string"
-LEAVES = f"id long, leaf string, changed string, parent string, steps {STEPS}"
+#: Digests are stored and carried as 32 bytes; they are hashed and returned as hex text.
+STEPS = "array<struct<l: binary, r: binary>>"
+NODES = f"node string, parent string, steps {STEPS}, subroot binary"
+LEAVES = f"id long, leaf binary, changed binary, parent string, steps {STEPS}"
 CLIMB = """
 WITH RECURSIVE climb AS (
-    SELECT id, leaf, parent, CAST(NULL AS STRING) AS subroot,
-        array_join(transform(steps, s -> concat(s.l, s.r)), '') AS proof,
-        aggregate(steps, changed, (h, s) -> sha2(concat(s.l, h, s.r), 256)) AS folded
+    SELECT id, leaf, parent, CAST(NULL AS BINARY) AS subroot,
+        aggregate(steps, X'', (p, s) -> concat(p, s.l, s.r)) AS proof,
+        aggregate(steps, changed, (h, s) -> unhex(sha2(lower(hex(concat(s.l, h, s.r))), 256))) AS folded
     FROM leaves
     UNION ALL
     SELECT c.id, c.leaf, n.parent, coalesce(c.subroot, n.subroot),
-        concat(c.proof, array_join(transform(n.steps, s -> concat(s.l, s.r)), '')),
-        aggregate(n.steps, c.folded, (h, s) -> sha2(concat(s.l, h, s.r), 256))
+        aggregate(n.steps, c.proof, (p, s) -> concat(p, s.l, s.r)),
+        aggregate(n.steps, c.folded, (h, s) -> unhex(sha2(lower(hex(concat(s.l, h, s.r))), 256)))
     FROM climb c JOIN nodes n ON c.parent = n.node
 )
-SELECT id, leaf, subroot, sha2(proof, 256) AS proof_sha256, folded FROM climb WHERE parent IS NULL
+SELECT id, lower(hex(leaf)) AS leaf, lower(hex(subroot)) AS subroot,
+    sha2(lower(hex(proof)), 256) AS proof_sha256, lower(hex(folded)) AS folded
+FROM climb WHERE parent IS NULL
 """
+#: Node rows of a file, where there are fewer than that in all.
+NODES_A_FILE = 200_000
 
 
 def leaf_text(columns: Sequence[Column]) -> Column:
@@ -60,10 +65,19 @@ def _height(size: Column) -> Column:
     return reduce(Column.__add__, below)
 
 
+def _joined(digests: Column) -> Column:
+    """Up to three digests as one value."""
+    return F.concat(*[F.coalesce(F.get(digests, F.lit(k)), F.lit(b"")) for k in range(ARITY)])
+
+
+def _digest(digests: Column) -> Column:
+    return F.unhex(F.sha2(F.lower(F.hex(_joined(digests))), 256))
+
+
 def _runs(level: Column) -> Column:
     """Digests of the parents of a level's nodes."""
     last = F.floor((F.size(level) - 1) / ARITY).cast("int")
-    return F.transform(F.sequence(F.lit(0), last), lambda i: F.sha2(F.array_join(F.slice(level, i * ARITY + 1, F.lit(ARITY)), ""), 256))
+    return F.transform(F.sequence(F.lit(0), last), lambda i: _digest(F.slice(level, i * ARITY + 1, F.lit(ARITY))))
 
 
 def _name(tree: Column, hop: int, position: Column) -> Column:
@@ -86,7 +100,7 @@ def _hop(items: DataFrame, hop: int) -> tuple[DataFrame, DataFrame]:
         at = F.floor(j / F.pow(F.lit(float(ARITY)), k)).cast("int")
         first, nodes = at - at % ARITY, F.get("levels", k)
         left, right = F.slice(nodes, first + 1, at - first), F.slice(nodes, at + 2, first + ARITY - 1 - at)
-        return F.struct(F.array_join(left, "").alias("l"), F.array_join(right, "").alias("r"))
+        return F.struct(_joined(left).alias("l"), _joined(right).alias("r"))
 
     def row(node: Column, j: Column) -> Column:
         climbed = F.filter(F.sequence(F.lit(0), F.lit(HOP - 1)), lambda k: k < F.col("height"))
@@ -101,17 +115,19 @@ def _hop(items: DataFrame, hop: int) -> tuple[DataFrame, DataFrame]:
     return rows, above
 
 
-def _trees(items: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """(node rows of each hop, roots) of all trees. One number, the greatest height, reaches the driver."""
+def _trees(items: DataFrame) -> tuple[list[DataFrame], DataFrame, int]:
+    """(node rows of each hop, roots, node rows above the first hop) of all trees. Only the
+    greatest height and counts reach the driver."""
     highest = items.agg(F.max("height")).first()[0] or 0
-    hops, roots = [], []
+    hops, roots, blocks = [], [], 0
     for hop in range(max(1, -(-highest // HOP))):
         rows, above = _hop(items, hop)
         hops.append(rows)
         above = stored(above, "levels")
         roots.append(above.where("ended").select("tree", "digest"))
         items = above.where("NOT ended")
-    return hops, reduce(DataFrame.unionByName, roots)
+        blocks += items.count()
+    return hops, reduce(DataFrame.unionByName, roots), blocks
 
 
 def climb(spark: SparkSession, leaves: str, nodes: str) -> DataFrame:
@@ -151,8 +167,8 @@ def manifest(
     spark = docs.sparkSession
     text = col(text_col).cast("string")
     later = text if changed_text is None else changed_text
-    leaf = F.sha2(leaf_text([col(c) for c in columns]), 256)
-    again = F.sha2(leaf_text([later if c == text_col else col(c) for c in columns]), 256)
+    leaf = F.unhex(F.sha2(leaf_text([col(c) for c in columns]), 256))
+    again = F.unhex(F.sha2(leaf_text([later if c == text_col else col(c) for c in columns]), 256))
     rows = docs.select(
         col(id_col).cast("long").alias("id"),
         col(source_col).isNotNull().alias("named"),
@@ -165,17 +181,20 @@ def manifest(
     sources = stored(numbered(sizes, [], ["named", "source"], "tree", "trees"), "sources")
     items = placed.join(sources.select("named", "source", "tree"), ["named", "source"])
     own = F.struct("id", "changed").alias("own")
-    hops, roots = _trees(stored(items.select("tree", "position", "digest", _height(F.col("leaves")).alias("height"), own), "items"))
+    hops, roots, blocks = _trees(stored(items.select("tree", "position", "digest", _height(F.col("leaves")).alias("height"), own), "items"))
     leaves = hops[0].select("own.id", F.col("digest").alias("leaf"), "own.changed", "parent", "steps")
     entries = roots.join(sources, "tree").select(
         F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("position"), "digest", _height(F.col("trees")).alias("height"), F.lit(None).cast("string").alias("own")
     )
-    upper, tops = _trees(stored(entries, "entries"))
-    inner = [rows.withColumn("subroot", F.lit(None).cast("string")) for rows in [*hops[1:], *upper[1:]]]
+    entries = stored(entries, "entries")
+    upper, tops, _ = _trees(entries)
+    inner = [rows.withColumn("subroot", F.lit(None).cast("binary")) for rows in [*hops[1:], *upper[1:]]]
     nodes = [rows.select("node", "parent", "steps", "subroot") for rows in [*inner, upper[0].withColumn("subroot", F.col("digest"))]]
     top = tops.first()
-    proofs = climb(spark, written(leaves, "leaves"), written(reduce(DataFrame.unionByName, nodes), "nodes"))
-    root = F.lit(top.digest if top else None).cast("string")
+    linked = reduce(DataFrame.unionByName, nodes)
+    linked = linked.coalesce(1 + (blocks + entries.count()) // NODES_A_FILE)
+    proofs = climb(spark, written(leaves, "leaves"), written(linked, "nodes"))
+    root = F.lit(top.digest.hex() if top else None).cast("string")
     return proofs.select(
         F.col("id").alias(id_col), "leaf", "subroot", root.alias("root"), "proof_sha256", F.col("folded").alias("folded_root"), (F.col("folded") == root).alias("verified")
     )

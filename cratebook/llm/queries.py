@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratebook.llm import caps, decontaminate, idfile, merkle, pieces, pii, quality, sharding, simhash, toxicity, urls
+from cratebook.llm import caps, decontaminate, gnat, idfile, merkle, pieces, pii, quality, sharding, simhash, toxicity, urls
 from cratebook.llm.common import load
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -78,6 +78,13 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(docs, changed_text=F.when(cut, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text")))
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every seventh vector has the next label, so that its near ones are hard negatives."""
+    vectors = load(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return gnat.hard_negatives(vectors.withColumn("label", moved))
+
+
 QUERIES = {
     "op1_embeddings": op1_embeddings,
     "op2_toxicity": op2_toxicity,
@@ -90,6 +97,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
     "op11_merkle": op11_merkle,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLES: dict[str, str] = {
     "op1_embeddings": """
@@ -199,4 +207,25 @@ ORACLES: dict[str, str] = {
             folded = r.digest AS verified
         FROM leaves l JOIN subroots s USING (tree) JOIN done ON done.doc = l.leaf || l.pos
             JOIN (SELECT digest FROM top WHERE n = 1) r ON true""",
+    "op13_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS alike, list_inner_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+        ),
+        p AS (
+            SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE alike
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+        )
+        SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, other AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT alike AND 80 * positive_score <= 100 * score AND score <= positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+        QUALIFY row_number() OVER w <= 5""",
 }

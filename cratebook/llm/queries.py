@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratebook.llm import caps, decontaminate, gnat, idfile, merkle, pieces, pii, quality, sharding, simhash, toxicity, urls
+from cratebook.llm import caps, decontaminate, extract, gnat, idfile, merkle, pieces, pii, quality, sharding, simhash, toxicity, urls
 from cratebook.llm.common import load
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -78,6 +78,11 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(docs, changed_text=F.when(cut, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text")))
 
 
+def op12_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = load(spark, folder, "pages")
+    return extract.main_texts(pages, extract.fit(pages))
+
+
 def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     """Every seventh vector has the next label, so that its near ones are hard negatives."""
     vectors = load(spark, folder, "embeddings")
@@ -97,6 +102,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
     "op11_merkle": op11_merkle,
+    "op12_main_text": op12_main_text,
     "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLES: dict[str, str] = {
@@ -207,6 +213,20 @@ ORACLES: dict[str, str] = {
             folded = r.digest AS verified
         FROM leaves l JOIN subroots s USING (tree) JOIN done ON done.doc = l.leaf || l.pos
             JOIN (SELECT digest FROM top WHERE n = 1) r ON true""",
+    # What the markup of these pages says: heading and paragraphs of the article element.
+    "op12_main_text": r"""
+        WITH raw AS (
+            SELECT page_id, url, regexp_split_to_array(regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1),
+                '</?(?:b|br)>', ' ', 'g'), '</?(?:p|h1)>') AS parts FROM pages
+        ),
+        decoded AS (
+            SELECT page_id, url, list_transform(parts, lambda p: trim(regexp_replace(replace(replace(replace(replace(replace(
+                p, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '&#x27;', chr(39)), '\s+', ' ', 'g'))) AS parts FROM raw
+        ),
+        texts AS (
+            SELECT page_id, url, coalesce(array_to_string(list_filter(parts, lambda p: p <> ''), chr(10) || chr(10)), '') AS text FROM decoded
+        )
+        SELECT page_id, url, text, length(text) AS n_chars FROM texts""",
     "op13_hard_negatives": """
         WITH v AS (
             SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,

@@ -56,22 +56,46 @@ def signatures(sets: DataFrame) -> DataFrame:
     )
 
 
+def _matched(sets: DataFrame, alike: DataFrame) -> DataFrame:
+    """Rows of ``alike`` (set_id, first_id, n_items) whose sets are equal item by item: as
+    many of a set's items lie in the first set as it has. One lookup per item of a copy;
+    first sets that many others are held against are split by their items."""
+    others = alike.where(F.col("set_id") != F.col("first_id"))
+    firsts = others.select(F.col("first_id").alias("set_id")).distinct()
+    theirs = sets.join(firsts, "set_id", "left_semi").select(F.col("set_id").alias("first_id"), "item_id")
+    found = sets.join(others, "set_id").join(theirs, ["first_id", "item_id"])
+    counted = found.groupBy("set_id", "first_id", "n_items").agg(F.count(F.lit(1)).alias("matched"))
+    return counted.where(F.col("matched") == F.col("n_items")).select("set_id", "first_id", "n_items")
+
+
 def identical_sets(sets: DataFrame, first_by: DataFrame | None = None) -> DataFrame:
     """(set_id, first_id, n_items, copies): every set with the first of its group.
 
     ``first_by`` (set_id, preference) decides who is first; default is the lowest id.
+    Equal digests only propose: a set is called a copy when its items are counted in the
+    first set. Sets that share a digest with a first set and differ from it are grouped
+    again among themselves, until none is left.
     """
     signed = signatures(sets)
     if first_by is None:
         signed = signed.withColumn("preference", F.lit(0))
     else:
         signed = signed.join(first_by.select("set_id", "preference"), "set_id", "left")
-    groups = signed.groupBy(*SIGNATURE).agg(
-        F.min(F.struct("preference", "set_id")).alias("first"), F.count(F.lit(1)).alias("copies")
-    )
-    return signed.join(groups, SIGNATURE).select(
-        "set_id", F.col("first.set_id").alias("first_id"), "n_items", "copies"
-    )
+    open_sets, parts = cut_lineage(signed), []
+    while True:
+        firsts = open_sets.groupBy(*SIGNATURE).agg(F.min(F.struct("preference", "set_id")).alias("first"))
+        alike = open_sets.join(firsts, SIGNATURE).select("set_id", F.col("first.set_id").alias("first_id"), "n_items")
+        same = alike.where(F.col("set_id") == F.col("first_id")).unionByName(_matched(sets, alike))
+        same = cut_lineage(same)
+        parts.append(same)
+        # Only where digests collide is anything left: no round beyond the first otherwise.
+        open_sets = open_sets.join(same.select("set_id"), "set_id", "left_anti")
+        if open_sets.isEmpty():
+            break
+        open_sets = cut_lineage(open_sets)
+    rows = reduce(DataFrame.unionByName, parts)
+    copies = rows.groupBy("first_id").agg(F.count(F.lit(1)).alias("copies"))
+    return rows.join(copies, "first_id").select("set_id", "first_id", "n_items", "copies")
 
 
 def place_items(sets: DataFrame, group_limit: int = GROUP_LIMIT) -> DataFrame:
@@ -251,11 +275,45 @@ def pair_overlap(sets: DataFrame, rows_per_tile: int = ROWS_PER_TILE, **wanted)
     ``wanted`` are the fields of ``Bounds``; every pair that meets one of them is
     found. Columns ``set1 < set2``.
     """
-    bounds = Bounds(**wanted)
-    placed = place_items(sets)
-    counted = _short_pairs(placed, bounds, rows_per_tile).unionByName(
-        _long_pairs(placed, bounds, rows_per_tile)
+    return placed_pairs(place_items(sets), rows_per_tile, **wanted)
+
+
+def _counted(placed: DataFrame, bounds: Bounds, rows_per_tile: int) -> DataFrame:
+    return _short_pairs(placed, bounds, rows_per_tile).unionByName(_long_pairs(placed, bounds, rows_per_tile))
+
+
+def first_pairs(
+    placed: DataFrame, wanted_if: Column | None = None, rows_per_tile: int = ROWS_PER_TILE, **wanted
+) -> DataFrame:
+    """(loser, set1, set2, keeper, n1, n2, overlap, jaccard): for each set the first of
+    the wanted pairs, by (set1, set2), in which it is the smaller.
+
+    The least pair is taken where pairs are found, task by task, so that at most one row
+    per set and task is shuffled: the list of pairs, which may be quadratic in the sets
+    that share a rare item, is never written or moved. ``wanted_if`` is a further
+    condition on n_small, n_large and overlap.
+    """
+    pairs = _counted(placed, Bounds(**wanted), rows_per_tile)
+    if wanted_if is not None:
+        pairs = pairs.where(wanted_if)
+    detail = F.struct(F.least("small", "large").alias("set1"), F.greatest("small", "large").alias("set2"), "large", "n_small", "n_large", "overlap")
+    best = pairs.groupBy("small").agg(F.min(detail).alias("d")).select("small", "d.*")
+    is_first = F.col("small") == F.col("set1")
+    return best.select(
+        F.col("small").alias("loser"),
+        "set1",
+        "set2",
+        F.col("large").alias("keeper"),
+        F.when(is_first, F.col("n_small")).otherwise(F.col("n_large")).alias("n1"),
+        F.when(is_first, F.col("n_large")).otherwise(F.col("n_small")).alias("n2"),
+        "overlap",
+        (F.col("overlap") / (F.col("n_small") + F.col("n_large") - F.col("overlap"))).alias("jaccard"),
     )
+
+
+def placed_pairs(placed: DataFrame, rows_per_tile: int = ROWS_PER_TILE, **wanted) -> DataFrame:
+    """As ``pair_overlap``, for sets that ``place_items`` has already placed."""
+    counted = _counted(placed, Bounds(**wanted), rows_per_tile)
     swap = F.col("small") > F.col("large")
     x = F.col("overlap")
     n1 = F.when(swap, F.col("n_large")).otherwise(F.col("n_small"))

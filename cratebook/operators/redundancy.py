@@ -16,15 +16,55 @@ from cratebook.session import cut_lineage
 HIGH, NEAR, SIMILAR = 0.7, 0.5, 0.4
 CANDIDATE_RATIO, CANDIDATE_SHARE = 3.0, 0.5
 MAX_PARTS = 32
+# Default of the order in which pairs are visited.
+SEED = 42
 
 
 @dataclass(frozen=True)
 class Redundancy:
-    """``copies``: (set1 kept, set2 copy). ``pairs``: classified pairs of kept sets."""
+    """``copies``: (set1 kept, set2 copy, n_items). ``groups``: every set with the first of its
+    group. ``placed``: items of the first sets, rarest first; what is joined."""
 
     names: DataFrame
     copies: DataFrame
-    pairs: DataFrame
+    groups: DataFrame
+    placed: DataFrame
+
+    @property
+    def similar(self) -> DataFrame:
+        """Pairs in a band: more than ``SIMILAR`` alike, which bounds their number."""
+        return self._classified(jaccard=SIMILAR, strict=True).where(F.col("band").isNotNull())
+
+    @property
+    def pairs(self) -> DataFrame:
+        """Pairs in a band, of a set and one it lies in, and of a small set mostly inside one
+        three times its size. For reports: small sets of common items make this list quadratic.
+        Nothing else reads it."""
+        pairs = self._classified(jaccard=SIMILAR, subsets=True, containment=CANDIDATE_SHARE, size_ratio=CANDIDATE_RATIO, strict=True)
+        return pairs.where(F.col("band").isNotNull() | F.col("is_subset") | F.col("is_candidate"))
+
+    @property
+    def subsets(self) -> DataFrame:
+        """One row per set that lies inside a larger one: its first such pair."""
+        return overlap.first_pairs(self.placed, F.col("overlap") == F.col("n_small"), subsets=True)
+
+    @property
+    def candidates(self) -> DataFrame:
+        """One row per small set mostly inside a larger one: its first such pair."""
+        inside = (F.col("n_large") >= CANDIDATE_RATIO * F.col("n_small")) & (F.col("overlap") / F.col("n_small") > CANDIDATE_SHARE)
+        return overlap.first_pairs(self.placed, inside, containment=CANDIDATE_SHARE, size_ratio=CANDIDATE_RATIO, strict=True)
+
+    def _classified(self, **bounds) -> DataFrame:
+        low, high, jaccard = F.least("n1", "n2"), F.greatest("n1", "n2"), F.col("jaccard")
+        band = F.when(jaccard > HIGH, "high").when(jaccard > NEAR, "near").when(jaccard > SIMILAR, "similar")
+        pairs = overlap.placed_pairs(self.placed, **bounds).withColumns(
+            {
+                "band": band,
+                "is_subset": F.col("overlap") == low,
+                "is_candidate": (high >= CANDIDATE_RATIO * low) & (F.col("overlap") / low > CANDIDATE_SHARE),
+            }
+        )
+        return overlap.with_copies(pairs, self.groups)
 
 
 def comparable(playlists: DataFrame, exclude_auto: bool = True, tag: str = "AJ") -> DataFrame:
@@ -43,29 +83,8 @@ def find_redundancy(members: DataFrame, names: DataFrame) -> Redundancy:
     )
     longest = names.select("set_id", (-F.length("name")).alias("preference"))
     groups = cut_lineage(overlap.identical_sets(sets, longest))
-    firsts = overlap.first_sets(sets, groups)
-    pairs = overlap.pair_overlap(
-        firsts,
-        jaccard=SIMILAR,
-        subsets=True,
-        containment=CANDIDATE_SHARE,
-        size_ratio=CANDIDATE_RATIO,
-        strict=True,
-    )
-    low, high = F.least("n1", "n2"), F.greatest("n1", "n2")
-    jaccard = F.col("jaccard")
-    band = (
-        F.when(jaccard > HIGH, "high").when(jaccard > NEAR, "near").when(jaccard > SIMILAR, "similar")
-    )
-    classified = pairs.withColumns(
-        {
-            "band": band,
-            "is_subset": F.col("overlap") == low,
-            "is_candidate": (high >= CANDIDATE_RATIO * low)
-            & (F.col("overlap") / low > CANDIDATE_SHARE),
-        }
-    ).where(F.col("band").isNotNull() | F.col("is_subset") | F.col("is_candidate"))
-    return Redundancy(names, overlap.copy_rows(groups), overlap.with_copies(classified, groups))
+    placed = overlap.place_items(overlap.first_sets(sets, groups))
+    return Redundancy(names, overlap.copy_rows(groups), groups, placed)
 
 
 def _smaller_first(pairs: DataFrame) -> DataFrame:
@@ -79,20 +98,25 @@ def _smaller_first(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _first_pair_per_loser(pairs: DataFrame) -> DataFrame:
-    detail = F.struct("set1", "set2", "keeper", "n1", "n2", "overlap", "jaccard")
-    return pairs.groupBy("loser").agg(F.min(detail).alias("d")).select("loser", "d.*")
+def pair_order(seed: int) -> Column:
+    """The order in which pairs are visited: a seeded digest of both ids, in hex."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("set1").cast("string"), F.col("set2").cast("string")))
 
 
-def greedy_removals(pairs: DataFrame) -> DataFrame:
-    """Pairs that fire when all are visited in the order (set1, set2) and a pair with
+def greedy_removals(pairs: DataFrame, seed: int = SEED) -> DataFrame:
+    """Pairs that fire when all are visited in the order of ``pair_order`` and a pair with
     an already removed end is skipped. ``pairs`` carries ``loser`` and ``keeper``.
 
-    Rounds: a pair fires as soon as no earlier live pair could remove one of its
-    ends. A hub that keeps many small sets lets all of them go in one round. The
-    first live pair always fires, so the loop ends. Each round is checkpointed.
+    Rounds, each a written table: a pair fires as soon as no earlier live pair could remove
+    one of its ends. What a pair waits for is a path of ever earlier pairs; in a random order
+    such paths are short (their number falls with the factorial of their length), so that
+    the rounds grow with the logarithm of the pairs, whatever the pairs look like. A hub that
+    keeps many small sets lets all of them go in one round. The first live pair always fires,
+    so the loop ends.
     """
-    place = F.struct("set1", "set2")
+    order, columns = "_order", pairs.columns
+    pairs = pairs.withColumn(order, pair_order(seed))
+    place = F.struct(order, "set1", "set2")
     live = pairs
     fired_parts: list[DataFrame] = []
     while True:
@@ -130,7 +154,7 @@ def greedy_removals(pairs: DataFrame) -> DataFrame:
             .where(F.col("removed_at").isNull() | (place < F.col("removed_at")))
             .select(*pairs.columns)
         )
-    return reduce(DataFrame.unionByName, fired_parts) if fired_parts else marked.drop("fires")
+    return (reduce(DataFrame.unionByName, fired_parts) if fired_parts else marked).select(*columns)
 
 
 def _one_place(value: Column) -> Column:
@@ -144,19 +168,22 @@ def _without(pairs: DataFrame, removed: DataFrame, *ends: str) -> DataFrame:
     return pairs
 
 
-def consolidation_suggestions(found: Redundancy) -> DataFrame:
+def consolidation_suggestions(found: Redundancy, seed: int = SEED) -> DataFrame:
     """(phase, action, set_id, name, target_id, target_name, reason, tracks_lost).
 
     Phases in order: exact copies, subsets, high overlap, near duplicates, small
-    collections mostly inside a larger one. A collection is suggested once.
+    collections mostly inside a larger one. A collection is suggested once. Pairs of the
+    phases that walk (high overlap, near duplicates) are visited in a seeded order.
+
+    Only pairs of a band are written. Subsets and small collections name one target each,
+    which is chosen where their pairs are found.
     """
-    pairs = cut_lineage(found.pairs)
+    pairs = cut_lineage(found.similar.where(F.col("band").isin("high", "near")))
     copies = found.copies
     columns = ["loser", "set1", "set2", "keeper", "n1", "n2", "overlap", "jaccard"]
 
     smaller = _smaller_first(pairs)
-    subsets = _first_pair_per_loser(smaller.where("is_subset")).select(*columns)
-    subsets = cut_lineage(subsets)
+    subsets = cut_lineage(found.subsets.select(*columns))
 
     tie_removes_first = pairs.where(F.col("band") == "high").withColumns(
         {
@@ -165,19 +192,16 @@ def consolidation_suggestions(found: Redundancy) -> DataFrame:
         }
     )
     high = greedy_removals(
-        _without(tie_removes_first, subsets, "set1", "set2").select(*columns)
+        _without(tie_removes_first, subsets, "set1", "set2").select(*columns), seed
     )
     gone = subsets.unionByName(high)
 
     share = F.col("overlap") / F.least("n1", "n2")
     lopsided = (F.greatest("n1", "n2") >= 2 * F.least("n1", "n2")) & (share > 0.5)
     near_pairs = _without(smaller.where((F.col("band") == "near") & lopsided), gone, "set1", "set2")
-    near = greedy_removals(near_pairs.select(*columns))
+    near = greedy_removals(near_pairs.select(*columns), seed)
     gone = gone.unionByName(near)
-
-    small = _first_pair_per_loser(
-        _without(smaller.where("is_candidate"), gone, "loser")
-    ).select(*columns)
+    small = _without(found.candidates, gone, "loser").select(*columns)
 
     def phase(df: DataFrame, number: int, action: str, reason: Column, lost: Column) -> DataFrame:
         return df.select(
@@ -247,7 +271,7 @@ def consolidation_suggestions(found: Redundancy) -> DataFrame:
 def consolidation_strategies(found: Redundancy, suggestions: DataFrame) -> DataFrame:
     """What to do with similar pairs whose ends are both still there."""
     gone = suggestions.select(F.col("set_id").alias("loser")).distinct()
-    pairs = _without(found.pairs.where(F.col("band") == "similar"), gone, "set1", "set2")
+    pairs = _without(found.similar.where(F.col("band") == "similar"), gone, "set1", "set2")
     for side in ("1", "2"):
         pairs = pairs.join(
             found.names.select(F.col("set_id").alias(f"set{side}"), F.col("name").alias(f"name{side}")),

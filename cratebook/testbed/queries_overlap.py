@@ -12,6 +12,7 @@ NAMES = {
     "order_part": "SELECT o_orderkey AS set_id, 'Order ' || o_orderkey AS name FROM orders",
     "user_hour": "SELECT DISTINCT user_id AS set_id, 'User ' || user_id AS name FROM events",
     "nation_part": "SELECT CAST(n_nationkey AS BIGINT) AS set_id, n_name AS name FROM nation",
+    "customer_day": "SELECT c_custkey AS set_id, c_name AS name FROM customer",
 }
 
 
@@ -188,7 +189,7 @@ sub AS (SELECT CASE WHEN n1 < n2 THEN set1 ELSE set2 END AS loser, CASE WHEN n1
     row_number() OVER (PARTITION BY CASE WHEN n1 < n2 THEN set1 ELSE set2 END ORDER BY set1, set2) AS k
   FROM c WHERE is_subset),
 d2 AS (SELECT loser, keeper, 2 AS phase, 0 AS lost, ln, kn, jaccard FROM sub WHERE k = 1),
-hp AS (SELECT row_number() OVER (ORDER BY set1, set2) AS i, set1, set2,
+hp AS (SELECT row_number() OVER (ORDER BY md5('42:' || set1 || ':' || set2)) AS i, set1, set2,
     CASE WHEN n1 > n2 THEN set2 ELSE set1 END AS loser, CASE WHEN n1 > n2 THEN set1 ELSE set2 END AS keeper,
     least(n1, n2) - overlap AS lost, least(n1, n2) AS ln, greatest(n1, n2) AS kn, jaccard
   FROM c WHERE band = 'high' AND set1 NOT IN (SELECT loser FROM d2) AND set2 NOT IN (SELECT loser FROM d2)),

@@ -203,6 +203,10 @@ class VirtualLibrary:
             return self.table("events").select(
                 F.col("user_id").alias("set_id"), F.hour("ts").cast("bigint").alias("item_id")
             )
+        if family == "customer_day":
+            return self.table("orders").select(
+                F.col("o_custkey").alias("set_id"), F.dayofmonth("o_orderdate").cast("bigint").alias("item_id")
+            )
         if family == "nation_part":
             return (
                 self._lines()
@@ -225,6 +229,8 @@ class VirtualLibrary:
             return self.table("events").select(F.col("user_id").alias("set_id")).distinct().withColumn(
                 "name", F.concat(F.lit("User "), F.col("set_id").cast("string"))
             )
+        if family == "customer_day":
+            return self.table("customer").select(F.col("c_custkey").alias("set_id"), F.col("c_name").alias("name"))
         return self.table("nation").select(
             F.col("n_nationkey").cast("bigint").alias("set_id"), F.col("n_name").alias("name")
         )
@@ -337,6 +343,10 @@ SQL: dict[str, tuple[str, tuple[str, ...]]] = {
     ),
     "order_part": ("SELECT DISTINCT l_orderkey AS set_id, l_partkey AS item_id FROM lineitem", ()),
     "user_hour": ("SELECT DISTINCT user_id AS set_id, CAST(hour(ts) AS BIGINT) AS item_id FROM events", ()),
+    "customer_day": (
+        "SELECT DISTINCT o_custkey AS set_id, CAST(day(o_orderdate) AS BIGINT) AS item_id FROM orders",
+        (),
+    ),
     "nation_part": (
         """SELECT DISTINCT CAST(c_nationkey AS BIGINT) AS set_id, l_partkey AS item_id
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 from itertools import combinations
 
@@ -137,6 +138,11 @@ def test_thresholds_are_inclusive_or_strict(spark):
     assert {(r["set1"], r["set2"]) for r in close} == {(3, 4), (5, 6)}
 
 
+def visited(pairs, seed=redundancy.SEED):
+    """Pairs (set1, set2, ...) in the order of the greedy pass."""
+    return sorted(pairs, key=lambda p: hashlib.md5(f"{seed}:{p[0]}:{p[1]}".encode()).hexdigest())
+
+
 def sequential_plan(sets, names):
     """The removals of the ordered pass over all pairs, in plain Python."""
     groups = {}
@@ -160,7 +166,7 @@ def sequential_plan(sets, names):
         if x == min(n, m) and small not in gone:
             gone.add(small)
             plan[small] = (2, large)
-    for a, b, n, m, x in pairs:
+    for a, b, n, m, x in visited(pairs):
         if x / (n + m - x) > 0.7 and a not in gone and b not in gone:
             keep, drop = (a, b) if n > m else (b, a)
             gone.add(drop)
@@ -193,7 +199,7 @@ def test_greedy_rounds_equal_the_ordered_walk(spark, seed):
     edges = sorted({tuple(sorted(rng.sample(range(25), 2))) for _ in range(60)})
     rows = [(a, b, *((a, b) if rng.random() < 0.5 else (b, a))) for a, b in edges]
     gone, expected = set(), set()
-    for a, b, loser, _ in rows:
+    for a, b, loser, _ in visited(rows):
         if a not in gone and b not in gone:
             gone.add(loser)
             expected.add((a, b, loser))
@@ -258,14 +264,75 @@ def test_a_common_item_stays_out_of_the_prefix(spark):
     assert overlap._meet(small, large, bounds).count() == 0
 
 
-def test_long_chains_are_compacted(spark, monkeypatch):
-    monkeypatch.setattr(redundancy, "MAX_PARTS", 3)
-    # Each pair can only be decided after the one before it.
-    rows = [(i, i + 1, i + 1, i) for i in range(12)]
+def test_rounds_are_compacted(spark, monkeypatch):
+    monkeypatch.setattr(redundancy, "MAX_PARTS", 2)
+    rows = [(i, i + 1, i + 1, i) for i in range(60)]
     gone, expected = set(), set()
-    for a, b, loser, _ in rows:
+    for a, b, loser, _ in visited(rows):
         if a not in gone and b not in gone:
             gone.add(loser)
             expected.add((a, b))
     df = spark.createDataFrame(rows, "set1 bigint, set2 bigint, loser bigint, keeper bigint")
     assert {(r["set1"], r["set2"]) for r in redundancy.greedy_removals(df).collect()} == expected
+
+
+@pytest.mark.parametrize("seed", [42, 7])
+@pytest.mark.parametrize("rising", [True, False], ids=["rising", "falling"])
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch, rising, seed):
+    """2,000 pairs, each sharing an end with the next: rounds follow the logarithm."""
+    rounds = []
+    cut = redundancy.cut_lineage
+    monkeypatch.setattr(redundancy, "cut_lineage", lambda df: rounds.append(1) or cut(df))
+    rows = [(i, i + 1, *((i + 1, i) if rising else (i, i + 1))) for i in range(2000)]
+    gone, expected = set(), set()
+    for a, b, loser, _ in visited(rows, seed):
+        if a not in gone and b not in gone:
+            gone.add(loser)
+            expected.add((a, b))
+    df = spark.createDataFrame(rows, "set1 bigint, set2 bigint, loser bigint, keeper bigint")
+    got = redundancy.greedy_removals(df, seed)
+    assert {(r["set1"], r["set2"]) for r in got.collect()} == expected
+    assert len(rounds) < 40
+
+
+@pytest.mark.parametrize("short", [0, 64])
+def test_first_pair_of_each_smaller_set(spark, monkeypatch, short):
+    monkeypatch.setattr(overlap, "SHORT_SET", short)
+    sets = distinct_sets(make_sets(13, 90))
+    placed = overlap.place_items(frame(spark, sets))
+    got = overlap.first_pairs(placed, F.col("overlap") == F.col("n_small"), subsets=True).collect()
+    want = {}
+    for (a, b), x in sorted(brute(sets, lambda n, m, x: x == min(n, m)).items()):
+        small, large = (a, b) if len(sets[a]) < len(sets[b]) else (b, a)
+        want.setdefault(small, (a, b, large, len(sets[a]), len(sets[b]), x))
+    assert {r["loser"]: (r["set1"], r["set2"], r["keeper"], r["n1"], r["n2"], r["overlap"]) for r in got} == want
+
+
+def test_the_first_pair_is_taken_before_the_shuffle(spark):
+    """Between the join that finds pairs and the first exchange above it stands an aggregate."""
+    placed = overlap.place_items(frame(spark, distinct_sets(make_sets(2))))
+    plan = overlap.first_pairs(placed, subsets=True)._jdf.queryExecution().executedPlan().toString()
+    above = plan.split("Join")[0]
+    assert above.count("partial_min") == 1 and above.index("Exchange") < above.index("partial_min")
+    assert "Exchange" not in above[above.index("partial_min") :]
+
+
+def test_suggestions_do_not_read_the_list_of_all_pairs(spark, monkeypatch):
+    sets = make_sets(3)
+    found = redundancy.find_redundancy(frame(spark, sets), naming(spark, sets))
+    monkeypatch.setattr(redundancy.Redundancy, "pairs", property(lambda self: pytest.fail("list of all pairs read")))
+    assert redundancy.consolidation_suggestions(found).count() > 0
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_equal_digests_do_not_make_copies(spark, monkeypatch, seed):
+    """With digests that tell nothing but the size, copies are still the equal sets only."""
+    signatures = overlap.signatures
+    blind = {c: F.lit(0).cast("bigint") for c in overlap.SIGNATURE[1:]}
+    monkeypatch.setattr(overlap, "signatures", lambda sets: signatures(sets).withColumns(blind))
+    sets = {i: s for i, s in make_sets(seed, 30).items()}
+    for r in overlap.identical_sets(frame(spark, sets)).collect():
+        same = [i for i in sets if sets[i] == sets[r["set_id"]]]
+        assert (r["first_id"], r["copies"]) == (min(same), len(same))
+    different = {1: frozenset([1, 2]), 2: frozenset([3, 4])}
+    assert overlap.duplicate_collections(frame(spark, different), naming(spark, different)).count() == 0

@@ -8,9 +8,11 @@ group), turn the counts into offsets, and sort only inside a step.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from cratebook.session import cut_lineage
 
@@ -25,18 +27,26 @@ def counted_row_number(
     """1-based row number per ``keys`` in the order (``step``, *``order``).
 
     ``step`` must be non-null and must not disagree with the wanted order:
-    sorting by (step, *order) is the ranking. Keys must be non-null.
+    sorting by (step, *order) is the ranking. Keys must be non-null. Rows that are
+    equal in ``order`` are ranked by the remaining columns.
+
+    The input is evaluated once: rows and counts per step come from one exchange by
+    keys and step. Both read all columns of it (the remaining columns end the order),
+    so that Spark finds the exchange equal and reuses it.
     """
-    stepped = df.withColumn("_step", step)
-    per_step = stepped.groupBy(*keys, "_step").agg(F.count(F.lit(1)).alias("_rows"))
+    named = [c for c in order if isinstance(c, str)]
+    rest = [f.name for f in df.schema if f.name not in {*keys, *named} and not isinstance(f.dataType, MapType)]
+    inside = Window.partitionBy(*keys, "_step").orderBy(*order, *rest)
+    # The join would filter nulls on one side only, and make the exchanges differ.
+    there = reduce(Column.__and__, [F.col(c).isNotNull() for c in [*keys, "_step"]])
+    placed = df.withColumn("_step", step).where(there).withColumn("_inside", F.row_number().over(inside))
+    per_step = placed.groupBy(*keys, "_step").agg(F.max("_inside").cast("bigint").alias("_rows"))
     running = Window.partitionBy(*keys).orderBy("_step")
     offsets = per_step.select(
         *keys, "_step", (F.sum("_rows").over(running) - F.col("_rows")).alias("_before")
     )
-    inside = Window.partitionBy(*keys, "_step").orderBy(*order)
     return (
-        stepped.withColumn("_inside", F.row_number().over(inside))
-        .join(offsets, [*keys, "_step"])
+        placed.join(offsets, [*keys, "_step"])
         .withColumn(name, F.col("_before") + F.col("_inside"))
         .drop("_step", "_before", "_inside")
     )

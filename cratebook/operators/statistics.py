@@ -44,37 +44,67 @@ def collection_stats(
     top_artists: int = 5,
     top_genres: int = 10,
 ) -> DataFrame:
-    """One row per collection, empty ones included. ``primary`` is (track_id, primary_artist)."""
+    """One row per collection, empty ones included. ``primary`` is (track_id, primary_artist).
+
+    Memberships are read once: each gives a row for its figures and one for every label
+    that is counted (its artist, its genres). These are summed per label first, so that
+    a large collection shrinks where its rows lie; the best labels are taken from the sums.
+    """
     year = music.release_year(F.col("release_date"))
-    members = playlist_tracks.select("playlist_id", "track_id")
     details = tracks.select("track_id", "duration_ms", "popularity", year.alias("release_year"), "genres")
-    merged = members.join(details, "track_id", "left").join(
-        primary.select("track_id", "primary_artist"), "track_id", "left"
-    )
-    plain = merged.groupBy("playlist_id").agg(
-        F.count(F.lit(1)).alias("total_tracks"),
-        F.coalesce(F.sum("duration_ms"), F.lit(0)).alias("total_duration_ms"),
-        F.avg("popularity").alias("mean_popularity"),
-        F.min("release_year").alias("first_year"),
-        F.max("release_year").alias("last_year"),
+    merged = (
+        playlist_tracks.select("playlist_id", "track_id")
+        .join(details, "track_id", "left")
+        .join(primary.select("track_id", "primary_artist"), "track_id", "left")
     )
 
-    def top_names(column: Column, alias: str, limit: int) -> DataFrame:
-        counts = (
-            merged.select("playlist_id", column.alias("label"))
-            .where(F.col("label").isNotNull())
-            .groupBy("playlist_id", "label")
-            .agg(F.count(F.lit(1)).alias("n"))
+    def cell(kind: str, label: Column, figures: bool = False) -> Column:
+        values = [F.col(c) if figures else F.lit(None) for c in ("duration_ms", "popularity", "release_year")]
+        types = ("bigint", "bigint", "int")
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            label.alias("label"),
+            *[v.cast(t).alias(n) for v, t, n in zip(values, types, ("duration", "popularity", "year"), strict=True)],
         )
-        best = top_per_group(counts, ["playlist_id"], [F.desc("n"), "label"], limit)
-        return best.groupBy("playlist_id").agg(ordered_list("label").alias(alias))
 
+    genres = F.transform(F.coalesce("genres", F.array().cast("array<string>")), lambda g: cell("genre", g))
+    cells = F.concat(F.array(cell("all", F.lit(""), True), cell("artist", F.col("primary_artist"))), genres)
+    sums = (
+        merged.select("playlist_id", F.explode(cells).alias("c"))
+        .select("playlist_id", "c.*")
+        .where(F.col("label").isNotNull())
+        .groupBy("playlist_id", "kind", "label")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("duration").alias("duration"),
+            F.avg("popularity").alias("popularity"),
+            F.min("year").alias("first_year"),
+            F.max("year").alias("last_year"),
+        )
+    )
+    best = top_per_group(sums, ["playlist_id", "kind"], [F.desc("n"), "label"], max(top_artists, top_genres, 1))
+
+    def of(kind: str, value: str) -> Column:
+        return F.max(F.when(F.col("kind") == kind, F.col(value)))
+
+    def names(kind: str, limit: int) -> Column:
+        listed = (F.col("kind") == kind) & (F.col("rank") <= limit)
+        pairs = F.collect_list(F.when(listed, F.struct(F.col("rank").alias("r"), F.col("label").alias("v"))))
+        return F.transform(F.array_sort(pairs), lambda p: p["v"])
+
+    per_collection = best.groupBy("playlist_id").agg(
+        of("all", "n").alias("total_tracks"),
+        of("all", "duration").alias("total_duration_ms"),
+        of("all", "popularity").alias("mean_popularity"),
+        of("all", "first_year").alias("first_year"),
+        of("all", "last_year").alias("last_year"),
+        names("artist", top_artists).alias("top_artists"),
+        names("genre", top_genres).alias("top_genres"),
+    )
     zero, none = F.lit(0), F.array().cast("array<string>")
     return (
         playlists.select("playlist_id", "name")
-        .join(plain, "playlist_id", "left")
-        .join(top_names(F.col("primary_artist"), "top_artists", top_artists), "playlist_id", "left")
-        .join(top_names(F.explode("genres"), "top_genres", top_genres), "playlist_id", "left")
+        .join(per_collection, "playlist_id", "left")
         .select(
             "playlist_id",
             "name",

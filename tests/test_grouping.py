@@ -11,6 +11,7 @@ from cratebook.operators.grouping import (
     counted_row_number,
     exact_medians,
     hot_groups,
+    numbered,
     top_rows,
     top_per_group,
 )
@@ -89,3 +90,46 @@ def test_top_per_group_prunes_before_the_shuffle(numbers):
     _, df = numbers
     plan = top_per_group(df, ["k"], [F.desc("b")], 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def scans(df, table):
+    """How often a table is read in the plan that ran; what is reused is not read again."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    return final.count(f"{table}.parquet"), final.count("ReusedExchange")
+
+
+def test_counted_row_number_reads_its_input_once(spark, small):
+    lines = spark.read.parquet(f"{small}/lineitem.parquet").select("l_suppkey", "l_partkey", "l_quantity", "l_shipdate")
+    got = counted_row_number(lines, ["l_suppkey"], F.floor(F.col("l_partkey") / 10), ["l_partkey", "l_shipdate"], "nr")
+    assert scans(got.select("l_suppkey", "l_partkey", "nr"), "lineitem") == (1, 1)
+
+
+def test_library_reads_order_lines_three_times_at_most(spark, small):
+    from cratebook.testbed.queries import QUERIES
+
+    assert scans(QUERIES["library_wide"](spark, small), "lineitem")[0] <= 3
+    assert scans(QUERIES["collection_stats"](spark, small), "lineitem")[0] <= 3
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_numbered_equals_a_sort(numbers, keys):
+    data, df = numbers
+    got = numbered(df, keys, ["a", "b"]).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault(tuple(r[k] for k in keys), []).append(r)
+    assert len(got) == len(data)
+    for rows in groups.values():
+        ordered = sorted(rows, key=lambda r: (r["a"] is not None, r["a"] or 0, r["b"]))
+        assert [r["position"] for r in ordered] == list(range(len(rows)))
+        assert {r["total"] for r in rows} == {len(rows)}
+
+
+def test_numbered_spreads_equal_rows(spark):
+    """One group of equal rows is numbered in several partitions."""
+    rows = spark.range(20_000, numPartitions=8).selectExpr("1 AS k", "'x' AS v")
+    got = numbered(rows, ["k"], ["v"])
+    assert sorted(r[0] for r in got.select("position").collect()) == list(range(20_000))

@@ -2,114 +2,116 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cratebook.functions import music, times
-from cratebook.operators.grouping import aggregate_with_medians
-from cratebook.session import cut_lineage
+from cratebook.operators.grouping import metric_figures, value_counts
 
 # Legacy audio columns, summarised when present.
 AUDIO_COLUMNS = [
     "danceability", "energy", "key", "loudness", "mode", "speechiness",
     "acousticness", "instrumentalness", "liveness", "valence", "tempo",
 ]
-DAY_SECONDS = 86_400
-
 
-def _moments(value: Column, stem: str, wanted: str) -> list[Column]:
-    all_of_them = {
-        "mean": F.avg(value),
-        "std": F.stddev_samp(value),
-        "min": F.min(value),
-        "max": F.max(value),
-    }
-    return [all_of_them[w].alias(f"{stem}_{w}") for w in wanted.split()]
 
+@dataclass(frozen=True)
+class _Metric:
+    """A number of each row, the name its figures begin with, and the wanted ones."""
 
-def _with_medians(
-    df: DataFrame, key: str, moments: list[Column], medians: dict[str, tuple[Column, float]]
-) -> DataFrame:
-    known = df.where(F.col(key).isNotNull())
-    return aggregate_with_medians(known, [key], moments, medians)
-
+    value: Column
+    stem: str
+    wanted: str
+    type: str = "double"
 
-def _narrow(wide: DataFrame, *columns: str) -> DataFrame:
-    """The wanted columns that exist, written once: the joins behind ``wide`` run a
-    single time however many passes a feature needs."""
-    return cut_lineage(wide.select(*[c for c in dict.fromkeys(columns) if c in wide.columns]))
 
-
-def _profile_parts(wide: DataFrame) -> tuple[list[Column], dict[str, tuple[Column, float]]]:
-    moments: list[Column] = []
-    medians: dict[str, tuple[Column, float]] = {}
-    for name, width in (("popularity", 1.0), ("duration_ms", 1000.0)):
-        if name in wide.columns:
-            moments += _moments(F.col(name), name, "mean std min max")
-            medians[f"{name}_median"] = (F.col(name), width)
-    for name in AUDIO_COLUMNS:
-        if name in wide.columns:
-            moments += _moments(F.col(name), name, "mean std")
-            medians[f"{name}_median"] = (F.col(name), 0.001)
-    return moments, medians
+def _figures(
+    wide: DataFrame, key: str, metrics: list[_Metric], tiers: Column | None = None, artists: tuple[str, str] | None = None
+) -> DataFrame:
+    """One row per key with all wanted figures of the metrics, shares of ``tiers`` and the
+    concentration of ``artists`` (artist and track column). ``wide`` is read once."""
+    values = {m.stem: m.value for m in metrics}
+    if tiers is not None:
+        numbers = [F.lit(k).cast("double") for k in range(len(music.TIER_NAMES))]
+        values["tier"] = F.coalesce(*[F.when(tiers == name, k) for name, k in zip(music.TIER_NAMES, numbers, strict=True)])
+    labels = {} if artists is None else {"artist": (F.col(artists[0]), F.col(artists[1]))}
+    counts = value_counts(wide, [key], values, labels)
+
+    def share(k: int) -> Column:
+        in_tier = (F.col("metric") == "tier") & (F.col("value") == k)
+        return (F.sum(F.when(in_tier, F.col("n")).otherwise(0)) / F.sum("n")).alias(f"tier_{k}")
+
+    shares = [share(k) for k in range(len(music.TIER_NAMES))] if tiers is not None else []
+    rows = metric_figures(counts, [key], *shares)
+    if artists is not None:
+        concentration = _concentration(counts, key).withColumn("metric", F.lit("artist"))
+        rows = rows.unionByName(concentration, allowMissingColumns=True)
+
+    def of(metric: str, figure: str) -> Column:
+        return F.max(F.when(F.col("metric") == metric, F.col(figure)))
+
+    source = {"mean": "mean", "std": "std", "min": "lo", "max": "hi", "median": "median"}
+    columns = []
+    for m in metrics:
+        for figure in m.wanted.split():
+            kind = m.type if figure in ("min", "max") else "double"
+            columns.append(of(m.stem, source[figure]).cast(kind).alias(f"{m.stem}_{figure}"))
+    columns += [of("tier", f"tier_{k}").alias(f"pct_{name}") for k, name in enumerate(music.TIER_NAMES) if tiers is not None]
+    columns += [of("artist", c).alias(c) for c in ("artist_hhi", "artist_entropy") if artists is not None]
+    return rows.groupBy(key).agg(*columns) if columns else rows.select(key).distinct()
+
+
+def _profile(wide: DataFrame) -> list[_Metric]:
+    types = dict(wide.dtypes)
+    found = [_Metric(F.col(c), c, "mean std min max median", types[c]) for c in ("popularity", "duration_ms") if c in types]
+    return found + [_Metric(F.col(c), c, "mean std median") for c in AUDIO_COLUMNS if c in types]
 
 
 def profile_features(wide: DataFrame, playlist_col: str = "playlist_id") -> DataFrame:
-    moments, medians = _profile_parts(wide)
-    if not moments:
-        return wide.select(playlist_col).distinct()
-    narrow = _narrow(wide, playlist_col, "popularity", "duration_ms", *AUDIO_COLUMNS)
-    return _with_medians(narrow, playlist_col, moments, medians)
+    metrics = _profile(wide)
+    return _figures(wide, playlist_col, metrics) if metrics else wide.select(playlist_col).distinct()
 
 
-def artist_concentration(
-    wide: DataFrame,
-    playlist_col: str = "playlist_id",
-    artist_col: str = "primary_artist_id",
-    item_col: str = "track_id",
-) -> DataFrame:
-    """Herfindahl index and entropy of the artists' shares of distinct tracks.
+def _concentration(counts: DataFrame, key: str) -> DataFrame:
+    """(key, artist_hhi, artist_entropy) from counts of (artist, track) labels.
 
     A share depends only on an artist's track count, so artists are grouped by
     that count first. A collection of N tracks has at most sqrt(2N) different
     counts: the last step is small even for a collection with millions of artists.
     """
-    per_artist = (
-        wide.where(F.col(playlist_col).isNotNull() & F.col(artist_col).isNotNull())
-        .groupBy(playlist_col, artist_col)
-        .agg(F.countDistinct(item_col).alias("n"))
-    )
-    by_count = per_artist.groupBy(playlist_col, "n").agg(F.count(F.lit(1)).alias("artists"))
-    total = F.sum(F.col("n") * F.col("artists")).over(Window.partitionBy(playlist_col))
+    tracks = F.count_if((F.col("metric") == "artist") & (F.col("n") > 0))
+    per_artist = counts.groupBy(key, "label").agg(tracks.alias("n")).where(F.col("n") > 0)
+    by_count = per_artist.groupBy(key, "n").agg(F.count(F.lit(1)).alias("artists"))
+    total = F.sum(F.col("n") * F.col("artists")).over(Window.partitionBy(key))
     n, share = F.col("n"), F.col("n") / F.col("total")
     squares = F.sum((F.col("artists") * n * n).cast("double"))
     return (
         by_count.withColumn("total", total)
-        .groupBy(playlist_col)
+        .groupBy(key)
         .agg(
             (squares / F.max(F.col("total").cast("double") * F.col("total"))).alias("artist_hhi"),
+            # The summand is a fixed value of the definition.
             (-F.sum(F.col("artists") * share * F.log(share + 1e-12))).alias("artist_entropy"),
         )
     )
 
 
-def _seconds(ts: Column) -> Column:
-    return F.unix_micros(ts) / 1_000_000
+def artist_concentration(
+    wide: DataFrame,
+    playlist_col: str = "playlist_id",
+    artist_col: str = "primary_artist_id",
+    item_col: str = "track_id",
+) -> DataFrame:
+    """Herfindahl index and entropy of the artists' shares of distinct tracks."""
+    pairs = {"artist": (F.col(artist_col), F.col(item_col))}
+    return _concentration(value_counts(wide, [playlist_col], {}, pairs), playlist_col)
 
 
-def _added_parts(as_of: str, added_at_col: str):
-    """Moments and medians on the parsed time; ages follow by subtraction."""
+def _age(as_of: str, added_at_col: str) -> _Metric:
     added = F.col(added_at_col).cast("string").try_cast("timestamp")
-    age = times.age_days(as_of, added)
-    return (
-        _moments(age, "added_age_days", "mean min max"),
-        {"added_seconds_median": (_seconds(added), float(DAY_SECONDS))},
-    )
-
-
-def _age_median(as_of: str) -> Column:
-    end = _seconds(F.lit(as_of).cast("timestamp"))
-    return ((end - F.col("added_seconds_median")) / DAY_SECONDS).alias("added_age_days_median")
+    return _Metric(times.age_days(as_of, added), "added_age_days", "mean min max median")
 
 
 def added_age_features(
@@ -117,17 +119,11 @@ def added_age_features(
 ) -> DataFrame:
     if added_at_col not in wide.columns:
         return wide.select(playlist_col).dropna().distinct()
-    moments, medians = _added_parts(as_of, added_at_col)
-    df = _with_medians(_narrow(wide, playlist_col, added_at_col), playlist_col, moments, medians)
-    return df.select("*", _age_median(as_of)).drop("added_seconds_median")
+    return _figures(wide, playlist_col, [_age(as_of, added_at_col)])
 
 
-def _year_parts(release_date_col: str):
-    year = music.release_year(F.col(release_date_col))
-    return (
-        _moments(year, "release_year", "mean min max std"),
-        {"release_year_median": (year, 1.0)},
-    )
+def _year(release_date_col: str) -> _Metric:
+    return _Metric(music.release_year(F.col(release_date_col)), "release_year", "mean min max std median", "int")
 
 
 def release_year_features(
@@ -135,17 +131,11 @@ def release_year_features(
 ) -> DataFrame:
     if release_date_col not in wide.columns:
         return wide.select(playlist_col).dropna().distinct()
-    narrow = _narrow(wide, playlist_col, release_date_col)
-    return _with_medians(narrow, playlist_col, *_year_parts(release_date_col))
+    return _figures(wide, playlist_col, [_year(release_date_col)])
 
 
-def _tier_shares(popularity_col: str, item_col: str) -> list[Column]:
-    tier = music.popularity_tier(F.col(popularity_col))
-    known = F.col(item_col).isNotNull()
-    return [
-        F.try_divide(F.count_if(known & (tier == name)), F.count_if(known)).alias(f"pct_{name}")
-        for name in music.TIER_NAMES
-    ]
+def _tier(popularity_col: str, item_col: str) -> Column:
+    return F.when(F.col(item_col).isNotNull(), music.popularity_tier(F.col(popularity_col)))
 
 
 def popularity_tiers(
@@ -157,39 +147,17 @@ def popularity_tiers(
     """Share of rows per tier; all six columns always exist, absent tiers are 0."""
     if popularity_col not in wide.columns:
         return wide.select(playlist_col).dropna().distinct()
-    shares = _tier_shares(popularity_col, item_col)
-    return wide.where(F.col(playlist_col).isNotNull()).groupBy(playlist_col).agg(*shares)
+    return _figures(wide, playlist_col, [], _tier(popularity_col, item_col))
 
 
 def all_features(wide: DataFrame, as_of: str, playlist_col: str = "playlist_id") -> DataFrame:
-    """Every feature family. All but the concentration share one aggregate."""
-    narrow = _narrow(
-        wide,
-        playlist_col,
-        "track_id",
-        "primary_artist_id",
-        "added_at",
-        "release_date",
-        "popularity",
-        "duration_ms",
-        *AUDIO_COLUMNS,
-    )
-    present = set(narrow.columns)
-    aggregates, medians = _profile_parts(narrow)
+    """Every feature family, from one reading of ``wide`` and one table of counted values."""
+    present = set(wide.columns)
+    metrics = _profile(wide)
     if "added_at" in present:
-        more, middle = _added_parts(as_of, "added_at")
-        aggregates, medians = aggregates + more, {**medians, **middle}
+        metrics.append(_age(as_of, "added_at"))
     if "release_date" in present:
-        more, middle = _year_parts("release_date")
-        aggregates, medians = aggregates + more, {**medians, **middle}
-    if "popularity" in present:
-        aggregates = aggregates + _tier_shares("popularity", "track_id")
-    if not aggregates:
-        result = narrow.select(playlist_col).distinct()
-    else:
-        result = _with_medians(narrow, playlist_col, aggregates, medians)
-    if "added_at" in present:
-        result = result.select("*", _age_median(as_of)).drop("added_seconds_median")
-    if "primary_artist_id" in present:
-        result = result.join(artist_concentration(narrow, playlist_col), playlist_col, "full")
-    return result
+        metrics.append(_year("release_date"))
+    tiers = _tier("popularity", "track_id") if "popularity" in present else None
+    artists = ("primary_artist_id", "track_id") if "primary_artist_id" in present else None
+    return _figures(wide, playlist_col, metrics, tiers, artists)

@@ -82,113 +82,136 @@ def numbered(
     return rows.join(offsets, [*keys, piece]).withColumn(name, F.col(place) + F.col("_shift")).drop(place, piece, "_shift")
 
 
-def exact_medians(
+# A group's values are sorted in one task up to this number; more are first narrowed down to
+# the bin of a histogram with at most so many bins, so many times.
+SORTED = 4096
+MOST_BINS = 65_536
+ROUNDS = 1
+
+
+def value_counts(
     df: DataFrame,
     keys: Sequence[str],
-    metrics: Mapping[str, tuple[Column, float]],
+    metrics: Mapping[str, Column],
+    labels: Mapping[str, tuple[Column, Column]] | None = None,
 ) -> DataFrame:
-    """Interpolated medians, one output column per metric.
+    """(*keys, metric, value, label, item, n): how often each value of each metric occurs.
 
-    ``metrics`` maps an output name to (value, step width). Equal values are
-    counted first, so the map-side combine shrinks hot groups; the middle rank
-    is then located among step totals and only the step that holds it is sorted.
-    Groups without any value in any metric do not appear.
+    ``metrics`` name numbers, ``labels`` pairs (label, item) that are counted as text. Null
+    values, labels and items do not occur; every key has the metric "" with its number of rows.
+
+    This is the one exchange that all figures of a group come from: equal values are counted
+    where they lie, and the rest is dealt by value, however large a group is. No column is
+    nullable and no reader filters it, so that Spark finds the exchange equal each time and
+    evaluates ``df`` once.
     """
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("metric"),
-                F.floor(value.cast("double") / F.lit(float(width))).alias("step"),
-                value.cast("double").alias("value"),
-            )
-            for name, (value, width) in metrics.items()
-        ]
-    )
-    counts = (
-        df.select(*keys, F.explode(cells).alias("c"))
+
+    def cell(metric: str, value: Column | None, label: Column | None = None, item: Column | None = None) -> Column:
+        there = [c.isNotNull() for c in (value, label, item) if c is not None]
+        return F.struct(
+            F.lit(metric).alias("metric"),
+            F.coalesce(F.lit(0.0) if value is None else value.cast("double"), F.lit(0.0)).alias("value"),
+            *[F.coalesce(F.lit("") if c is None else c.cast("string"), F.lit("")).alias(n) for c, n in ((label, "label"), (item, "item"))],
+            (reduce(Column.__and__, there) if there else F.lit(True)).alias("there"),
+        )
+
+    cells = [cell("", None)]
+    cells += [cell(name, value) for name, value in metrics.items()]
+    cells += [cell(name, None, *pair) for name, pair in (labels or {}).items()]
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    return (
+        df.where(known)
+        .select(*keys, F.explode(F.array(*cells)).alias("c"))
         .select(*keys, "c.*")
-        .where(F.col("value").isNotNull())
-        .groupBy(*keys, "metric", "step", "value")
+        .where("there")
+        .groupBy(*keys, "metric", "value", "label", "item")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    by_metric = Window.partitionBy(*keys, "metric")
-    upto = F.sum("n").over(by_metric.orderBy("step"))
-    steps = (
-        counts.groupBy(*keys, "metric", "step")
-        .agg(F.sum("n").alias("n"))
-        .select(
-            *keys,
-            "metric",
-            "step",
-            (upto - F.col("n")).alias("before"),
-            upto.alias("upto"),
-            F.sum("n").over(by_metric).alias("total"),
-        )
-        .withColumn("low", F.expr("(total + 1) div 2"))
-        .withColumn("high", F.expr("(total + 2) div 2"))
-        .where((F.col("upto") >= F.col("low")) & (F.col("before") < F.col("high")))
-        .drop("upto", "total")
-    )
-    in_step = Window.partitionBy(*keys, "metric", "step").orderBy("value")
-    middle = (
-        counts.join(steps, [*keys, "metric", "step"])
-        .withColumn("rank", F.col("before") + F.sum("n").over(in_step))
-        .where((F.col("rank") >= F.col("low")) & (F.col("rank") - F.col("n") < F.col("high")))
-    )
 
-    def half_way(name: str) -> Column:
-        value = F.when(F.col("metric") == name, F.col("value"))
-        return ((F.min(value) + F.max(value)) / 2).alias(name)
 
-    return middle.groupBy(*keys).agg(*[half_way(name) for name in metrics])
+def _holds_a_middle_rank() -> Column:
+    """Is one of the ranks ``low`` and ``high`` among the last ``inside`` rows up to ``upto``?"""
+    first = F.col("upto") - F.col("inside")
+    return reduce(Column.__or__, [(F.col("upto") >= F.col(r)) & (first < F.col(r)) for r in ("low", "high")])
 
 
-# Groups up to this size are sorted or counted whole; larger ones take the step-wise
-# way.
-GROUP_LIMIT = 1_000_000
+def _narrowed(counts: DataFrame, keys: Sequence[str], more: Sequence[Column]) -> DataFrame:
+    """(*keys, metric, figures, squares, low, high, lo, hi, inside, before): the two middle ranks
+    of each metric of numbers, and the values lo..hi between which they lie (two rows where they
+    lie apart).
+
+    A histogram between the least and the greatest value, with bins by the number of values,
+    tells the bin that holds a rank; that bin's own least and greatest value bound the next one.
+    Where there are few values, or one, a single bin holds them all.
+    """
+    by, value, n = [*keys, "metric"], F.col("value"), F.col("n")
+    sums = counts.groupBy(*by).agg(
+        F.sum("n").alias("total"),
+        (F.sum(value * n) / F.sum("n")).alias("mean"),
+        F.min("value").alias("lo"),
+        F.max("value").alias("hi"),
+        *more,
+        F.max("label").alias("texts"),
+    )
+    figures = F.struct(*[c for c in sums.columns if c not in [*by, "texts"]]).alias("figures")
+    middle = [F.expr("(total + 1) div 2").alias("low"), F.expr("(total + 2) div 2").alias("high")]
+    sought = sums.where("texts = ''").select(*by, figures, *middle, "lo", "hi", F.col("total").alias("inside"), F.lit(0).cast("bigint").alias("before"))
+    sought = sought.withColumn("squares", F.lit(0.0))
+    for step in range(ROUNDS):
+        large = (F.col("inside") > SORTED) & (F.col("lo") < F.col("hi"))
+        bins = F.least(F.lit(MOST_BINS), F.ceil(F.col("inside") / SORTED) * 2)
+        # Halves, since the distance of two doubles may not be one.
+        place = (value / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+        bin_ = F.when(large, F.least(bins - 1, F.floor(place * bins))).otherwise(0)
+        found = counts.join(sought.hint("shuffle_hash"), by).where((value >= F.col("lo")) & (value <= F.col("hi"))).withColumn("bin", bin_)
+        # The first round meets all values, with their mean.
+        about = n * F.pow(value - F.col("figures.mean"), 2) if step == 0 else F.lit(0.0)
+        histogram = found.groupBy(*by, "low", "high", "before", "bin").agg(
+            F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("inside"),
+            F.first("figures").alias("figures"), F.sum(about).alias("part"), F.first("squares").alias("known"),
+        )
+        all_bins = Window.partitionBy(*by, "before")
+        histogram = histogram.withColumns(
+            {
+                "upto": F.col("before") + F.sum("inside").over(all_bins.orderBy("bin")),
+                "squares": F.col("known") + F.sum("part").over(all_bins),
+            }
+        )
+        before = (F.col("upto") - F.col("inside")).alias("before")
+        sought = histogram.where(_holds_a_middle_rank()).select(*by, "figures", "squares", "low", "high", "lo", "hi", "inside", before)
+    return sought
 
 
-# No more groups than this are ever called large, whatever the number of rows.
-MOST_HOT = 100_000
+def metric_figures(counts: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+    """(*keys, metric, total, mean, lo, hi, *more, std, median) of the numbers in ``value_counts``.
 
+    ``more`` are aggregates over its rows. The deviation is the sample's, about the known mean;
+    the median is exact and interpolated. Only values in the bin of a middle rank are sorted.
+    After the two exchanges by value and by metric every step works on what it already has.
+    """
+    by, value = [*keys, "metric"], F.col("value")
+    sought = _narrowed(counts, keys, more).drop("inside").hint("shuffle_hash")
+    inside = counts.join(sought, by).where((value >= F.col("lo")) & (value <= F.col("hi"))).withColumnRenamed("n", "inside")
+    upto = F.col("before") + F.sum("inside").over(Window.partitionBy(*by, "before").orderBy("value"))
+    found = inside.withColumn("upto", upto).where(_holds_a_middle_rank())
+    found = found.groupBy(*by).agg(
+        F.first("figures").alias("figures"),
+        F.max("squares").alias("squares"),
+        ((F.min("value") + F.max("value")) / 2).alias("median"),
+    )
+    std = F.when(F.col("figures.total") > 1, F.sqrt(F.col("squares") / (F.col("figures.total") - 1)))
+    return found.select(*by, "figures.*", std.alias("std"), "median")
 
-def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -> DataFrame:
-    """Keys of groups with more than ``limit`` rows, and more than one in ``MOST_HOT`` of all
-    rows: fewer than ``MOST_HOT`` keys at every size, which makes them safe to broadcast."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return sizes.where((F.col("_rows") > limit) & (F.col("_rows") > total / MOST_HOT)).select(*keys)
 
+def exact_medians(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Column]) -> DataFrame:
+    """Interpolated medians, one output column per metric; null where a key has no value."""
+    medians = metric_figures(value_counts(df, keys, metrics), keys)
+    return medians.groupBy(*keys).agg(*[F.max(F.when(F.col("metric") == m, F.col("median"))).alias(m) for m in metrics])
 
-def aggregate_with_medians(
-    df: DataFrame,
-    keys: Sequence[str],
-    aggregates: Sequence[Column],
-    metrics: Mapping[str, tuple[Column, float]],
-    limit: int = GROUP_LIMIT,
-) -> DataFrame:
-    """``aggregates`` and exact medians per group in one pass.
 
-    The built-in median holds a group's distinct values in one task, so it is used
-    in groups that are not hot; those go through ``exact_medians``. ``df`` is read
-    several times: pass a materialised one. Keys must be non-null.
-    """
-    if not metrics:
-        return df.groupBy(*keys).agg(*aggregates)
-    hot = hot_groups(df, keys, limit)
-    flagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), list(keys), "left")
-    usual = F.col("_hot").isNull()
-    plain = flagged.groupBy(*keys).agg(
-        *aggregates,
-        *[F.median(F.when(usual, value)).alias(name) for name, (value, _) in metrics.items()],
-    )
-    large = exact_medians(df.join(F.broadcast(hot), list(keys), "left_semi"), keys, metrics)
-    renamed = large.withColumnsRenamed({name: f"_large_{name}" for name in metrics})
-    return (
-        plain.join(renamed, list(keys), "left")
-        .withColumns({name: F.coalesce(name, f"_large_{name}") for name in metrics})
-        .drop(*[f"_large_{name}" for name in metrics])
-    )
+# Groups up to this size are sorted or counted whole; larger ones take the step-wise
+# way.
+GROUP_LIMIT = 1_000_000
 
 
 def top_per_group(

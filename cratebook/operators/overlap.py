@@ -13,6 +13,7 @@ Two things keep the work near the size of the result, whatever the skew:
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -81,21 +82,19 @@ def identical_sets(sets: DataFrame, first_by: DataFrame | None = None) -> DataFr
         signed = signed.withColumn("preference", F.lit(0))
     else:
         signed = signed.join(first_by.select("set_id", "preference"), "set_id", "left")
-    open_sets, parts = cut_lineage(signed), []
+    parts, columns = [], ["set_id", "first_id", "n_items"]
     while True:
-        firsts = open_sets.groupBy(*SIGNATURE).agg(F.min(F.struct("preference", "set_id")).alias("first"))
-        alike = open_sets.join(firsts, SIGNATURE).select("set_id", F.col("first.set_id").alias("first_id"), "n_items")
-        same = alike.where(F.col("set_id") == F.col("first_id")).unionByName(_matched(sets, alike))
-        same = cut_lineage(same)
-        parts.append(same)
+        firsts = signed.groupBy(*SIGNATURE).agg(F.min(F.struct("preference", "set_id")).alias("first"))
+        alike = cut_lineage(signed.join(firsts, SIGNATURE).withColumn("first_id", F.col("first.set_id")).drop("first"))
+        copies = cut_lineage(_matched(sets, alike.select(*columns)))
+        parts += [alike.where(F.col("set_id") == F.col("first_id")).select(*columns), copies]
         # Only where digests collide is anything left: no round beyond the first otherwise.
-        open_sets = open_sets.join(same.select("set_id"), "set_id", "left_anti")
-        if open_sets.isEmpty():
+        signed = alike.where(F.col("set_id") != F.col("first_id")).join(copies.select("set_id"), "set_id", "left_anti").drop("first_id")
+        if signed.isEmpty():
             break
-        open_sets = cut_lineage(open_sets)
     rows = reduce(DataFrame.unionByName, parts)
-    copies = rows.groupBy("first_id").agg(F.count(F.lit(1)).alias("copies"))
-    return rows.join(copies, "first_id").select("set_id", "first_id", "n_items", "copies")
+    sizes = rows.groupBy("first_id").agg(F.count(F.lit(1)).alias("copies"))
+    return rows.join(sizes, "first_id").select("set_id", "first_id", "n_items", "copies")
 
 
 def place_items(sets: DataFrame, group_limit: int = GROUP_LIMIT) -> DataFrame:
@@ -282,24 +281,22 @@ def _counted(placed: DataFrame, bounds: Bounds, rows_per_tile: int) -> DataFrame
     return _short_pairs(placed, bounds, rows_per_tile).unionByName(_long_pairs(placed, bounds, rows_per_tile))
 
 
-def first_pairs(
-    placed: DataFrame, wanted_if: Column | None = None, rows_per_tile: int = ROWS_PER_TILE, **wanted
-) -> DataFrame:
-    """(loser, set1, set2, keeper, n1, n2, overlap, jaccard): for each set the first of
-    the wanted pairs, by (set1, set2), in which it is the smaller.
+def first_pairs(placed: DataFrame, kinds: Mapping[str, Column], rows_per_tile: int = ROWS_PER_TILE, **wanted) -> DataFrame:
+    """(kind, loser, set1, set2, keeper, n1, n2, overlap, jaccard): for each set and kind the
+    first of the wanted pairs, by (set1, set2), in which it is the smaller.
 
-    The least pair is taken where pairs are found, task by task, so that at most one row
-    per set and task is shuffled: the list of pairs, which may be quadratic in the sets
-    that share a rare item, is never written or moved. ``wanted_if`` is a further
-    condition on n_small, n_large and overlap.
+    ``kinds`` are conditions on n_small, n_large and overlap. The least pair is taken where pairs
+    are found, task by task, so that at most one row per set and task is shuffled: the list of
+    pairs, which may be quadratic in the sets that share a rare item, is never written or moved.
     """
     pairs = _counted(placed, Bounds(**wanted), rows_per_tile)
-    if wanted_if is not None:
-        pairs = pairs.where(wanted_if)
     detail = F.struct(F.least("small", "large").alias("set1"), F.greatest("small", "large").alias("set2"), "large", "n_small", "n_large", "overlap")
-    best = pairs.groupBy("small").agg(F.min(detail).alias("d")).select("small", "d.*")
+    best = pairs.groupBy("small").agg(*[F.min(F.when(condition, detail)).alias(kind) for kind, condition in kinds.items()])
+    named = [F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("d")) for kind in kinds]
+    rows = best.select("small", F.explode(F.array(*named)).alias("k")).where("k.d IS NOT NULL").select("small", "k.kind", "k.d.*")
     is_first = F.col("small") == F.col("set1")
-    return best.select(
+    return rows.select(
+        "kind",
         F.col("small").alias("loser"),
         "set1",
         "set2",
@@ -361,7 +358,7 @@ def _grouped_similarity(
     sets: DataFrame, bound: float, first_by: DataFrame | None = None, **more
 ) -> tuple[DataFrame, DataFrame]:
     sets = cut_lineage(sets)
-    groups = cut_lineage(identical_sets(sets, first_by))
+    groups = identical_sets(sets, first_by)
     pairs = pair_overlap(first_sets(sets, groups), jaccard=bound, **more)
     return groups, with_copies(pairs, groups)
 

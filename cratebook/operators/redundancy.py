@@ -30,10 +30,9 @@ class Redundancy:
     groups: DataFrame
     placed: DataFrame
 
-    @property
-    def similar(self) -> DataFrame:
-        """Pairs in a band: more than ``SIMILAR`` alike, which bounds their number."""
-        return self._classified(jaccard=SIMILAR, strict=True).where(F.col("band").isNotNull())
+    def similar(self, above: float = SIMILAR) -> DataFrame:
+        """Pairs in a band and more than ``above`` alike, which bounds their number."""
+        return self._classified(jaccard=above, strict=True).where(F.col("jaccard") > above)
 
     @property
     def pairs(self) -> DataFrame:
@@ -44,15 +43,14 @@ class Redundancy:
         return pairs.where(F.col("band").isNotNull() | F.col("is_subset") | F.col("is_candidate"))
 
     @property
-    def subsets(self) -> DataFrame:
-        """One row per set that lies inside a larger one: its first such pair."""
-        return overlap.first_pairs(self.placed, F.col("overlap") == F.col("n_small"), subsets=True)
-
-    @property
-    def candidates(self) -> DataFrame:
-        """One row per small set mostly inside a larger one: its first such pair."""
-        inside = (F.col("n_large") >= CANDIDATE_RATIO * F.col("n_small")) & (F.col("overlap") / F.col("n_small") > CANDIDATE_SHARE)
-        return overlap.first_pairs(self.placed, inside, containment=CANDIDATE_SHARE, size_ratio=CANDIDATE_RATIO, strict=True)
+    def targets(self) -> DataFrame:
+        """One row per kind and set: ``subset``, its first pair with a larger set that it lies in;
+        ``candidate``, with one of three times its size that holds most of it."""
+        kinds = {
+            "subset": F.col("overlap") == F.col("n_small"),
+            "candidate": (F.col("n_large") >= CANDIDATE_RATIO * F.col("n_small")) & (F.col("overlap") / F.col("n_small") > CANDIDATE_SHARE),
+        }
+        return overlap.first_pairs(self.placed, kinds, subsets=True, containment=CANDIDATE_SHARE, size_ratio=CANDIDATE_RATIO, strict=True)
 
     def _classified(self, **bounds) -> DataFrame:
         low, high, jaccard = F.least("n1", "n2"), F.greatest("n1", "n2"), F.col("jaccard")
@@ -82,7 +80,7 @@ def find_redundancy(members: DataFrame, names: DataFrame) -> Redundancy:
         overlap.item_sets(members, "set_id", "item_id").join(names, "set_id", "left_semi")
     )
     longest = names.select("set_id", (-F.length("name")).alias("preference"))
-    groups = cut_lineage(overlap.identical_sets(sets, longest))
+    groups = overlap.identical_sets(sets, longest)
     placed = overlap.place_items(overlap.first_sets(sets, groups))
     return Redundancy(names, overlap.copy_rows(groups), groups, placed)
 
@@ -178,12 +176,13 @@ def consolidation_suggestions(found: Redundancy, seed: int = SEED) -> DataFrame:
     Only pairs of a band are written. Subsets and small collections name one target each,
     which is chosen where their pairs are found.
     """
-    pairs = cut_lineage(found.similar.where(F.col("band").isin("high", "near")))
+    pairs = cut_lineage(found.similar(NEAR))
     copies = found.copies
     columns = ["loser", "set1", "set2", "keeper", "n1", "n2", "overlap", "jaccard"]
 
     smaller = _smaller_first(pairs)
-    subsets = cut_lineage(found.subsets.select(*columns))
+    targets = cut_lineage(found.targets)
+    subsets = targets.where(F.col("kind") == "subset").select(*columns)
 
     tie_removes_first = pairs.where(F.col("band") == "high").withColumns(
         {
@@ -201,7 +200,7 @@ def consolidation_suggestions(found: Redundancy, seed: int = SEED) -> DataFrame:
     near_pairs = _without(smaller.where((F.col("band") == "near") & lopsided), gone, "set1", "set2")
     near = greedy_removals(near_pairs.select(*columns), seed)
     gone = gone.unionByName(near)
-    small = _without(found.candidates, gone, "loser").select(*columns)
+    small = _without(targets.where(F.col("kind") == "candidate"), gone, "loser").select(*columns)
 
     def phase(df: DataFrame, number: int, action: str, reason: Column, lost: Column) -> DataFrame:
         return df.select(
@@ -271,7 +270,7 @@ def consolidation_suggestions(found: Redundancy, seed: int = SEED) -> DataFrame:
 def consolidation_strategies(found: Redundancy, suggestions: DataFrame) -> DataFrame:
     """What to do with similar pairs whose ends are both still there."""
     gone = suggestions.select(F.col("set_id").alias("loser")).distinct()
-    pairs = _without(found.similar.where(F.col("band") == "similar"), gone, "set1", "set2")
+    pairs = _without(found.similar().where(F.col("band") == "similar"), gone, "set1", "set2")
     for side in ("1", "2"):
         pairs = pairs.join(
             found.names.select(F.col("set_id").alias(f"set{side}"), F.col("name").alias(f"name{side}")),

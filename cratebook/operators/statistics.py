@@ -27,7 +27,7 @@ def library_stats(scope) -> DataFrame:
 
 def size_stats(playlists: DataFrame, playlist_tracks: DataFrame) -> DataFrame:
     one = playlists.withColumn("everything", F.lit(1))
-    median = exact_medians(one, ["everything"], {"m": (F.col("track_count"), 1000.0)}).select("m")
+    median = exact_medians(one, ["everything"], {"m": F.col("track_count")}).select("m")
     unique = playlist_tracks.agg(F.countDistinct("track_id").alias("n"))
     return playlists.agg(
         F.avg("track_count").alias("mean_size"),

@@ -6,15 +6,8 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from cratebook.operators.grouping import (
-    aggregate_with_medians,
-    counted_row_number,
-    exact_medians,
-    hot_groups,
-    numbered,
-    top_rows,
-    top_per_group,
-)
+from cratebook.operators import grouping
+from cratebook.operators.grouping import counted_row_number, exact_medians, numbered, top_per_group, top_rows
 
 
 @pytest.fixture(scope="module")
@@ -41,24 +34,40 @@ def same_medians(rows, data):
     assert {r["k"]: r["mb"] for r in rows} == pytest.approx({k: v[1] for k, v in wanted.items()})
 
 
-METRICS = {"ma": ("a", 7.0), "mb": ("b", 0.25)}
-
-
 def metrics():
-    return {name: (F.col(c), width) for name, (c, width) in METRICS.items()}
+    return {"ma": F.col("a"), "mb": F.col("b")}
 
 
-def test_exact_medians(numbers):
+@pytest.mark.parametrize(("limit", "bins", "rounds"), [(4096, 65_536, 1), (10, 4, 2), (1, 2, 3), (50, 1000, 1)])
+def test_medians_do_not_depend_on_the_steps(numbers, monkeypatch, limit, bins, rounds):
     data, df = numbers
+    for name, value in (("SORTED", limit), ("MOST_BINS", bins), ("ROUNDS", rounds)):
+        monkeypatch.setattr(grouping, name, value)
     same_medians(exact_medians(df, ["k"], metrics()).collect(), data)
 
 
-@pytest.mark.parametrize("limit", [10, 500, 10_000])
-def test_medians_do_not_depend_on_the_group_limit(numbers, limit):
-    data, df = numbers
-    got = aggregate_with_medians(df, ["k"], [F.count(F.lit(1)).alias("n")], metrics(), limit).collect()
-    same_medians(got, data)
-    assert sum(r["n"] for r in got) == len(data)
+def test_medians_of_extreme_values(spark, monkeypatch):
+    monkeypatch.setattr(grouping, "SORTED", 3)
+    values = [-1.7e308, 1.7e308, 0.0, 1e-300, -1e-300, 5.0, 5.0, 5.0, 1e100, float("inf"), 2.0]
+    rows = [("all", v) for v in values] + [("one", 4.0)] * 9 + [("none", None)]
+    got = {r["k"]: r["m"] for r in exact_medians(spark.createDataFrame(rows, "k string, v double"), ["k"], {"m": F.col("v")}).collect()}
+    assert got == {"all": statistics.median(values), "one": 4.0, "none": None}
+
+
+def test_a_hot_group_of_continuous_values_is_narrowed_before_sorting(spark):
+    """Of 200,000 different values a bin is sorted; no job runs before the result is asked for."""
+    spark.sparkContext.setJobGroup("medians", "planning")
+    df = spark.range(200_000, numPartitions=8).select(F.lit("hot").alias("k"), F.rand(3).alias("v"))
+    df = df.unionByName(spark.range(100).select(F.lit("small").alias("k"), F.col("id").cast("double").alias("v")))
+    counts = grouping.value_counts(df, ["k"], {"v": F.col("v")})
+    medians = grouping.metric_figures(counts, ["k"])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("medians")
+    spark.sparkContext.setJobGroup("medians run", "running")
+    sought = grouping._narrowed(counts, ["k"], []).where("metric = 'v' AND k = 'hot'").collect()
+    assert len(sought) in (1, 2) and all(r["inside"] <= grouping.SORTED for r in sought)
+    values = sorted(r["v"] for r in df.where("k = 'hot'").collect())
+    got = {r["k"]: r["median"] for r in medians.collect() if r["metric"] == "v"}
+    assert got == {"hot": (values[99_999] + values[100_000]) / 2, "small": 49.5}
 
 
 def test_top_rows(spark):
@@ -66,11 +75,6 @@ def test_top_rows(spark):
     assert [(r["id"], r["rank"]) for r in sorted(got, key=lambda r: r["rank"])] == [(98, 1), (91, 2), (84, 3)]
 
 
-def test_hot_groups(numbers):
-    _, df = numbers
-    assert [r["k"] for r in hot_groups(df, ["k"], 500).collect()] == ["hot"]
-
-
 @pytest.mark.parametrize("partitions", [1, 7, 32])
 def test_counted_row_number_equals_a_sort(numbers, partitions):
     data, df = numbers
@@ -133,3 +137,17 @@ def test_numbered_spreads_equal_rows(spark):
     rows = spark.range(20_000, numPartitions=8).selectExpr("1 AS k", "'x' AS v")
     got = numbered(rows, ["k"], ["v"])
     assert sorted(r[0] for r in got.select("position").collect()) == list(range(20_000))
+
+
+def test_features_read_the_wide_table_once(spark, small):
+    from cratebook.operators import features
+    from cratebook.testbed.queries_library import wide_of
+    from cratebook.testbed.virtual import AS_OF, VirtualLibrary
+
+    wide = wide_of(VirtualLibrary(spark, small))
+    spark.sparkContext.setJobGroup("features", "planning")
+    df = features.all_features(wide, AS_OF)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("features")
+    spark.sparkContext.setJobGroup("features run", "running")
+    # Collections, memberships and credits read order lines once each.
+    assert scans(df, "lineitem")[0] <= 3

@@ -300,7 +300,7 @@ def test_first_pair_of_each_smaller_set(spark, monkeypatch, short):
     monkeypatch.setattr(overlap, "SHORT_SET", short)
     sets = distinct_sets(make_sets(13, 90))
     placed = overlap.place_items(frame(spark, sets))
-    got = overlap.first_pairs(placed, F.col("overlap") == F.col("n_small"), subsets=True).collect()
+    got = overlap.first_pairs(placed, {"subset": F.col("overlap") == F.col("n_small")}, subsets=True).collect()
     want = {}
     for (a, b), x in sorted(brute(sets, lambda n, m, x: x == min(n, m)).items()):
         small, large = (a, b) if len(sets[a]) < len(sets[b]) else (b, a)
@@ -311,7 +311,7 @@ def test_first_pair_of_each_smaller_set(spark, monkeypatch, short):
 def test_the_first_pair_is_taken_before_the_shuffle(spark):
     """Between the join that finds pairs and the first exchange above it stands an aggregate."""
     placed = overlap.place_items(frame(spark, distinct_sets(make_sets(2))))
-    plan = overlap.first_pairs(placed, subsets=True)._jdf.queryExecution().executedPlan().toString()
+    plan = overlap.first_pairs(placed, {"any": F.lit(True)}, subsets=True)._jdf.queryExecution().executedPlan().toString()
     above = plan.split("Join")[0]
     assert above.count("partial_min") == 1 and above.index("Exchange") < above.index("partial_min")
     assert "Exchange" not in above[above.index("partial_min") :]

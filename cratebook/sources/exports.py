@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cratebook import schemas
 from cratebook.functions import times
 from cratebook.functions.music import uri_item
+from cratebook.sources import arrays
 
 # File name patterns of the export.
 FILES = {
@@ -24,16 +25,11 @@ FILES = {
 TECH_TABLES = ["playback_errors", "playback_retries", "webapi_events"]
 
 
-def read_arrays(spark: SparkSession, folder: str, pattern: str, schema: str) -> DataFrame:
-    """All records of the matching files. Each file is one JSON array, so a file is
-    the unit of parallelism; exports come in many files of limited size."""
-    return (
-        spark.read.schema(schema)
-        .option("multiLine", True)
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", False)
-        .json(folder)
-    )
+def read_records(spark: SparkSession, folder: str, pattern: str, schema: str, array: bool = True) -> DataFrame:
+    """All records of the matching files, each one JSON array (or objects one after another),
+    in splits: a large file is read by many tasks."""
+    found = arrays.records(spark, folder, pattern, array)
+    return found.select(F.from_json("value", f"STRUCT<{schema}>").alias("r")).select("r.*")
 
 
 def basic_history(records: DataFrame, minimum: int = schemas.MIN_PLAY_MS) -> DataFrame:
@@ -63,11 +59,11 @@ def extended_history(records: DataFrame, minimum: int = schemas.MIN_PLAY_MS) ->
 
 
 def load_basic(spark: SparkSession, folder: str, pattern: str = FILES["basic"]) -> DataFrame:
-    return basic_history(read_arrays(spark, folder, pattern, schemas.BASIC_HISTORY))
+    return basic_history(read_records(spark, folder, pattern, schemas.BASIC_HISTORY))
 
 
 def load_extended(spark: SparkSession, folder: str, pattern: str = FILES["extended"]) -> DataFrame:
-    return extended_history(read_arrays(spark, folder, pattern, schemas.EXTENDED_HISTORY))
+    return extended_history(read_records(spark, folder, pattern, schemas.EXTENDED_HISTORY))
 
 
 def search_queries(records: DataFrame) -> DataFrame:
@@ -83,7 +79,7 @@ def search_queries(records: DataFrame) -> DataFrame:
 
 
 def load_search(spark: SparkSession, folder: str, pattern: str = FILES["search"]) -> DataFrame:
-    return search_queries(read_arrays(spark, folder, pattern, schemas.SEARCH_FILE))
+    return search_queries(read_records(spark, folder, pattern, schemas.SEARCH_FILE))
 
 
 def follow_data(records: DataFrame) -> DataFrame:
@@ -101,7 +97,7 @@ def follow_data(records: DataFrame) -> DataFrame:
 
 
 def load_follow(spark: SparkSession, folder: str, pattern: str = FILES["follow"]) -> DataFrame:
-    return follow_data(read_arrays(spark, folder, pattern, schemas.FOLLOW_FILE))
+    return follow_data(read_records(spark, folder, pattern, schemas.FOLLOW_FILE, array=False))
 
 
 def library_snapshot(records: DataFrame) -> DataFrame:
@@ -123,7 +119,7 @@ def library_snapshot(records: DataFrame) -> DataFrame:
 
 
 def load_library(spark: SparkSession, folder: str, pattern: str = FILES["library"]) -> DataFrame:
-    return library_snapshot(read_arrays(spark, folder, pattern, schemas.LIBRARY_FILE))
+    return library_snapshot(read_records(spark, folder, pattern, schemas.LIBRARY_FILE, array=False))
 
 
 def tech_log(records: DataFrame) -> DataFrame:
@@ -139,16 +135,17 @@ def tech_log(records: DataFrame) -> DataFrame:
 
 
 def load_tech_log(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    return tech_log(read_arrays(spark, folder, pattern, schemas.TECH_LOG))
+    return tech_log(read_records(spark, folder, pattern, schemas.TECH_LOG))
 
 
 def load_wrapped(
     spark: SparkSession, folder: str, preferred: str = "Wrapped2024.json", pattern: str = FILES["wrapped"]
 ) -> DataFrame:
     """(file, body): the preferred year if present, else the first file by name."""
+    below, _, names = pattern.rpartition("/")
     texts = (
-        spark.read.option("pathGlobFilter", pattern)
-        .text(folder, wholetext=True)
+        spark.read.option("pathGlobFilter", names)
+        .text(f"{folder}/{below}" if below else folder, wholetext=True)
         .select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("body"))
     )
     return texts.orderBy((F.col("file") != preferred).cast("int"), "file").limit(1)

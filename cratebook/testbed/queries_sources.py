@@ -228,6 +228,33 @@ def market_playlists(v):
     )
 
 
+def land_arrays(records: DataFrame, folder: str) -> None:
+    """The records as JSON array files, one per task, written line by line."""
+
+    def array_lines(batches):
+        started = False
+        for batch in batches:
+            lines = list(batch["value"])
+            if lines:
+                marks = ["," if started else "["] + [","] * (len(lines) - 1)
+                started = True
+                yield pd.DataFrame({"value": [m + x for m, x in zip(marks, lines)]})
+        yield pd.DataFrame({"value": ["]" if started else "[]"]})
+
+    lines = records.select(F.to_json(F.struct(*records.columns)).alias("value"))
+    lines.mapInPandas(array_lines, "value string").write.text(folder)
+
+
+def landed(v, label: str, arrays=None, objects=None) -> str:
+    """A folder with one folder of export files per name: arrays, or one object a line."""
+    folder = scratch_path(v.spark, label)
+    for name, records in (arrays or {}).items():
+        land_arrays(records, f"{folder}/{name}")
+    for name, records in (objects or {}).items():
+        records.write.json(f"{folder}/{name}")
+    return folder
+
+
 def basic_records(v):
     return v.plays_long().select(
         F.date_format("timestamp", "yyyy-MM-dd HH:mm").alias("endTime"),
@@ -266,9 +293,8 @@ def shown(df):
     ("plays_long",),
 )
 def load_history_basic(v):
-    landed = basic_records(v).select(F.to_json(F.array(F.struct("*"))).alias("page"))
-    records = landed.select(F.inline(F.from_json("page", f"ARRAY<STRUCT<{schemas.BASIC_HISTORY}>>")))
-    return shown(exports.basic_history(records))
+    folder = landed(v, "basic", {"basic": basic_records(v)})
+    return shown(exports.load_basic(v.spark, folder, "basic/part-*"))
 
 
 @entry(
@@ -278,53 +304,57 @@ def load_history_basic(v):
     ("plays_short",),
 )
 def load_history_extended(v):
-    landed = extended_records(v).select(F.to_json(F.array(F.struct("*"))).alias("page"))
-    records = landed.select(F.inline(F.from_json("page", f"ARRAY<STRUCT<{schemas.EXTENDED_HISTORY}>>")))
-    return shown(exports.extended_history(records)).select(
+    folder = landed(v, "extended", {"extended": extended_records(v)})
+    return shown(exports.load_extended(v.spark, folder, "extended/part-*")).select(
         "timestamp", "artist_name", "track_name", "track_uri", "ms_played", "date", "hour", "day_of_week",
         "day_of_week_num", "month", "minutes_played", "source",
     )
 
 
+def search_records(v):
+    """Searches of failed events have a damaged time."""
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z[UTC]'")
+    return v.table("events").select(
+        F.when(F.col("event_type") == "error", "soon").otherwise(stamp).alias("searchTime"),
+        F.concat(F.lit("song \"{"), text("event_id"), F.lit("}\"")).alias("searchQuery"),
+    )
+
+
 @entry(
     "load_search_queries",
-    f"""SELECT event_id, CASE WHEN event_type <> 'error' THEN {second_sql('ts')} END AS timestamp,
+    f"""SELECT 'song "{{' || event_id || '}}"' AS "searchQuery", CASE WHEN event_type <> 'error' THEN {second_sql('ts')} END AS timestamp,
   CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m') END AS month,
   CASE WHEN event_type <> 'error' THEN CAST(hour(ts) AS INTEGER) END AS hour FROM events""",
 )
 def load_search_queries(v):
-    """Searches of failed events have a damaged time."""
-    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z[UTC]'")
-    records = v.table("events").select(
-        "event_id", F.when(F.col("event_type") == "error", "soon").otherwise(stamp).alias("searchTime")
-    )
-    return exports.search_queries(records).select("event_id", second("timestamp").alias("timestamp"), "month", "hour")
+    """Search texts hold quotes and braces, so that records can only be told apart by reading them."""
+    folder = landed(v, "search", {"search": search_records(v)})
+    found = exports.load_search(v.spark, folder, "search/part-*")
+    return found.select("searchQuery", second("timestamp").alias("timestamp"), "month", "hour")
 
 
-@entry(
-    "load_follow",
-    """SELECT DISTINCT 'u' || user_id AS user, CASE event_type WHEN 'view' THEN 'following' WHEN 'click' THEN 'followed_by'
-  ELSE 'blocking' END AS relationship FROM events WHERE event_type IN ('view', 'click', 'error')""",
-)
-def load_follow(v):
+def follow_records(v):
     users = v.table("events").select("event_type", F.concat(F.lit("u"), text("user_id")).alias("user")).distinct()
 
     def those(kind):
         return F.when(F.col("event_type") == kind, F.array("user"))
 
-    records = users.select(
+    return users.select(
         those("view").alias("userIsFollowing"), those("click").alias("userIsFollowedBy"), those("error").alias("userIsBlocking")
     )
-    return exports.follow_data(records)
 
 
 @entry(
-    "load_library_snapshot",
-    f"""SELECT 'spotify:track:' || l_partkey AS track_uri, CAST(l_partkey AS VARCHAR) AS track_id,
-  CASE WHEN l_suppkey % 4 = 0 THEN '' ELSE 'Artist ' || l_suppkey END AS artist_name, '' AS album_name,
-  {second_sql('l_shipdate')} AS added_at, strftime(l_shipdate, '%Y-%m-%d') AS added_date FROM lineitem""",
+    "load_follow",
+    """SELECT DISTINCT 'u' || user_id AS user, CASE event_type WHEN 'view' THEN 'following' WHEN 'click' THEN 'followed_by'
+  ELSE 'blocking' END AS relationship FROM events WHERE event_type IN ('view', 'click', 'error')""",
 )
-def load_library_snapshot(v):
+def load_follow(v):
+    folder = landed(v, "follow", objects={"follow": follow_records(v)})
+    return exports.load_follow(v.spark, folder, "follow/part-*")
+
+
+def library_records(v):
     artist = F.when(
         F.col("l_suppkey") % 4 != 0, F.struct(F.concat(F.lit("Artist "), text("l_suppkey")).alias("name"))
     )
@@ -333,51 +363,53 @@ def load_library_snapshot(v):
         artist.alias("artist"),
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("addedAt"),
     )
-    landed = v.table("lineitem").select(F.to_json(F.struct(F.array(track).alias("tracks"))).alias("page"))
-    records = pages.parse_pages(landed, "page", schemas.LIBRARY_FILE)
-    return exports.library_snapshot(records).select(
+    # One object per order, with its lines as tracks.
+    return v.table("lineitem").groupBy("l_orderkey").agg(F.collect_list(track).alias("tracks")).select("tracks")
+
+
+@entry(
+    "load_library_snapshot",
+    f"""SELECT 'spotify:track:' || l_partkey AS track_uri, CAST(l_partkey AS VARCHAR) AS track_id,
+  CASE WHEN l_suppkey % 4 = 0 THEN '' ELSE 'Artist ' || l_suppkey END AS artist_name, '' AS album_name,
+  {second_sql('l_shipdate')} AS added_at, strftime(l_shipdate, '%Y-%m-%d') AS added_date FROM lineitem""",
+)
+def load_library_snapshot(v):
+    folder = landed(v, "library", objects={"library": library_records(v)})
+    return exports.load_library(v.spark, folder, "library/part-*").select(
         "track_uri", "track_id", "artist_name", "album_name", second("added_at").alias("added_at"),
         F.col("added_date").cast("string").alias("added_date"),
     )
 
 
+def tech_records(events, as_text: bool):
+    """A technical log of events, with times as text or in milliseconds."""
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp_utc")
+    millis = F.unix_millis(F.col("ts").cast("timestamp")).alias("context_time")
+    return events.select(stamp if as_text else millis, (F.col("value") > 20).alias("fatal"), text("event_id").alias("message_error_code"))
+
+
 @entry(
     "load_tech_log",
-    f"""SELECT event_id, 'text' AS kind, {second_sql('ts')} AS timestamp, strftime(ts, '%Y-%m') AS month FROM events
-UNION ALL SELECT event_id, 'millis', {second_sql('ts')}, strftime(ts, '%Y-%m') FROM events""",
+    f"""SELECT CAST(event_id AS VARCHAR) AS message_error_code, value > 20 AS fatal, 'text' AS kind, {second_sql('ts')} AS timestamp,
+  strftime(ts, '%Y-%m') AS month FROM events
+UNION ALL SELECT CAST(event_id AS VARCHAR), value > 20, 'millis', {second_sql('ts')}, strftime(ts, '%Y-%m') FROM events""",
 )
 def load_tech_log(v):
-    millis = F.unix_millis(F.col("ts").cast("timestamp"))
-    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     events = v.table("events")
-    with_text = events.select("event_id", stamp.alias("timestamp_utc"), F.lit(0).cast("bigint").alias("context_time"))
-    with_millis = events.select("event_id", F.lit(None).cast("string").alias("timestamp_utc"), millis.alias("context_time"))
+    folder = landed(v, "tech", {"text": tech_records(events, True), "millis": tech_records(events, False)})
 
-    def read(df, kind):
-        return exports.tech_log(df).select(
-            "event_id", F.lit(kind).alias("kind"), second("timestamp").alias("timestamp"), "month"
+    def read(kind):
+        return exports.load_tech_log(v.spark, folder, f"{kind}/part-*").select(
+            "message_error_code", "fatal", F.lit(kind).alias("kind"), second("timestamp").alias("timestamp"), "month"
         )
 
-    return read(with_text, "text").unionByName(read(with_millis, "millis"))
-
+    return read("text").unionByName(read("millis"))
 
-def land_arrays(v, records: DataFrame, label: str) -> str:
-    """The records as JSON array files, one per task, written line by line."""
 
-    def array_lines(batches):
-        started = False
-        for batch in batches:
-            lines = list(batch["value"])
-            if lines:
-                marks = ["," if started else "["] + [","] * (len(lines) - 1)
-                started = True
-                yield pd.DataFrame({"value": [m + x for m, x in zip(marks, lines)]})
-        yield pd.DataFrame({"value": ["]" if started else "[]"]})
-
-    folder = scratch_path(v.spark, label)
-    lines = records.select(F.to_json(F.struct(*records.columns)).alias("value"))
-    lines.mapInPandas(array_lines, "value string").write.text(folder)
-    return folder
+def wrapped_records(v):
+    """A yearly summary, one record per hour of the day, in one file."""
+    plays = v.plays_short().groupBy(F.hour("timestamp").alias("hour"))
+    return plays.agg(F.count(F.lit(1)).alias("plays"), F.sum("ms_played").alias("total_ms")).coalesce(1)
 
 
 @entry(
@@ -386,31 +418,36 @@ def land_arrays(v, records: DataFrame, label: str) -> str:
 FROM events GROUP BY 1""",
 )
 def load_wrapped(v):
-    """A yearly summary (one record per hour of the day) in one file, read back whole."""
-    plays = v.plays_short().groupBy(F.hour("timestamp").alias("hour")).agg(
-        F.count(F.lit(1)).alias("plays"), F.sum("ms_played").alias("total_ms")
-    )
-    folder = land_arrays(v, plays.coalesce(1), "wrapped")
-    wrapped = exports.load_wrapped(v.spark, folder, pattern="part-*")
+    """The summary is read back whole."""
+    folder = landed(v, "wrapped", {"wrapped": wrapped_records(v)})
     body = F.from_json("body", "ARRAY<STRUCT<hour BIGINT, plays BIGINT, total_ms BIGINT>>")
-    return wrapped.select(F.inline(body))
+    return exports.load_wrapped(v.spark, folder, pattern="wrapped/part-*").select(F.inline(body))
 
 
 @entry(
     "sync_exports",
     """SELECT 'streaming_history' AS "table", 'written' AS status, count(*) AS rows FROM plays_short WHERE ms_played >= 30000 AND NOT skipped
-UNION ALL SELECT 'playback_errors', 'written', count(*) FROM error_log
-UNION ALL SELECT unnest(['search_queries', 'wrapped_data', 'follow_data', 'library_snapshot', 'playback_retries', 'webapi_events']), 'written', 0""",
-    ("plays_short", "error_log"),
+UNION ALL SELECT 'search_queries', 'written', count(*) FROM events
+UNION ALL SELECT 'wrapped_data', 'written', 1
+UNION ALL SELECT 'follow_data', 'written', count(*) FROM (SELECT DISTINCT user_id, event_type FROM events WHERE event_type IN ('view', 'click', 'error'))
+UNION ALL SELECT 'library_snapshot', 'written', count(*) FROM lineitem
+UNION ALL SELECT 'playback_errors', 'written', count(*) FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'playback_retries', 'written', count(*) FROM events WHERE event_type = 'click'
+UNION ALL SELECT 'webapi_events', 'written', count(*) FROM events WHERE event_type = 'view'""",
+    ("plays_short",),
 )
 def sync_exports(v):
-    account = land_arrays(v, basic_records(v), "account")
-    extended = land_arrays(v, extended_records(v), "extended")
-    errors = v.error_log().select(
-        F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp_utc"), "fatal", "message_error_code"
-    )
-    tech = land_arrays(v, errors, "tech")
-    patterns = {"basic": "part-*", "extended": "part-*", "playback_errors": "part-*"}
+    """All eight tables from files of their kinds."""
+    account = landed(
+        v, "account", {"basic": basic_records(v), "search": search_records(v), "wrapped": wrapped_records(v)},
+        {"follow": follow_records(v), "library": library_records(v)},
+    )
+    extended = landed(v, "extended", {"extended": extended_records(v)})
+    kinds = {"playback_errors": "error", "playback_retries": "click", "webapi_events": "view"}
+    events = v.table("events")
+    tech = landed(v, "tech", {t: tech_records(events.where(F.col("event_type") == k), t != "playback_retries") for t, k in kinds.items()})
+    names = ["basic", "search", "wrapped", "follow", "library", "extended", *kinds]
+    patterns = {name: f"{name}/part-*" for name in names}
     return tables.sync_exports(v.spark, account, extended, tech, scratch_path(v.spark, "tables"), patterns=patterns)
 
 

@@ -7,13 +7,16 @@ leaves nothing behind. Its rows are blocks of a bounded number of ids, in ascend
 ====== ======================================================================
 part   number of the ordered task; seq: number of the block within it
 n_docs documents that end in the block; n_ids: ids in it
-docs   their ids, little-endian 64-bit
+n_null how many of the documents have no id; they come first
+docs   the documents' ids, little-endian 64-bit (0 where there is none)
 ids    all token ids, little-endian 32-bit, end id of every document included
 ends   the documents' ends within ``ids``: an ``EliasFano`` string
 ====== ======================================================================
 
 The ends of n documents over u ids take n * (2 + log2(u / n)) bits and a little for select,
-not 64 bits each; a document's offset is found by two selects without reading the others'.
+not 64 bits each; a document's offset is found by two selects without reading the others'. The
+offsets of many documents are selected together, by counts of ones per byte and a table of the
+places of ones in a byte.
 """
 
 from __future__ import annotations
@@ -46,6 +49,8 @@ BATCH_IN = 8 << 20
 EVERY = 64
 
 _HEAD = struct.Struct("<QQB")
+#: Where the k-th one stands in a byte.
+_PLACES = np.array([(np.flatnonzero([byte >> b & 1 for b in range(8)]).tolist() + [8] * 8)[:8] for byte in range(256)])
 
 
 class EliasFano:
@@ -94,15 +99,28 @@ class EliasFano:
             low |= int(self.low[(first + b) >> 3] >> ((first + b) & 7) & 1) << b
         return (place - k) << self.low_bits | low
 
-    def all(self) -> np.ndarray:
-        places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        low = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits)
-        return ((places - np.arange(self.n)) << self.low_bits) + (low.astype(np.int64) << np.arange(self.low_bits)).sum(1)
+    def selects(self, ks: np.ndarray) -> np.ndarray:
+        """The numbers with ranks ``ks``, all at once."""
+        ones = np.cumsum(np.bitwise_count(self.high), dtype=np.int64)
+        byte = np.searchsorted(ones, ks, "right")
+        inside = ks - np.where(byte > 0, ones[np.maximum(byte, 1) - 1], 0)
+        numbers = (byte * 8 + _PLACES[self.high[byte], inside] - ks) << self.low_bits
+        for b in range(self.low_bits):
+            bit = ks * self.low_bits + b
+            numbers |= ((self.low[bit >> 3] >> (bit & 7)) & 1).astype(np.int64) << b
+        return numbers
 
     def span(self, k: int) -> tuple[int, int]:
         """Where document k begins and ends."""
         return (self.select(k - 1) if k else 0), self.select(k)
 
+    def spans(self, ks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where documents ``ks`` begin and end."""
+        last = self.selects(ks)
+        first = np.zeros(len(ks), np.int64)
+        first[ks > 0] = self.selects(ks[ks > 0] - 1)
+        return first, last
+
 
 # The splitting pattern and normalisers of the public word tokenizer.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -208,16 +226,20 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-_BLOCK = "part int, seq int, n_docs long, n_ids long, docs binary, ids binary, ends binary"
+_BLOCK = "part int, seq int, n_docs long, n_null long, n_ids long, docs binary, ids binary, ends binary"
 _BLOCK_ARROW = pa.schema(
-    [("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("docs", pa.binary()), ("ids", pa.binary()), ("ends", pa.binary())]
-)
+    [
+        ("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_null", pa.int64()), ("n_ids", pa.int64()),
+        ("docs", pa.binary()), ("ids", pa.binary()), ("ends", pa.binary()),
+    ]
+)
 
 
-def _block(seq: int, docs: list[int], chunks: list[bytes]) -> pa.RecordBatch:
+def _block(seq: int, docs: list[int | None], chunks: list[bytes]) -> pa.RecordBatch:
     lengths = np.fromiter(map(len, chunks), np.int64, len(chunks)) // 4
     ends = np.cumsum(lengths)
-    row = (TaskContext.get().partitionId(), seq, len(docs), int(ends[-1]), np.array(docs, "<i8").tobytes(), b"".join(chunks), EliasFano.write(ends, int(ends[-1])))
+    u, names = int(ends[-1]), np.array([d or 0 for d in docs], "<i8").tobytes()
+    row = (TaskContext.get().partitionId(), seq, len(docs), docs.count(None), u, names, b"".join(chunks), EliasFano.write(ends, u))
     return pa.record_batch([pa.array([x], f.type) for x, f in zip(row, _BLOCK_ARROW, strict=True)], schema=_BLOCK_ARROW)
 
 
@@ -233,16 +255,15 @@ def write_ids(
 ) -> None:
     """Write the ids of all texts in ascending order of their ids.
 
-    Null and empty texts hold the end id only. Rows that share an id follow one another by the
-    hash of their texts; rows without id are left out, there being no place for them in the
-    order. An empty table gives an empty file set. ``encoder`` makes, within a task, a function
+    Null and empty texts hold the end id only. Rows without id come first; rows that share an id
+    follow one another by the hash of their texts, equal ones in any order. An empty table gives an empty file set. ``encoder`` makes, within a task, a function
     from texts to their little-endian 32-bit ids.
     """
     closing = struct.pack("<I", end_id)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, seq, held = encoder(), 0, 0
-        names: list[int] = []
+        names: list[int | None] = []
         chunks: list[bytes] = []
         for whole in batches:
             for batch in slices(whole, most=BATCH_IN):
@@ -256,9 +277,11 @@ def write_ids(
         if names:
             yield _block(seq, names, chunks)
 
-    order = [F.col("id"), F.xxhash64("text")]
-    rows = keyed_text(docs, id_col, text_col).where("id IS NOT NULL")
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(encode, _BLOCK).write.option("compression", "zstd").parquet(path)
+    # The last key tells equal rows apart, so that a large group of them is split too.
+    order = [F.col("id").asc_nulls_first(), F.xxhash64("text"), F.col("tie")]
+    rows = keyed_text(docs, id_col, text_col).withColumn("tie", F.monotonically_increasing_id())
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
+    ordered.mapInArrow(encode, _BLOCK).write.option("compression", "zstd").parquet(path)
 
 
 def _blocks(spark: SparkSession, path: str) -> DataFrame:
@@ -281,16 +304,17 @@ def read_documents(spark: SparkSession, path: str, row: Callable[[bytes], tuple]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, seq, docs, ids, ends in zip(*[batch.column(k).to_pylist() for k in range(5)], strict=True):
-                names, last = np.frombuffer(docs, "<i8"), EliasFano(ends).all()
-                first = np.r_[0, last[:-1]]
-                more = [row(ids[4 * a : 4 * b]) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+            for part, seq, nulls, docs, ids, ends in zip(*[batch.column(k).to_pylist() for k in range(6)], strict=True):
+                names = np.frombuffer(docs, "<i8")
                 n = len(names)
-                columns = [np.full(n, part, np.int32), np.full(n, seq, np.int32), names, first, last - first]
+                first, last = EliasFano(ends).spans(np.arange(n))
+                more = [row(ids[4 * a : 4 * b]) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+                named = pa.array(names, pa.int64(), mask=np.arange(n) < nulls)
+                columns = [np.full(n, part, np.int32), np.full(n, seq, np.int32), named, first, last - first]
                 made = [pa.array(x, t) for x, t in zip(zip(*more, strict=True), types, strict=True)]
                 yield pa.record_batch([*map(pa.array, columns), *made], ["part", "seq", "id", "first", "n_tokens", *[f"c{k}" for k in range(len(types))]])
 
-    rows = _blocks(spark, path).select("part", "seq", "docs", "ids", "ends")
+    rows = _blocks(spark, path).select("part", "seq", "n_null", "docs", "ids", "ends")
     read = rows.mapInArrow(decode, f"part int, seq int, id long, first long, n_tokens long, {schema}")
     joined = read.join(_bases(spark, path), ["part", "seq"]).withColumn("start", F.col("base") + F.col("first"))
     return joined.select("id", "start", "n_tokens", *read.columns[5:])
@@ -301,13 +325,13 @@ def read_one(spark: SparkSession, path: str, doc_id: int) -> list[list[int]]:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for docs, ids, ends in zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True):
-                names, code = np.frombuffer(docs, "<i8"), EliasFano(ends)
-                for k in range(int(np.searchsorted(names, doc_id)), int(np.searchsorted(names, doc_id, "right"))):
+            for nulls, docs, ids, ends in zip(*[batch.column(k).to_pylist() for k in range(4)], strict=True):
+                names, code = np.frombuffer(docs, "<i8")[nulls:], EliasFano(ends)
+                for k in range(nulls + int(np.searchsorted(names, doc_id)), nulls + int(np.searchsorted(names, doc_id, "right"))):
                     a, b = code.span(k)
                     yield pa.record_batch([pa.array([np.frombuffer(ids[4 * a : 4 * b], "<u4").astype(np.int64).tolist()], pa.list_(pa.int64()))], ["ids"])
 
-    return [r[0] for r in _blocks(spark, path).select("docs", "ids", "ends").mapInArrow(find, "ids array<long>").collect()]
+    return [r[0] for r in _blocks(spark, path).select("n_null", "docs", "ids", "ends").mapInArrow(find, "ids array<long>").collect()]
 
 
 def encoded_checksums(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -120,6 +120,59 @@ ORACLES: dict[str, str] = {
         SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(v.vec_id, c.least) AS component_id,
             v.vec_id = least(v.vec_id, c.least) AS kept
         FROM v LEFT JOIN n ON v.vec_id = n.a LEFT JOIN c ON v.vec_id = c.a""",
+    "op3_urls": r"""
+        WITH RECURSIVE u AS (
+            SELECT page_id, url, html, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+            FROM pages
+        ),
+        rules(rule, said) AS (
+            VALUES ('com/', 'allow'), ('example.com/en/', 'block'), ('www.example.com/en/', 'allow'), ('net/es/', 'block'), ('net/fr/', 'block')
+        ),
+        fits AS (
+            SELECT u.*, r.rule, r.said FROM u LEFT JOIN rules r
+            ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+                AND starts_with(path, rule[strpos(rule, '/') :])
+            QUALIFY row_number() OVER (PARTITION BY page_id, url, html ORDER BY length(rule) DESC NULLS LAST) = 1
+        ),
+        seeds AS (
+            SELECT kind, host, seed, seed / sum(seed) OVER (PARTITION BY kind) AS share FROM (
+                SELECT 'trust' AS kind, host, avg(CASE WHEN said = 'allow' THEN 1.0 ELSE 0.0 END)::DOUBLE AS seed FROM fits WHERE host <> '' GROUP BY host
+                UNION ALL SELECT 'distrust', host, avg(CASE WHEN said = 'block' THEN 1.0 ELSE 0.0 END)::DOUBLE FROM fits WHERE host <> '' GROUP BY host
+            ) WHERE seed > 0
+        ),
+        edges AS (
+            SELECT DISTINCT host AS src, dst FROM (
+                SELECT host, translate(unnest(regexp_extract_all(html, '(?i)\bhref\s*=\s*["'']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\s>]+)', 1)),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst FROM fits
+            ) WHERE host <> dst AND host <> '' AND dst <> ''
+        ),
+        flows AS (
+            SELECT kind, host, other, count(*) OVER (PARTITION BY kind, host) AS degree FROM (
+                SELECT 'trust' AS kind, src AS host, dst AS other FROM edges UNION ALL SELECT 'distrust', dst, src FROM edges
+            )
+        ),
+        score(round, kind, host, score) AS (
+            SELECT 0, kind, host, seed FROM seeds
+            UNION ALL
+            SELECT round, kind, host, sum(part) FROM (
+                SELECT s.round + 1 AS round, s.kind, f.other AS host, 0.85 * s.score / f.degree AS part
+                FROM score s JOIN flows f ON s.kind = f.kind AND s.host = f.host
+                UNION ALL
+                SELECT t.round + 1, x.kind, x.host, 0.15 * x.seed + 0.85 * x.share * t.stuck
+                FROM seeds x JOIN (
+                    SELECT s.round, s.kind, coalesce(sum(CASE WHEN f.host IS NULL THEN s.score END), 0) AS stuck
+                    FROM score s LEFT JOIN (SELECT DISTINCT kind, host FROM flows) f ON s.kind = f.kind AND s.host = f.host GROUP BY ALL
+                ) t ON x.kind = t.kind
+            ) WHERE round <= 150 GROUP BY round, kind, host
+        ),
+        final AS (
+            SELECT host, sum(CASE kind WHEN 'trust' THEN score ELSE 0 END) AS trust, sum(CASE kind WHEN 'distrust' THEN score ELSE 0 END) AS distrust
+            FROM score WHERE round = 150 GROUP BY host
+        )
+        SELECT page_id, host, path, rule, coalesce(said, CASE WHEN distrust > trust AND distrust >= 0.001 THEN 'block' ELSE 'allow' END) AS verdict
+        FROM fits LEFT JOIN final USING (host)""",
     "op6_decontamination": r"""
         WITH d AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

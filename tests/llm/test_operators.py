@@ -177,7 +177,10 @@ def test_elias_fano():
     for n, u in ((0, 0), (1, 1), (5, 5), (7, 10**6), (300, 301), (1000, 100_000)):
         values = np.sort(rng.integers(0, u + 1, n))
         code = idfile.EliasFano(idfile.EliasFano.write(values, u))
-        assert code.all().tolist() == values.tolist() == [code.select(k) for k in range(n)]
+        assert code.selects(np.arange(n)).tolist() == values.tolist() == [code.select(k) for k in range(n)]
+        some = rng.permutation(n)[: n // 2]
+        first, last = code.spans(some)
+        assert [(a, b) for a, b in zip(first.tolist(), last.tolist(), strict=True)] == [code.span(int(k)) for k in some]
     raw = idfile.EliasFano.write(np.arange(0, 10_000 * 400, 400), 10_000 * 400)
     assert len(raw) < 10_000 * 2
 
@@ -188,11 +191,12 @@ def test_id_files(spark, docs, empty, tmp_path):
     file = vocabulary(WORD_TOKENIZER)
     library = tokenizers.Tokenizer.from_file(file)
     start, want = 0, []
-    for i, t in sorted((r for r in TEXTS if r[0] is not None), key=lambda r: r[0]):
+    for i, t in sorted(TEXTS, key=lambda r: (r[0] is not None, r[0] or 0)):
         ids = [*library.encode(t or "", add_special_tokens=False).ids, 1]
         want.append((i, start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
         start += len(ids)
-    assert by_id(idfile.encoded_checksums(docs, file)) == want
+    got = [tuple(r) for r in idfile.encoded_checksums(docs, file).collect()]
+    assert sorted(got, key=lambda r: r[1]) == want
     path = str(tmp_path / "ids")
     idfile.write_ids(docs, path, lambda: idfile.WordTokenizer(file), block_ids=10, block_docs=2)
     assert idfile.read_one(spark, path, 7) == [[*library.encode(TEXTS[6][1], add_special_tokens=False).ids, 1]]
@@ -324,23 +328,69 @@ def test_urls(spark):
     assert urls.judge(pages.where("false"), URL_RULES).count() == 0
 
 
-def test_page_rank_equals_plain_iteration(spark):
-    edges = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("e", "a")]
-    flows = spark.createDataFrame([("trust", *e) for e in edges], "kind string, host string, other string")
-    seeds = spark.createDataFrame([("trust", "a", 0.5), ("trust", "e", 0.5)], "kind string, host string, seed double")
-    got = {r.host: r.score for r in urls.propagate(seeds, flows, rounds=30).collect()}
-    seed = {"a": 0.5, "e": 0.5}
-    score = dict(seed)
-    for _ in range(30):
-        new = {h: 0.0 for h in "abcde"}
+def plain_rank(seed, edges, rounds=600):
+    """Personalised PageRank; a host without edges returns its score to the seeds."""
+    score, mass = dict(seed), sum(seed.values())
+    hosts = {*seed, *[h for e in edges for h in e]}
+    for _ in range(rounds):
+        new = {h: 0.0 for h in hosts}
+        for h, w in seed.items():
+            new[h] += 0.15 * w
         for h, x in score.items():
             out = [b for a, b in edges if a == h]
             for b in out:
                 new[b] += 0.85 * x / len(out)
-            for s, w in seed.items():
-                new[s] += w * x * (0.15 if out else 1.0)
+            if not out:
+                for s, w in seed.items():
+                    new[s] += 0.85 * x * w / mass
         score = new
-    assert got == pytest.approx({h: x for h, x in score.items() if h in got}, abs=1e-9)
+    return score
+
+
+def test_page_rank_equals_plain_iteration(spark):
+    edges = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("e", "a")]
+    flows = spark.createDataFrame([("trust", *e) for e in edges], "kind string, host string, other string")
+    seeds = spark.createDataFrame([("trust", "a", 0.5), ("trust", "e", 2.0)], "kind string, host string, seed double")
+    got = {r.host: r.score for r in urls.propagate(seeds, flows).collect()}
+    assert got == pytest.approx(plain_rank({"a": 0.5, "e": 2.0}, edges), abs=1e-6)
+
+
+def site(spark, links, urls_of):
+    """Pages with urls; ``links`` (host, host) are put on the first page of the first host."""
+    rows = [(k, u, "".join(f'<a href="http://{b}/">' for a, b in links if urls_of.index(u) == k and f"//{a}/" in u)) for k, u in enumerate(urls_of)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def test_a_chain_of_hosts_is_judged_by_score_not_by_hops(spark, monkeypatch):
+    chain = ["bad.net", *[f"c{k}.org" for k in range(100)]]
+    links = [(b, a) for a, b in zip(chain, chain[1:], strict=False)]
+    pages = site(spark, links, ["http://bad.net/es/1", *[f"http://{h}/1" for h in chain[1:]]])
+    monkeypatch.setattr(urls, "LEAST", 1e-9)
+    monkeypatch.setattr(urls, "WRITE_EVERY", 6)
+    monkeypatch.setattr(urls.propagate, "__defaults__", (1e-10, urls.DAMPING))
+    rows = urls.judge(pages, URL_RULES).collect()
+    want = plain_rank({"bad.net": 1.0}, [(a, b) for b, a in links], 400)
+    assert {r.host: r.distrust for r in rows} == pytest.approx(want, abs=1e-9)
+    # Every host reaches the blocked one, and all of them score above the least.
+    assert {r.verdict for r in rows} == {"block"} and min(want.values()) > 1e-9
+
+
+def test_a_host_with_some_blocked_pages_spreads_its_share(spark):
+    own = [f"http://mixed.net/{'es' if k < 9 else 'en'}/{k}" for k in range(20)]
+    pages = site(spark, [("farm.org", "mixed.net")], [*own, "http://farm.org/1", "http://rare.org/1"])
+    got = {r.host: (r.verdict, r.distrust) for r in urls.judge(pages, URL_RULES).collect() if r.rule is None}
+    want = plain_rank({"mixed.net": 0.45}, [("mixed.net", "farm.org")])
+    assert got["mixed.net"][0] == got["farm.org"][0] == "block" and got["rare.org"] == ("allow", 0.0)
+    assert {h: got[h][1] for h in want} == pytest.approx(want, abs=1e-6)
+
+
+def test_many_trusted_hosts_outweigh_one_link_to_a_blocked_one(spark):
+    trusted = [f"t{k}.com" for k in range(50)]
+    links = [*[(t, o) for t in trusted for o in ("o0.org", "o1.org")], ("o0.org", "bad.net"), ("spam.org", "bad.net")]
+    hosts = [*trusted, "o0.org", "o1.org", "spam.org"]
+    pages = site(spark, links, [*[f"http://{h}/" for h in hosts], "http://bad.net/fr/"])
+    got = {r.host: r.verdict for r in urls.judge(pages, URL_RULES).collect()}
+    assert {h: got[h] for h in ("o0.org", "o1.org", "spam.org")} == {"o0.org": "allow", "o1.org": "allow", "spam.org": "block"}
 
 
 def test_toxicity_and_quality_learn_only_outside_the_held_out_rows(spark, small):

@@ -501,9 +501,12 @@ def streamed(v, stream: DataFrame, label: str, partition_by=None) -> DataFrame:
     ("plays_short",),
 )
 def stream_ingest_history(v):
-    """Every file arrives twice; each play is kept once."""
+    """Every play arrives twice, in one run and in the next; each is kept once."""
     twice = event_stream(v).unionByName(event_stream(v))
-    plays = streamed(v, jobs.ingest_history(twice, ["event_id"], delay="40 days"), "ingest", "month")
+    sink, state = scratch_path(v.spark, "ingest-sink"), scratch_path(v.spark, "ingest-state")
+    jobs.ingest_available(twice, sink, state, ["event_id"])
+    jobs.ingest_available(event_stream(v), sink, scratch_path(v.spark, "ingest-again"), ["event_id"])
+    plays = jobs.read_plays(v.spark, sink, "event_id bigint, timestamp timestamp, hour int, month string")
     return plays.select("event_id", second("timestamp").alias("timestamp"), "hour", "month")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -179,9 +180,10 @@ def test_stream_ingest_equals_batch_and_restarts(spark, tmp_path, rows):
                          (3, "2024-01-01 12:00:00", 1, "b", 40_000, True)])
 
     def run():
-        jobs.run_available(jobs.ingest_history(jobs.read_stream(spark, folder, PLAY), ["event_id"]), sink, state)
-        return rows(spark.read.parquet(sink), "event_id", "hour")
+        jobs.ingest_available(jobs.read_stream(spark, folder, PLAY), sink, state, ["event_id"])
+        return rows(jobs.read_plays(spark, sink, "event_id bigint, hour int"))
 
+    assert rows(jobs.read_plays(spark, sink, "event_id bigint, hour int")) == []
     assert run() == [(1, 10)]
     assert run() == [(1, 10)]
     # A repeat and a new play arrive in a later file.
@@ -189,18 +191,81 @@ def test_stream_ingest_equals_batch_and_restarts(spark, tmp_path, rows):
     assert run() == [(1, 10), (4, 13)]
 
 
-def test_stream_counts_drop_late_rows(spark, tmp_path, rows):
+def test_late_plays_are_kept_and_late_repeats_are_not(spark, tmp_path, rows):
     folder, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    runs = [
+        [(1, "2024-03-01 10:00:00", 1, "a", 30_000, None)],
+        [(2, "2024-03-02 10:00:00", 1, "a", 30_000, None)],
+        [(3, "2024-01-01 10:00:00", 1, "a", 30_000, None), (4, "2023-11-20 10:00:00", 1, "b", 30_000, None)],  # 100 days late
+        [(4, "2023-11-20 10:00:00", 1, "b", 30_000, None), (1, "2024-03-01 10:00:00", 1, "a", 30_000, None)],  # repeats
+        [(5, "2024-03-03 10:00:00", 1, "a", 30_000, None), (5, "2024-03-03 10:00:00", 1, "a", 30_000, None)],
+    ]
+    for data in runs:
+        land(spark, folder, data)
+        jobs.ingest_available(jobs.read_stream(spark, folder, PLAY), sink, state, ["event_id"])
+    assert rows(jobs.read_plays(spark, sink, "event_id bigint, month string")) == [
+        (1, "2024-03"), (2, "2024-03"), (3, "2024-01"), (4, "2023-11"), (5, "2024-03")
+    ]
+    # Everything once more, by a job that knows nothing of the first one's progress.
+    jobs.ingest_available(jobs.read_stream(spark, folder, PLAY), sink, str(tmp_path / "new state"), ["event_id"])
+    assert spark.read.parquet(sink).count() == 5
 
-    def run():
-        jobs.run_available(jobs.play_counts(jobs.read_stream(spark, folder, PLAY)), sink, state)
-        return rows(spark.read.parquet(sink), F.date_format("start", "dd"), "track_uri", "play_count", "total_ms")
-
-    land(spark, folder, [(1, "2024-01-01 10:00:00", 1, "a", 10, None), (2, "2024-01-01 11:00:00", 1, "a", 20, None),
-                         (3, "2024-01-04 00:00:00", 1, "b", 30, None)])
-    assert run() == [("01", "a", 2, 30)]
-    land(spark, folder, [(4, "2024-01-01 12:00:00", 1, "a", 99, None), (5, "2024-01-08 00:00:00", 1, "b", 30, None)])
-    assert run() == [("01", "a", 2, 30), ("04", "b", 1, 30)]
+
+def test_a_batch_reads_the_keys_of_its_own_months(spark, tmp_path, rows, monkeypatch):
+    folder, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    read, plans = jobs._present, []
+
+    def spy(*args):
+        found = read(*args)
+        plans.append(found)
+        return found
+
+    land(spark, folder, [(k, f"2024-0{k}-01 10:00:00", 1, "a", 30_000, None) for k in range(1, 6)])
+    jobs.ingest_available(jobs.read_stream(spark, folder, PLAY), sink, state, ["event_id"])
+    monkeypatch.setattr(jobs, "_present", spy)
+    land(spark, folder, [(9, "2024-02-01 10:00:00", 1, "a", 30_000, None)])
+    jobs.ingest_available(jobs.read_stream(spark, folder, PLAY), sink, state, ["event_id"])
+    seen = plans[-1].where((F.col("batch") != "x") & F.col("month").isin(["2024-02"]))
+    assert re.search(r"PartitionFilters: \[[^\]]*month#\d+ = 2024-02", seen._jdf.queryExecution().executedPlan().toString())
+    assert rows(jobs.read_plays(spark, sink, "event_id bigint")) == [(1,), (2,), (3,), (4,), (5,), (9,)]
+
+
+def test_counts_before_the_first_batch(spark, tmp_path):
+    assert jobs.read_counts(spark, str(tmp_path / "none")).collect() == []
+    assert jobs.fold_counts(spark, str(tmp_path / "none")) is None
+
+
+def test_batches_are_folded_and_read_once(spark, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(jobs, "GENERATION", 3)
+    folder, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    folded = []
+    for k in range(14):
+        land(spark, folder, [(k, f"2024-01-{1 + k % 4:02d} 10:00:00", 1, "a", 10 + k, None)])
+        jobs.count_available(jobs.read_stream(spark, folder, PLAY), sink, state)
+        if k in (4, 6, 13):
+            folded.append(jobs.fold_counts(spark, sink))
+        want = {d: [10 + i for i in range(k + 1) if i % 4 == d] for d in range(4)}
+        got = rows(jobs.read_counts(spark, sink), F.date_format("start", "dd"), "play_count", "total_ms")
+        assert got == [(f"{d + 1:02d}", len(x), sum(x)) for d, x in want.items() if x]
+    assert folded == [0, 1, 3]
+    # Generations of the earlier folds are empty, those of the last one are still there.
+    files = jobs._present(spark, f"{sink}/batches", "gen bigint, batch bigint").select("gen").distinct().collect()
+    assert sorted(r["gen"] for r in files) == [2, 3, 4]
+    plan = jobs.read_counts(spark, sink)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[isnotnull\(gen#\d+L?\), \(gen#\d+L? > 3\)", plan)
+    assert any("/folded/upto=3/" in f for f in jobs.read_counts(spark, sink).inputFiles())
+
+
+def test_many_batches_are_read_as_one(spark, tmp_path):
+    """A thousand folded batches are one table in the plan, without a file of theirs."""
+    sink = str(tmp_path / "out")
+    rows = spark.range(5000).selectExpr("timestamp'2024-01-01' AS start", "'a' AS track_uri", "1L AS play_count", "2L AS total_ms", "id % 1001 AS batch")
+    rows.selectExpr("*", "batch div 100 AS gen").repartition(1).write.partitionBy("gen", "batch").parquet(f"{sink}/batches")
+    assert jobs.fold_counts(spark, sink) == 9
+    counts = jobs.read_counts(spark, sink)
+    assert [tuple(r)[1:] for r in counts.collect()] == [("a", 5000, 10_000)]
+    read = [f for f in counts.inputFiles() if "/batches/" not in f]
+    assert len(read) == 1
 
 
 def test_added_counts_keep_late_rows(spark, tmp_path, rows):

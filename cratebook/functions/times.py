@@ -13,6 +13,33 @@ def month_label(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM")
 
 
+def months_back(as_of: str, months: int) -> str:
+    """The label of the month that lies ``months`` before the day ``as_of`` (yyyy-MM-dd...)."""
+    number = int(as_of[:4]) * 12 + int(as_of[5:7]) - 1 - months
+    return f"{number // 12:04d}-{number % 12 + 1:02d}"
+
+
+def in_months(df: DataFrame, column: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Rows of the months ``first`` to ``last`` (yyyy-MM, both included; without time: none).
+
+    The labels become a range in the column's own type, so that a scan can use it. Times kept
+    as text are compared by their label.
+    """
+    kind, value = dict(df.dtypes)[column], F.col(column)
+    rows = df.where(value.isNotNull())
+    if kind == "string":
+        label = month_label(value)
+        rows = rows if first is None else rows.where(label >= first)
+        return rows if last is None else rows.where(label <= last)
+
+    def start(month: str) -> Column:
+        return F.lit(f"{month}-01").cast(kind)
+
+    if first is not None:
+        rows = rows.where(value >= start(first))
+    return rows if last is None else rows.where(value < start(months_back(last, -1)))
+
+
 def with_time_parts(df: DataFrame, ts: str = "timestamp", ms: str = "ms_played") -> DataFrame:
     t = F.col(ts)
     parts = {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,13 +117,25 @@ def discovery_by_year(
     return top_per_group(firsts.where(F.col("year").isNotNull()), ["year"], ["first_play", item], limit)
 
 
+#: Partition column of a history kept by the day of the year.
+DAY_OF_YEAR = "month_day"
+
+
+def day_of_year(ts: Column) -> Column:
+    """``MM-dd``."""
+    return F.date_format(ts, "MM-dd")
+
+
 def on_this_day(
     history: DataFrame, as_of: str, limit: int = 50, years_ago: int = 1, item: str = "track_uri"
 ) -> DataFrame:
-    """Most played on the calendar day that lies ``365 * years_ago`` days back, in every year."""
-    target = F.date_sub(F.lit(as_of).cast("date"), 365 * years_ago)
-    ts = F.col("timestamp")
-    same_day = (F.month(ts) == F.month(target)) & (F.dayofmonth(ts) == F.dayofmonth(target))
+    """Most played on the calendar day that lies ``365 * years_ago`` days back, in every year.
+
+    A history written by ``tables.write_history_by_day`` is read for that day only.
+    """
+    day = f"{date.fromisoformat(as_of[:10]) - timedelta(days=365 * years_ago):%m-%d}"
+    kept = F.col(DAY_OF_YEAR) if DAY_OF_YEAR in history.columns else day_of_year(F.col("timestamp"))
+    same_day = kept == day
     counts = (
         history.where(same_day & F.col(item).isNotNull())
         .groupBy(item)

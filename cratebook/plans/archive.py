@@ -42,17 +42,13 @@ def upsert_plan(desired: DataFrame, playlists: DataFrame, members: DataFrame) ->
     return missing.withColumn("action", F.when(F.col("playlist_id").isNull(), "create").otherwise("add"))
 
 
-def liked_by_period(liked: DataFrame, cutoff: str | None = None) -> DataFrame:
+def liked_by_period(liked: DataFrame, cutoff: str | None = None, since: str | None = None) -> DataFrame:
     """Liked items per month and per year, each item once per period at its first place.
 
-    Columns: period_type, period, track_uri, added_at, position. Months after
-    ``cutoff`` (``yyyy-MM``) are left out of both.
+    Columns: period_type, period, track_uri, added_at, position. Months after ``cutoff`` and
+    before ``since`` (``yyyy-MM``) are left out of both, as a range of times.
     """
-    added = liked.where(F.col("added_at").isNotNull()).withColumn(
-        "month", times.month_label(F.col("added_at"))
-    )
-    if cutoff is not None:
-        added = added.where(F.col("month") <= cutoff)
+    added = times.in_months(liked, "added_at", since, cutoff).withColumn("month", times.month_label(F.col("added_at")))
     periods = F.array(
         F.struct(F.lit("monthly").alias("period_type"), F.col("month").alias("period")),
         F.struct(F.lit("yearly").alias("period_type"), F.substring("month", 1, 4).alias("period")),
@@ -73,12 +69,12 @@ def monthly_plan(
 
     A month without liked items still has a header.
     """
-    this_month = F.trunc(F.lit(as_of).cast("date"), "month")
-    back = (F.lit(0) - F.col("id")).cast("int")
-    label = F.date_format(F.add_months(this_month, back), "yyyy-MM")
-    calendar = liked.sparkSession.range(months).select(label.alias("period"))
+    labels = [times.months_back(as_of, k) for k in range(months)]
+    calendar = liked.sparkSession.createDataFrame([(label,) for label in labels], "period string")
     calendar = calendar.withColumn("name", names.archive_name("monthly", month=F.col("period"), style=style))
-    by_month = liked_by_period(liked).where(F.col("period_type") == "monthly").drop("period_type")
+    recent = times.in_months(liked, "added_at", labels[-1], labels[0]) if labels else liked.where("false")
+    month = times.month_label(F.col("added_at")).alias("period")
+    by_month = plays.ordered_distinct(recent.select("track_uri", "added_at", "position", month), ["period"], ["added_at", "position"])
     rows = upsert_plan(calendar.join(by_month, "period"), playlists, members)
     sizes = by_month.groupBy("period").agg(F.count(F.lit(1)).alias("items"))
     added = rows.groupBy("period").agg(F.count(F.lit(1)).alias("to_add"))
@@ -176,7 +172,7 @@ def archive_plan(
     Row order: ``plays`` descending (for most played built from monthly collections),
     then ``source_id``, then ``place``.
     """
-    cutoff = F.date_format(F.add_months(F.lit(as_of).cast("date"), -keep_months), "yyyy-MM")
+    cutoff = times.months_back(as_of, keep_months)
     parts = names.auto_name_parts(F.col("name"), style.owner, style.prefixes)
     # Of equal names only the last collection is known by that name.
     monthly = (
@@ -201,10 +197,8 @@ def archive_plan(
         .select("year", "type", "track_uri", "plays", "source_id", "place")
     )
 
-    by_year = liked.withColumn("month", times.month_label(F.col("added_at"))).where(F.col("month") <= cutoff)
-    liked_rows = plays.ordered_distinct(
-        by_year.withColumn("year", F.substring("month", 1, 4).cast("int")), ["year"], ["added_at", "position"]
-    )
+    by_year = times.in_months(liked, "added_at", last=cutoff).withColumn("year", F.year(F.col("added_at").cast("timestamp")))
+    liked_rows = plays.ordered_distinct(by_year, ["year"], ["added_at", "position"])
     with_year = history.withColumn("year", F.year("timestamp"))
     fallback = (
         liked_rows.select("year", F.lit("monthly").alias("type"), "track_uri", F.col("position").alias("place"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cratebook import schemas
-from cratebook.operators.plays import history_union
+from cratebook.operators.plays import DAY_OF_YEAR, day_of_year, history_union
 from cratebook.sources import exports
 
 FORMATS = ("parquet", "csv")
@@ -81,6 +81,14 @@ def write_history(history: DataFrame, path: str) -> str:
     return path
 
 
+def write_history_by_day(history: DataFrame, path: str) -> str:
+    """History partitioned by the day of the year, for looking back on one day: such a query
+    reads that day's folder only. A day that holds much of all rows is split into files."""
+    dealt = history.withColumn(DAY_OF_YEAR, day_of_year(F.col("timestamp"))).hint("rebalance", DAY_OF_YEAR)
+    dealt.write.mode("overwrite").partitionBy(DAY_OF_YEAR).parquet(path)
+    return path
+
+
 def load_history(
     spark: SparkSession, account: str, extended: str, patterns: Mapping[str, str] = exports.FILES
 ) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from cratebook.functions import times
 from cratebook.operators import plays
+from cratebook.session import scratch_path
+from cratebook.sources import tables
 from cratebook.testbed.queries_library import r6
 from cratebook.testbed.registry import entry
 from cratebook.testbed.virtual import AS_OF, AS_OF_SHORT
@@ -205,17 +207,23 @@ def first_plays_per_listener(v):
     return plays.first_plays(v.plays_long(), "listener").withColumn("first_play", second("first_play"))
 
 
-@entry(
-    "on_this_day",
-    f"""SELECT track_uri, count(*) AS play_count FROM plays_long
+ON_THIS_DAY_SQL = """SELECT track_uri, count(*) AS play_count FROM plays_long
 WHERE month(timestamp) = month(DATE '1999-06-15' - 365) AND day(timestamp) = day(DATE '1999-06-15' - 365)
-GROUP BY 1 ORDER BY play_count DESC, track_uri LIMIT 50""",
-    ("plays_long",),
-)
+GROUP BY 1 ORDER BY play_count DESC, track_uri LIMIT 50"""
+
+
+@entry("on_this_day", ON_THIS_DAY_SQL, ("plays_long",))
 def on_this_day(v):
     return plays.on_this_day(v.plays_long(), "1999-06-15")
 
 
+@entry("on_this_day_stored", ON_THIS_DAY_SQL, ("plays_long",))
+def on_this_day_stored(v):
+    """From a history that is kept by the day of the year."""
+    path = tables.write_history_by_day(v.plays_long().select("timestamp", "track_uri"), scratch_path(v.spark, "history"))
+    return plays.on_this_day(v.spark.read.parquet(path), "1999-06-15")
+
+
 @entry(
     "rerank_by_plays",
     """WITH c AS (SELECT track_id, count(ms_played) AS n FROM plays_short GROUP BY 1)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from cratebook.operators import plays, selection
 from cratebook.plans import archive, protect, refresh
+from cratebook.sources import tables
 
 
 @pytest.fixture(scope="module")
@@ -195,6 +198,38 @@ def test_monthly_plan_has_empty_months(spark, shelf, rows):
     assert rows(plan, "period", "track_uri", "action") == [("2024-10", "b", "create"), ("2024-12", "a", "add")]
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "string"])
+def test_month_ranges_reach_the_scan(spark, shelf, rows, tmp_path, kind):
+    """Labels of months become a range on the stored column; the rows are those of the labels."""
+    days = [("2024-09-30", 0), ("2024-10-01", 1), ("2024-11-15", 2), ("2024-12-31", 3), ("2025-01-01", 4), (None, 5)]
+    stored = spark.createDataFrame(days, "added_at string, position bigint").select(
+        F.concat(F.lit("t"), F.col("position").cast("string")).alias("track_uri"), F.col("added_at").cast(kind).alias("added_at"), "position"
+    )
+    stored.write.parquet(str(tmp_path / "liked"))
+    liked = spark.read.parquet(str(tmp_path / "liked"))
+    members = spark.createDataFrame([], "playlist_id bigint, track_uri string")
+    _, plan = archive.monthly_plan(liked, shelf, members, "2024-12-31")
+    assert rows(plan, "track_uri") == [("t1",), ("t2",), ("t3",)]
+    periods = archive.liked_by_period(liked, cutoff="2024-11", since="2024-10")
+    assert rows(periods.where("period_type = 'monthly'"), "track_uri") == [("t1",), ("t2",)]
+    text = periods._jdf.queryExecution().executedPlan().toString()
+    pushed = text[text.index("PushedFilters") :]
+    if kind != "string":
+        assert "GreaterThanOrEqual(added_at" in pushed and "LessThan(added_at" in pushed
+
+
+def test_on_this_day_reads_one_day_of_a_stored_history(spark, rows, tmp_path):
+    data = [("2020-06-14 23:59:59", "a"), ("2021-06-15 00:00:00", "b"), ("1999-06-15 10:00:00", "b"), ("2022-06-15 23:59:59", "c"), ("2020-06-16 00:00:00", "a"), (None, "d")]
+    history = spark.createDataFrame(data, "timestamp string, track_uri string").withColumn("timestamp", F.to_timestamp("timestamp"))
+    path = tables.write_history_by_day(history, str(tmp_path / "h"))
+    kept = plays.on_this_day(spark.read.parquet(path), "2023-06-15")
+    assert rows(kept) == rows(plays.on_this_day(history, "2023-06-15")) == [("b", 2), ("c", 1)]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[isnotnull\(month_day#\d+\), \(month_day#\d+ = 06-15\)\]", plan)
+    leap = plays.on_this_day(history, "2021-02-28", years_ago=1)
+    assert leap.count() == 0
+
+
 def test_rename_skips_taken_names(spark, rows):
     shelf = spark.createDataFrame(
         [(1, "AJAutoJan25"), (2, "AJFindsFeb25"), (3, "AJAutoFeb25"), (4, "xAUTO"), (5, "plain")], "playlist_id bigint, name string"

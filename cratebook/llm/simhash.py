@@ -93,6 +93,7 @@ def _signed(mask: int) -> int:
 def _linked(fps: np.ndarray, reps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of one posting list: pairs of representatives whose fingerprints link."""
     n, fps = len(fps), fps.view(np.uint64)
+    octets = [((fps >> np.uint64(8 * p)) & np.uint64(255)).astype(np.uint8) for p in range(8)]
     root, left, right = np.arange(n), [], []
 
     def find(i: int) -> int:
@@ -102,11 +103,14 @@ def _linked(fps: np.ndarray, reps: np.ndarray, max_bits: int) -> tuple[np.ndarra
         return i
 
     for at in range(0, n, 256):
-        differs = fps[at : at + 256, None] ^ fps[None, :]
-        near = np.bitwise_count(differs) <= max_bits
-        i, j = np.nonzero(near & (np.arange(at, min(at + 256, n))[:, None] < np.arange(n)[None, :]))
-        agreeing = (differs[i, j].view(np.uint8).reshape(-1, 8) == 0).sum(1)
-        for x, y in zip((i + at)[agreeing >= 8 - max_bits].tolist(), j[agreeing >= 8 - max_bits].tolist(), strict=True):
+        # Tally the positional bytes that a pair shares; only pairs with the guaranteed number
+        # of them are verified bit by bit.
+        shared = np.zeros((min(256, n - at), n), np.uint8)
+        for position in range(8):
+            shared += octets[position][at : at + 256, None] == octets[position][None, :]
+        i, j = np.nonzero((shared >= 8 - max_bits) & (np.arange(at, min(at + 256, n))[:, None] < np.arange(n)[None, :]))
+        near = np.bitwise_count(fps[i + at] ^ fps[j]) <= max_bits
+        for x, y in zip((i + at)[near].tolist(), j[near].tolist(), strict=True):
             p, q = find(x), find(y)
             if p != q:
                 root[max(p, q)] = min(p, q)

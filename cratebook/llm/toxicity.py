@@ -167,41 +167,48 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model
 
 
-def _ordinal(x: np.ndarray, grade: np.ndarray, rounds: int = 600, rate: float = 0.05, ridge: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ascending cuts by gradient descent (Adam) on the likelihood of the grades.
+def _cuts(theta: np.ndarray, k: int) -> np.ndarray:
+    """Ascending by construction: a first cut, and exponentials of gaps."""
+    return np.r_[theta[k], theta[k] + np.cumsum(np.exp(theta[k + 1 :]))]
+
 
-    P(grade = k) is a difference of neighbouring cumulative probabilities. The gaps between
-    cuts are exponentials, so that the order holds by construction.
+def _likelihood(theta: np.ndarray, x: np.ndarray, grade: np.ndarray, ridge: float) -> tuple[float, np.ndarray]:
+    """Mean negative log-likelihood of the grades with a ridge on the weights, and its gradient.
+
+    ``theta``: weights, first cut, logs of the gaps between cuts. P(grade = k) is a difference
+    of neighbouring cumulative probabilities.
     """
     n, k = x.shape
-    theta = np.r_[np.zeros(k), 1.0, np.zeros(GRADES - 1)]
-    first, second = np.zeros_like(theta), np.zeros_like(theta)
+    w, gaps, rows = theta[:k], np.exp(theta[k + 1 :]), np.arange(n)
+    z = np.clip((x @ w)[:, None] - _cuts(theta, k)[None, :], -60, 60)
+    above = np.c_[np.ones(n), 1 / (1 + np.exp(-z)), np.zeros(n)]
+    p = np.maximum(above[rows, grade] - above[rows, grade + 1], 1e-12)
+    slope = above * (1 - above)
+    up, down = slope[rows, grade] / p, slope[rows, grade + 1] / p
+    # d log p / d score, and / d cut_j for the cut below and above the grade.
+    d_cut = np.zeros((n, GRADES + 2))
+    np.add.at(d_cut, (rows, grade), -up)
+    np.add.at(d_cut, (rows, grade + 1), down)
+    of_cut = d_cut[:, 1 : GRADES + 1].mean(0)
+    gradient = np.r_[
+        -(x.T @ (up - down)) / n + ridge * w,
+        -of_cut.sum(),
+        [-of_cut[j + 1 :].sum() * gaps[j] for j in range(GRADES - 1)],
+    ]
+    return float(-np.log(p).mean() + ridge * (w @ w) / 2), gradient
 
-    def sigmoid(z: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
+def _ordinal(x: np.ndarray, grade: np.ndarray, rounds: int = 600, rate: float = 0.05, ridge: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and ascending cuts by gradient descent (Adam) on the likelihood of the grades."""
+    k = x.shape[1]
+    theta = np.r_[np.zeros(k), 1.0, np.zeros(GRADES - 1)]
+    first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
-        w, gaps = theta[:k], np.exp(theta[k + 1 :])
-        cuts = np.r_[theta[k], theta[k] + np.cumsum(gaps)]
-        above = np.c_[np.ones(n), sigmoid((x @ w)[:, None] - cuts[None, :]), np.zeros(n)]
-        p = np.maximum(above[np.arange(n), grade] - above[np.arange(n), grade + 1], 1e-12)
-        slope = above * (1 - above)
-        up, down = slope[np.arange(n), grade] / p, slope[np.arange(n), grade + 1] / p
-        # d log p / d score, and / d cut_j for the cut below and above the grade.
-        d_score = up - down
-        d_cut = np.zeros((n, GRADES + 2))
-        np.add.at(d_cut, (np.arange(n), grade), -up)
-        np.add.at(d_cut, (np.arange(n), grade + 1), down)
-        of_cut = d_cut[:, 1 : GRADES + 1].mean(0)
-        grad = np.r_[
-            -(x.T @ d_score) / n + ridge * w,
-            -of_cut.sum(),
-            [-of_cut[j + 1 :].sum() * gaps[j] for j in range(GRADES - 1)],
-        ]
-        first = 0.9 * first + 0.1 * grad
-        second = 0.999 * second + 0.001 * grad**2
+        _, gradient = _likelihood(theta, x, grade, ridge)
+        first = 0.9 * first + 0.1 * gradient
+        second = 0.999 * second + 0.001 * gradient**2
         theta = theta - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return theta[:k], np.r_[theta[k], theta[k] + np.cumsum(np.exp(theta[k + 1 :]))]
+    return theta[:k], _cuts(theta, k)
 
 
 def _chances(model: Model) -> Column:

@@ -28,7 +28,7 @@ DISCOVERY_WORDS = ["discovery", "new", "fresh", "latest"]
 FAVORITE_WORDS = ["liked", "favorite", "favourite", "best", "top"]
 # The four shapes of a month name.
 MONTHLY_SHAPES = [
-    "(" + "|".join(MONTHS_SHORT) + r""")['"']?\s?\d{2,4}""",
+    "(" + "|".join(MONTHS_SHORT) + r""")["']?\s?\d{2,4}""",
     "(" + "|".join(MONTHS_LONG) + r")\s*\d{4}",
     r"\d{4}[-/]\d{2}",
     r"\d{2}[-/]\d{4}",

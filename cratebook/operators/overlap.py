@@ -397,6 +397,24 @@ def similar_collections(
     return _with_names(_best_first(close.unionByName(same), limit), names)
 
 
+def neighbours(members: DataFrame, names: DataFrame, set_id, threshold: float = 0.3) -> DataFrame:
+    """(set_id, name, overlap, n_items, similarity): the collections at least ``threshold`` like
+    the one asked for, without joining any others.
+
+    Its items are looked up among all memberships; what does not share one is never counted.
+    A collection without items, or one that does not exist, has no neighbours.
+    """
+    sets = item_sets(members, "set_id", "item_id")
+    own = sets.where(F.col("set_id") == F.lit(set_id)).select("item_id")
+    shared = sets.join(own, "item_id", "left_semi").groupBy("set_id").agg(F.count(F.lit(1)).alias("overlap"))
+    mine = own.agg(F.count(F.lit(1)).alias("n")).scalar()
+    others = shared.where(F.col("set_id") != F.lit(set_id))
+    counted = sets.join(others, "set_id", "left_semi").groupBy("set_id").agg(F.count(F.lit(1)).alias("n_items")).join(others, "set_id")
+    similarity = F.col("overlap") / (F.col("n_items") + mine - F.col("overlap"))
+    near = counted.withColumn("similarity", similarity).where(F.col("similarity") >= threshold)
+    return near.join(names.select("set_id", "name"), "set_id", "left").select("set_id", "name", "overlap", "n_items", "similarity")
+
+
 def merge_candidates(
     members: DataFrame,
     names: DataFrame,

@@ -330,6 +330,20 @@ def catalog_status(tables: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
+def library_status(tables: dict[str, DataFrame], meta: DataFrame | None = None) -> DataFrame:
+    """(key, value): when the library was last synced and whose it is, then the rows of each table.
+
+    ``meta`` is (key, value) with ``last_sync_utc`` and ``me_id``; what it does not say is
+    "Never" and "Unknown".
+    """
+    spark = next(iter(tables.values())).sparkSession
+    known = meta if meta is not None else spark.createDataFrame([], "key string, value string")
+    named = spark.createDataFrame([("last_sync", "last_sync_utc", "Never"), ("user_id", "me_id", "Unknown")], "key string, field string, missing string")
+    said = named.join(known.select(F.col("key").alias("field"), "value"), "field", "left").select("key", F.coalesce("value", "missing").alias("value"))
+    counts = catalog_status(tables).select(F.concat("table", F.lit("_count")).alias("key"), F.col("rows").cast("string").alias("value"))
+    return said.unionByName(counts)
+
+
 def error_summary(errors: DataFrame) -> DataFrame:
     """Total, fatal count, and one row per error code, as (section, label, n)."""
     totals = errors.agg(

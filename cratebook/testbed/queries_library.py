@@ -764,6 +764,22 @@ def catalog_status(v):
     return statistics.catalog_status({t: getattr(v, t)() for t in LIBRARY})
 
 
+@entry(
+    "library_status",
+    """SELECT 'last_sync' AS key, strftime((SELECT max(o_orderdate) FROM orders), '%Y-%m-%dT%H:%M:%SZ') AS value
+UNION ALL SELECT 'user_id', (SELECT c_name FROM customer ORDER BY c_custkey LIMIT 1)
+UNION ALL """
+    + " UNION ALL ".join(f"SELECT '{t}_count', CAST(count(*) AS VARCHAR) FROM {t}" for t in (*LIBRARY, "wide")),
+    (*LIBRARY, "wide"),
+)
+def library_status(v):
+    """The last order is the last sync, the first customer the user."""
+    synced = v.table("orders").agg(F.date_format(F.max("o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("value"))
+    user = v.table("customer").agg(F.min_by("c_name", "c_custkey").alias("value"))
+    meta = synced.select(F.lit("last_sync_utc").alias("key"), "value").unionByName(user.select(F.lit("me_id").alias("key"), "value"))
+    return statistics.library_status({t: getattr(v, t)() for t in LIBRARY} | {"wide": wide_of(v)}, meta)
+
+
 @entry(
     "popularity_histogram",
     """

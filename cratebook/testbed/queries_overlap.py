@@ -90,6 +90,20 @@ _similar("order_part", 0.3)
 _similar("nation_part", 0.3)
 
 
+@entry(
+    "neighbours",
+    f"""WITH nm AS ({NAMES['customer_day']}), n AS (SELECT set_id, count(*) AS n FROM customer_day GROUP BY 1),
+x AS (SELECT b.set_id, count(*) AS overlap FROM customer_day a JOIN customer_day b ON a.item_id = b.item_id AND b.set_id <> 7
+      WHERE a.set_id = 7 GROUP BY 1),
+s AS (SELECT set_id, name, overlap, n AS n_items, overlap / (n + (SELECT n FROM n WHERE set_id = 7) - overlap) AS similarity
+      FROM x JOIN n USING (set_id) JOIN nm USING (set_id))
+SELECT set_id, name, overlap, n_items, round(similarity, 6) AS similarity FROM s WHERE similarity >= 0.3""",
+    ("customer_day",),
+)
+def neighbours(v):
+    return r6(overlap.neighbours(*family_of(v, "customer_day"), 7, 0.3), "similarity")
+
+
 def _merge(family: str, size: int):
     @entry(
         f"merge_candidates_{family}",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratebook.operators import library, plays, selection
@@ -92,6 +95,31 @@ def theme_selection(v):
     ).select("track_id")
 
 
+GENRES = ["Hip-Hop", "Electronic", "Dance", "Rock", "Classical", "Jazz", "Ambient", "R&B/Soul", "Indie", "Folk", "Pop", "Country/Folk", "Metal"]
+
+
+@entry(
+    "theme_selection_named",
+    f"""WITH t AS (SELECT p_partkey AS track_id, [{", ".join(f"'{g}'" for g in GENRES)}][p_partkey % {len(GENRES)} + 1] AS genre FROM part),
+th(theme, genres) AS (VALUES {", ".join(f"('{name}', {genres})" for name, genres in selection.THEMES.items())}),
+mine AS (SELECT DISTINCT track_id FROM playlist_tracks JOIN playlists USING (playlist_id) WHERE is_owned)
+SELECT theme, track_id FROM th JOIN t ON list_contains(genres, genre) JOIN mine USING (track_id)
+QUALIFY row_number() OVER (PARTITION BY theme ORDER BY {SHUFFLE_SQL}, track_id) <= 40""",
+    ("playlists", "playlist_tracks"),
+)
+def theme_selection_named(v):
+    """Every named theme, over tracks that have one of thirteen genres each."""
+    saved = library.keep_in(v.playlist_tracks(), library.owned(v.playlists()), "playlist_id")
+    listed = F.array(*[F.lit(g) for g in GENRES])
+    own = F.get(listed, (F.col("track_id") % len(GENRES)).cast("int"))
+    tracks = v.tracks().withColumn("genres", F.array(own))
+    chosen = [
+        selection.theme_selection(saved, tracks, v.track_artists(), v.artists(), genres, count=40, order=shuffle_key()).select(F.lit(theme).alias("theme"), "track_id")
+        for theme, genres in selection.THEMES.items()
+    ]
+    return reduce(DataFrame.unionByName, chosen)
+
+
 def _old_and_new(v):
     now = v.playlist_tracks()
     then = now.where(F.col("added_at") <= F.lit(OLD_STATE_CUTOFF).cast("timestamp_ntz"))

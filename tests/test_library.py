@@ -176,3 +176,10 @@ def test_mood_tags(spark):
     counts = spark.createDataFrame([("p", m, n) for m, n in [("A", 3), ("B", 3), ("C", 1), ("D", 9)]], "playlist_id string, mood string, n bigint")
     assert profiles.mood_tag_lists(counts, max_tags=2).first()["moods"] == ["D", "A"]
     assert profiles.mood_tag_lists(counts, min_count=2).first()["moods"] == ["D", "A", "B"]
+
+
+def test_library_status(spark, tables, rows):
+    named = {"playlists": tables[0], "tracks": tables[2]}
+    assert rows(statistics.library_status(named)) == [("last_sync", "Never"), ("playlists_count", "6"), ("tracks_count", "4"), ("user_id", "Unknown")]
+    meta = spark.createDataFrame([("last_sync_utc", "2024-01-01"), ("me_id", "me"), ("other", "x")], "key string, value string")
+    assert rows(statistics.library_status(named, meta))[0] == ("last_sync", "2024-01-01")

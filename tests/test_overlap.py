@@ -336,3 +336,12 @@ def test_equal_digests_do_not_make_copies(spark, monkeypatch, seed):
         assert (r["first_id"], r["copies"]) == (min(same), len(same))
     different = {1: frozenset([1, 2]), 2: frozenset([3, 4])}
     assert overlap.duplicate_collections(frame(spark, different), naming(spark, different)).count() == 0
+
+
+def test_neighbours_equal_brute_force(spark):
+    sets = make_sets(21, 60)
+    for one in (0, 7, 59):
+        got = overlap.neighbours(frame(spark, sets), naming(spark, sets), one, 0.25).collect()
+        want = {i: len(s & sets[one]) / len(s | sets[one]) for i, s in sets.items() if i != one}
+        assert {r["set_id"]: r["similarity"] for r in got} == pytest.approx({i: x for i, x in want.items() if x >= 0.25})
+    assert overlap.neighbours(frame(spark, sets), naming(spark, sets), 1000).count() == 0

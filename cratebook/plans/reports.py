@@ -29,7 +29,8 @@ def insights_report(
     size_threshold: int = 20,
 ) -> DataFrame:
     """(section, rank, label, value): counts, genres, recent listening, closest pairs,
-    merge candidates, and with ``health`` the scores of that many owned collections."""
+    merge candidates, and with ``health`` the scores of the first so many owned collections,
+    best first."""
     mine = playlists.where(F.col("is_owned"))
     totals = playlist_tracks.agg(
         F.count(F.lit(1)).alias("entries"), F.countDistinct("track_id").alias("unique_tracks")
@@ -73,7 +74,7 @@ def insights_report(
         scores = statistics.health_score(first, playlist_tracks, tracks).join(
             first.select("playlist_id", "name"), "playlist_id"
         )
-        ranked = top_rows(scores, ["playlist_id"], health)
+        ranked = top_rows(scores, [F.desc("score"), "playlist_id"], health)
         report = report.unionByName(
             _section(ranked, "health", F.col("rank"), F.col("name"), F.col("score"))
         )

@@ -588,6 +588,25 @@ def _report_tracks(v):
     return v.tracks().select("track_id", "duration_ms", "popularity", music.clean_genre_array(F.col("genres")).alias("genres"))
 
 
+@entry(
+    "insights_health",
+    """WITH own AS (SELECT CAST(n_nationkey AS BIGINT) AS playlist_id, n_name AS name FROM nation ORDER BY n_nationkey LIMIT 20),
+h AS (SELECT set_id AS playlist_id, count(*) AS n, count(*) FILTER (WHERE popularity IS NULL) AS no_pop
+      FROM nation_part LEFT JOIN tracks ON item_id = track_id GROUP BY 1),
+u AS (SELECT playlist_id, count(DISTINCT g) AS ug FROM (SELECT set_id AS playlist_id, unnest(genres) AS g FROM nation_part JOIN tracks ON item_id = track_id) GROUP BY 1),
+s AS (SELECT playlist_id, name, CASE WHEN n IS NULL THEN 0 ELSE greatest(0, least(100, 100 - CASE WHEN n < 10 THEN 20 WHEN n > 500 THEN 10 ELSE 0 END
+    + CASE WHEN ug >= 5 THEN least(ug - 5, 10) ELSE 0 END - CASE WHEN no_pop > n * 0.1 THEN 5 ELSE 0 END)) END AS score
+  FROM own LEFT JOIN h USING (playlist_id) LEFT JOIN u USING (playlist_id))
+SELECT 'health' AS section, CAST(row_number() OVER (ORDER BY score DESC, playlist_id) AS INTEGER) AS rank, name AS label, CAST(score AS DOUBLE) AS value FROM s""",
+    ("nation_part", "tracks"),
+)
+def insights_health(v):
+    """The report's scores of the first twenty collections."""
+    members = v.overlap_sets("nation_part").distinct().toDF("playlist_id", "track_id")
+    owned = v.overlap_names("nation_part").toDF("playlist_id", "name").withColumn("is_owned", F.lit(True))
+    return reports.insights_report(owned, members, _report_tracks(v), health=20).where("section = 'health'")
+
+
 @entry(
     "insights_report",
     pairs_sql("nation_part")

@@ -52,9 +52,13 @@ _ROLES = {**dict.fromkeys("navigation banner contentinfo complementary search di
 _COMMENTS = re.compile(r"(?<![a-z])(?:comment|repl(?:y|ies)|respond|disqus|discussion|ads?(?![a-z])|advert|sponsor|promo|related|teaser|recommend)")
 _BOILERPLATE = re.compile(
     _COMMENTS.pattern + r"|(?<![a-z])(?:banner|cookie|consent|gdpr|notices?(?![a-z])|notification|popup|modal|overlay|newsletter|subscri|signup|login|shar(?:e|ing)(?![a-z])"
-    r"|social|side(?:bar)?(?![a-z])|widget|menu|nav(?![a-z])|navbar|navigation|breadcrumb|header(?![a-z])|masthead|topbar|footer|copyright|legal|disclaimer|captcha"
+    r"|social|side(?:bar)?(?![a-z])|widget|menu|nav(?![a-z])|navbar|navigation|breadcrumb|footer|copyright|legal|disclaimer|captcha"
     r"|trending|popular|tags(?![a-z])|pag(?:er|ination)(?![a-z])|toolbar|search|form(?![a-z])|alert|skip(?![a-z]))"
 )
+# A header is boilerplate unless it is the article's own.
+_HEADER = re.compile(r"(?<![a-z])(?:header(?![a-z])|masthead|topbar)")
+# What an element has beside itself, or lacks, says nothing of it.
+_BESIDE = re.compile(r"(?<![a-z])(?:has|with|without|no)[-_ ]\S+")
 _CONTENT = re.compile(r"(?<![a-z])(?:article|content|post|entry|story|main|body|text|prose)(?![a-z])")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -74,7 +78,7 @@ def _evidence(tag: str, attributes: Mapping[str, str], above: tuple[float, bool]
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or _HIDDEN.search(attributes.get("style", "")):
         return -EXPLICIT, True
     role = _ROLES.get(attributes.get("role", "").lower())
-    names = _CAMEL.sub(" ", f"{attributes.get('class', '')} {attributes.get('id', '')}").lower()
+    names = _BESIDE.sub("", _CAMEL.sub(" ", f"{attributes.get('class', '')} {attributes.get('id', '')}").lower())
     if tag == "main" or role is True and tag != "article":
         return EXPLICIT, False
     if tag == "article":
@@ -82,7 +86,7 @@ def _evidence(tag: str, attributes: Mapping[str, str], above: tuple[float, bool]
     if tag in _OUTSIDE or role is False or tag == "header" and odds <= 0:
         return -EXPLICIT, firm or tag != "form"
     if tag not in ("html", "body") and names.strip():
-        if _BOILERPLATE.search(names):
+        if _BOILERPLATE.search(names) or odds <= 0 and _HEADER.search(names):
             return -EXPLICIT, firm or bool(_COMMENTS.search(names))
         if odds >= 0 and _CONTENT.search(names):
             return max(odds, EXPLICIT / 2), False

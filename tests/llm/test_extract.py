@@ -34,6 +34,8 @@ SHAPES = {
     "<article>a<!-- open": "a",
     "<!DOCTYPE html><?xml?></ x><article>日本語😀</article>": "日本語😀",
     "<ARTICLE><P CLASS=AD>no</P><P>yes</P></ARTICLE>": "yes",
+    "<div class='siteHeader'>Site</div><div class='content has-sidebar'><div class='article-header'><h1>Head</h1></div><p>Text</p></div>": "Head\n\nText",
+    "<div class='no-comments main'><p>Text</p><div class='commentlist'><p>First!</p></div></div>": "Text",
     "": "",
     " \n ": "",
     "<nav>only</nav>": "",

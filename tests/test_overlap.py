@@ -345,3 +345,57 @@ def test_neighbours_equal_brute_force(spark):
         want = {i: len(s & sets[one]) / len(s | sets[one]) for i, s in sets.items() if i != one}
         assert {r["set_id"]: r["similarity"] for r in got} == pytest.approx({i: x for i, x in want.items() if x >= 0.25})
     assert overlap.neighbours(frame(spark, sets), naming(spark, sets), 1000).count() == 0
+
+
+@pytest.fixture(params=["masks", "counted"])
+def form(request, monkeypatch):
+    """Forms that are otherwise chosen for many rows, with blocks of a few sets."""
+    monkeypatch.setattr(overlap, "BLOCK", 4)
+    monkeypatch.setattr(overlap, "MASK_SETS", 1 if request.param == "masks" else 10**9)
+    monkeypatch.setattr(overlap, "FEW_ROWS", 1)
+    return request.param
+
+
+@pytest.mark.parametrize("spread", [1, 3])
+def test_masks_and_counted_items_find_the_same_pairs(spark, form, spread):
+    """Items on both sides of a word's end, also the one whose bit is the sign."""
+    sets = {i: frozenset(x * spread for x in s) for i, s in distinct_sets(make_sets(9, 80)).items()}
+    sets[-5] = frozenset(range(128 if spread == 3 else 64))
+    prepared = overlap.prepare(frame(spark, sets))
+    assert prepared.form == form
+    rows = overlap.placed_pairs(prepared, jaccard=0.4, subsets=True, containment=0.5, size_ratio=3.0).collect()
+    assert len({(r["set1"], r["set2"]) for r in rows}) == len(rows)
+    want = brute(sets, lambda n, m, x: x / (n + m - x) >= 0.4 or x == min(n, m) or (max(n, m) >= 3 * min(n, m) and x / min(n, m) >= 0.5))
+    assert {(r["set1"], r["set2"]): r["overlap"] for r in rows} == want
+    assert {(r["set1"], r["set2"]): (r["n1"], r["n2"]) for r in rows} == {p: (len(sets[p[0]]), len(sets[p[1]])) for p in want}
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_forms_meet_bounds_exactly(spark, form, strict):
+    sets = distinct_sets(make_sets(11, 90))
+    got = overlap.pair_overlap(frame(spark, sets), jaccard=0.4, strict=strict)
+    got = got.where(F.col("jaccard") > 0.4) if strict else got
+    want = brute(sets, lambda n, m, x: x / (n + m - x) > 0.4 if strict else x / (n + m - x) >= 0.4)
+    assert {(r["set1"], r["set2"]): r["overlap"] for r in got.collect()} == want
+
+
+def test_forms_make_the_same_plan(spark, form):
+    sets = make_sets(22, 70)
+    names = {r["set_id"]: r["name"] for r in naming(spark, sets).collect()}
+    found = redundancy.find_redundancy(frame(spark, sets), naming(spark, sets))
+    assert found.placed.form == form
+    rows = redundancy.consolidation_suggestions(found).collect()
+    assert {r["set_id"]: (r["phase"], r["target_id"]) for r in rows} == sequential_plan(sets, names)
+    lost = {r["set_id"]: len(sets[r["set_id"]] - sets[r["target_id"]]) for r in rows}
+    assert {r["set_id"]: r["tracks_lost"] for r in rows} == lost
+
+
+def test_many_sets_of_few_items_are_compared_in_many_tasks(spark):
+    """Sets that all share the hours of a day: the pairs of an item were once one task's."""
+    rng = random.Random(3)
+    sets = distinct_sets({i: frozenset(rng.sample(range(24), rng.randrange(16, 24))) for i in range(400)})
+    prepared = overlap.prepare(frame(spark, sets))
+    assert prepared.form == "masks"
+    pairs = overlap.placed_pairs(prepared, jaccard=0.5)
+    assert len(set(r["p"] for r in pairs.select(F.spark_partition_id().alias("p")).distinct().collect())) > 4
+    assert pairs.count() == len(brute(sets, lambda n, m, x: x / (n + m - x) >= 0.5))

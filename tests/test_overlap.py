@@ -399,3 +399,10 @@ def test_many_sets_of_few_items_are_compared_in_many_tasks(spark):
     pairs = overlap.placed_pairs(prepared, jaccard=0.5)
     assert len(set(r["p"] for r in pairs.select(F.spark_partition_id().alias("p")).distinct().collect())) > 4
     assert pairs.count() == len(brute(sets, lambda n, m, x: x / (n + m - x) >= 0.5))
+
+
+def test_rows_that_repeat_keep_their_places(spark, form):
+    sets = frame(spark, distinct_sets(make_sets(9, 20)))
+    assert overlap.prepare(sets).form == form
+    sized = sets.join(sets.groupBy("set_id").agg(F.count(F.lit(1)).alias("n")), "set_id")
+    assert overlap.prepare(sized.unionByName(sized.where("set_id = 0"))).form == "placed"

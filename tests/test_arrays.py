@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import random
 
+import pyarrow as pa
 import pytest
 
 from cratebook.sources import arrays
@@ -76,3 +77,16 @@ def test_odd_files(spark, tmp_path, text, count):
 
 def test_no_file(spark, tmp_path):
     assert arrays.records(spark, str(tmp_path), "none.json").count() == 0
+
+
+def test_a_batch_is_looked_at_whole():
+    """Pieces of several splits in one batch, with escapes, and a split over two batches."""
+    rows = [("a", 0, '[{"x": "\\\\\\"{"'), ("a", 0, ',{"y": [1'), ("a", 40, "]"), ("b", 0, "")]
+    columns = [pa.array(c) for c in zip(*rows, strict=True)]
+    batch = pa.record_batch([columns[0], columns[1].cast(pa.int64()), columns[2]], ["file", "start", "value"])
+    found = [(place, text.tobytes(), list(ends)) for place, text, ends in arrays._pieces(batch)]
+    assert found == [(("a", 0), b'[{"x": "\\\\\\"{"},{"y": [1}', [15, 25]), (("a", 40), b"]}", [2]), (("b", 0), b"}", [1])]
+    reports = pa.Table.from_batches(arrays._reports(iter([batch.slice(0, 1), batch.slice(1)]))).to_pylist()
+    assert [tuple(r.values()) for r in reports] == [
+        ("a", 0, False, True, 2, 1), ("a", 40, False, True, -2, 0), ("b", 0, False, True, -1, 0),
+    ]

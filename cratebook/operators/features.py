@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cratebook.functions import music, times
-from cratebook.operators.grouping import metric_figures, value_counts
+from cratebook.operators.grouping import metric_figures, split_by_size, value_counts
+from cratebook.session import cut_lineage
 
 # Legacy audio columns, summarised when present.
 AUDIO_COLUMNS = [
@@ -31,23 +32,59 @@ def _figures(
     wide: DataFrame, key: str, metrics: list[_Metric], tiers: Column | None = None, artists: tuple[str, str] | None = None
 ) -> DataFrame:
     """One row per key with all wanted figures of the metrics, shares of ``tiers`` and the
-    concentration of ``artists`` (artist and track column). ``wide`` is read once."""
-    values = {m.stem: m.value for m in metrics}
+    concentration of ``artists`` (artist and track column).
+
+    ``wide`` is read once: the numbers of its rows are written, one narrow row each. Keys of few
+    rows are brought together and summed where they meet; keys of many (``split_by_size``) are
+    counted value by value first, so that no task holds one.
+    """
+    columns = [F.col(key), *[m.value.cast("double").alias(m.stem) for m in metrics]]
     if tiers is not None:
         numbers = [F.lit(k).cast("double") for k in range(len(music.TIER_NAMES))]
-        values["tier"] = F.coalesce(*[F.when(tiers == name, k) for name, k in zip(music.TIER_NAMES, numbers, strict=True)])
-    labels = {} if artists is None else {"artist": (F.col(artists[0]), F.col(artists[1]))}
-    counts = value_counts(wide, [key], values, labels)
+        columns.append(F.coalesce(*[F.when(tiers == name, k) for name, k in zip(music.TIER_NAMES, numbers, strict=True)]).alias("tier"))
+    if artists is not None:
+        columns += [F.col(c).alias(n) for c, n in zip(artists, ("label", "item"), strict=True)]
+    rows = cut_lineage(wide.where(F.col(key).isNotNull()).select(*columns))
+    few, many = split_by_size(rows, key)
+    wanted = [f"{m.stem}_{figure}" for m in metrics for figure in m.wanted.split()]
+    wanted += [f"pct_{name}" for name in music.TIER_NAMES if tiers is not None]
+    wanted += [c for c in ("artist_hhi", "artist_entropy") if artists is not None]
+    tables = (_few_figures(few, key, metrics, tiers is not None, artists is not None), _many_figures(many, key, metrics, tiers is not None, artists is not None))
+    return tables[0].select(key, *wanted).unionByName(tables[1].select(key, *wanted))
+
+
+def _few_figures(rows: DataFrame, key: str, metrics: list[_Metric], tiers: bool, artists: bool) -> DataFrame:
+    """Figures of keys that fit a task: their rows meet once and every aggregate works there."""
+    rows = rows.repartition(key)
+    source = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "median": F.median}
+    columns = []
+    for m in metrics:
+        for figure in m.wanted.split():
+            kind = m.type if figure in ("min", "max") else "double"
+            columns.append(source[figure](m.stem).cast(kind).alias(f"{m.stem}_{figure}"))
+    if tiers:
+        in_tier = [F.try_divide(F.count_if(F.col("tier") == k), F.count("tier")) for k in range(len(music.TIER_NAMES))]
+        columns += [share.alias(f"pct_{name}") for share, name in zip(in_tier, music.TIER_NAMES, strict=True)]
+    found = rows.groupBy(key).agg(*columns) if columns else rows.select(key).distinct()
+    if not artists:
+        return found
+    pairs = rows.where(F.col("label").isNotNull() & F.col("item").isNotNull()).groupBy(key, "label", "item").agg(F.count(F.lit(1)).alias("n"))
+    return found.join(_concentration(pairs.withColumn("metric", F.lit("artist")), key), key, "left")
+
+
+def _many_figures(rows: DataFrame, key: str, metrics: list[_Metric], tiers: bool, artists: bool) -> DataFrame:
+    """Figures of large keys, from one table of counted values."""
+    values = {m.stem: F.col(m.stem) for m in metrics} | ({"tier": F.col("tier")} if tiers else {})
+    counts = value_counts(rows, [key], values, {"artist": (F.col("label"), F.col("item"))} if artists else {})
 
     def share(k: int) -> Column:
         in_tier = (F.col("metric") == "tier") & (F.col("value") == k)
         return (F.sum(F.when(in_tier, F.col("n")).otherwise(0)) / F.sum("n")).alias(f"tier_{k}")
 
-    shares = [share(k) for k in range(len(music.TIER_NAMES))] if tiers is not None else []
-    rows = metric_figures(counts, [key], *shares)
-    if artists is not None:
+    figures = metric_figures(counts, [key], *[share(k) for k in range(len(music.TIER_NAMES)) if tiers])
+    if artists:
         concentration = _concentration(counts, key).withColumn("metric", F.lit("artist"))
-        rows = rows.unionByName(concentration, allowMissingColumns=True)
+        figures = figures.unionByName(concentration, allowMissingColumns=True)
 
     def of(metric: str, figure: str) -> Column:
         return F.max(F.when(F.col("metric") == metric, F.col(figure)))
@@ -58,9 +95,9 @@ def _figures(
         for figure in m.wanted.split():
             kind = m.type if figure in ("min", "max") else "double"
             columns.append(of(m.stem, source[figure]).cast(kind).alias(f"{m.stem}_{figure}"))
-    columns += [of("tier", f"tier_{k}").alias(f"pct_{name}") for k, name in enumerate(music.TIER_NAMES) if tiers is not None]
-    columns += [of("artist", c).alias(c) for c in ("artist_hhi", "artist_entropy") if artists is not None]
-    return rows.groupBy(key).agg(*columns) if columns else rows.select(key).distinct()
+    columns += [of("tier", f"tier_{k}").alias(f"pct_{name}") for k, name in enumerate(music.TIER_NAMES) if tiers]
+    columns += [of("artist", c).alias(c) for c in ("artist_hhi", "artist_entropy") if artists]
+    return figures.groupBy(key).agg(*columns) if columns else figures.select(key).distinct()
 
 
 def _profile(wide: DataFrame) -> list[_Metric]:
@@ -151,7 +188,7 @@ def popularity_tiers(
 
 
 def all_features(wide: DataFrame, as_of: str, playlist_col: str = "playlist_id") -> DataFrame:
-    """Every feature family, from one reading of ``wide`` and one table of counted values."""
+    """Every feature family, from one reading of ``wide``."""
     present = set(wide.columns)
     metrics = _profile(wide)
     if "added_at" in present:

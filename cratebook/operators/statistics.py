@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cratebook.functions import music, names, times
-from cratebook.operators.grouping import exact_medians, ordered_list, top_per_group
+from cratebook.operators.grouping import exact_medians, split_by_size, top_per_group
 from cratebook.operators.library import keep_not_in
+from cratebook.session import cut_lineage
 
 
 def library_stats(scope) -> DataFrame:
@@ -46,61 +47,32 @@ def collection_stats(
 ) -> DataFrame:
     """One row per collection, empty ones included. ``primary`` is (track_id, primary_artist).
 
-    Memberships are read once: each gives a row for its figures and one for every label
-    that is counted (its artist, its genres). These are summed per label first, so that
-    a large collection shrinks where its rows lie; the best labels are taken from the sums.
+    Memberships are read once and written as pairs of ids. The rows of a collection that fits a
+    task are brought together with what is known of their tracks, and summed and ranked there.
+    Of a larger one (``split_by_size``) each row gives one for its figures and one for every
+    label that is counted; these are summed per label first, where the rows lie.
     """
     year = music.release_year(F.col("release_date"))
-    details = tracks.select("track_id", "duration_ms", "popularity", year.alias("release_year"), "genres")
-    merged = (
-        playlist_tracks.select("playlist_id", "track_id")
-        .join(details, "track_id", "left")
-        .join(primary.select("track_id", "primary_artist"), "track_id", "left")
-    )
-
-    def cell(kind: str, label: Column, figures: bool = False) -> Column:
-        values = [F.col(c) if figures else F.lit(None) for c in ("duration_ms", "popularity", "release_year")]
-        types = ("bigint", "bigint", "int")
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            label.alias("label"),
-            *[v.cast(t).alias(n) for v, t, n in zip(values, types, ("duration", "popularity", "year"), strict=True)],
-        )
-
-    genres = F.transform(F.coalesce("genres", F.array().cast("array<string>")), lambda g: cell("genre", g))
-    cells = F.concat(F.array(cell("all", F.lit(""), True), cell("artist", F.col("primary_artist"))), genres)
-    sums = (
-        merged.select("playlist_id", F.explode(cells).alias("c"))
-        .select("playlist_id", "c.*")
-        .where(F.col("label").isNotNull())
-        .groupBy("playlist_id", "kind", "label")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("duration").alias("duration"),
-            F.avg("popularity").alias("popularity"),
-            F.min("year").alias("first_year"),
-            F.max("year").alias("last_year"),
-        )
+    details = tracks.select(
+        "track_id",
+        F.col("duration_ms").cast("bigint").alias("duration"),
+        F.col("popularity").cast("bigint").alias("popularity"),
+        year.cast("int").alias("year"),
+        "genres",
     )
-    best = top_per_group(sums, ["playlist_id", "kind"], [F.desc("n"), "label"], max(top_artists, top_genres, 1))
+    pairs = playlist_tracks.where(F.col("playlist_id").isNotNull()).select("playlist_id", "track_id")
+    few, many = split_by_size(cut_lineage(pairs), "playlist_id")
 
-    def of(kind: str, value: str) -> Column:
-        return F.max(F.when(F.col("kind") == kind, F.col(value)))
+    # Track and artist are joined first, and a membership of an unknown track may have an artist.
+    known = details.join(primary.select("track_id", "primary_artist"), "track_id", "full")
+    shown = max(top_artists, top_genres, 1)
+    together = few.join(known, "track_id", "left").repartition("playlist_id")
+    per_collection = _best_labels(together, shown).unionByName(_best_labels(many.join(known, "track_id", "left"), shown))
 
     def names(kind: str, limit: int) -> Column:
-        listed = (F.col("kind") == kind) & (F.col("rank") <= limit)
-        pairs = F.collect_list(F.when(listed, F.struct(F.col("rank").alias("r"), F.col("label").alias("v"))))
-        return F.transform(F.array_sort(pairs), lambda p: p["v"])
-
-    per_collection = best.groupBy("playlist_id").agg(
-        of("all", "n").alias("total_tracks"),
-        of("all", "duration").alias("total_duration_ms"),
-        of("all", "popularity").alias("mean_popularity"),
-        of("all", "first_year").alias("first_year"),
-        of("all", "last_year").alias("last_year"),
-        names("artist", top_artists).alias("top_artists"),
-        names("genre", top_genres).alias("top_genres"),
-    )
+        listed = F.filter("labels", lambda p: (p["kind"] == kind) & (p["rank"] <= limit))
+        return F.transform(F.array_sort(F.transform(listed, lambda p: F.struct(p["rank"], p["label"]))), lambda p: p["label"])
+
     zero, none = F.lit(0), F.array().cast("array<string>")
     return (
         playlists.select("playlist_id", "name")
@@ -112,14 +84,48 @@ def collection_stats(
             F.coalesce("total_duration_ms", zero).cast("bigint").alias("total_duration_ms"),
             F.round(F.coalesce("total_duration_ms", zero) / 3_600_000, 1).alias("total_duration_hours"),
             F.round(F.coalesce("mean_popularity", F.lit(0.0)), 1).alias("avg_popularity"),
-            F.coalesce("top_artists", none).alias("top_artists"),
+            F.coalesce(names("artist", top_artists), none).alias("top_artists"),
             "first_year",
             "last_year",
-            F.coalesce("top_genres", none).alias("top_genres"),
+            F.coalesce(names("genre", top_genres), none).alias("top_genres"),
         )
     )
 
 
+def _labels() -> Column:
+    """(kind, label) of a row: its artist and its genres."""
+    genres = F.transform(F.coalesce("genres", F.array().cast("array<string>")), lambda g: F.struct(F.lit("genre").alias("kind"), g.alias("label")))
+    return F.concat(F.array(F.struct(F.lit("artist").alias("kind"), F.col("primary_artist").alias("label"))), genres)
+
+
+def _best_labels(rows: DataFrame, shown: int) -> DataFrame:
+    """Figures and best labels per collection; no exchange where its rows lie together."""
+    whole = F.struct(F.lit("all").alias("kind"), F.lit("").alias("label"))
+    cells = F.concat(F.array(whole), _labels())
+    figures = ("duration", "popularity", "year")
+    sums_of = {
+        "total_tracks": F.count(F.lit(1)),
+        "total_duration_ms": F.sum("duration"),
+        "mean_popularity": F.avg("popularity"),
+        "first_year": F.min("year"),
+        "last_year": F.max("year"),
+    }
+    sums = (
+        rows.select("playlist_id", *figures, F.explode(cells).alias("c"))
+        .select("playlist_id", "c.*", *[F.when(F.col("c.kind") == "all", F.col(f)).alias(f) for f in figures])
+        .where(F.col("label").isNotNull())
+        .groupBy("playlist_id", "kind", "label")
+        .agg(*[c.alias(n) for n, c in sums_of.items()])
+    )
+    best = top_per_group(sums, ["playlist_id", "kind"], [F.desc("total_tracks"), "label"], shown)
+
+    def of(name: str) -> Column:
+        return F.max(F.when(F.col("kind") == "all", F.col(name))).alias(name)
+
+    listed = F.collect_list(F.when(F.col("kind") != "all", F.struct("kind", "rank", "label")))
+    return best.groupBy("playlist_id").agg(*[of(name) for name in sums_of], listed.alias("labels"))
+
+
 def top_artists(track_artists: DataFrame, artists: DataFrame, top_n: int = 15) -> DataFrame:
     """Artists with most tracks as primary artist; attributes join after the cut."""
     best = (

@@ -151,3 +151,18 @@ def test_features_read_the_wide_table_once(spark, small):
     spark.sparkContext.setJobGroup("features run", "running")
     # Collections, memberships and credits read order lines once each.
     assert scans(df, "lineitem")[0] <= 3
+
+
+def test_split_by_size(spark, monkeypatch):
+    monkeypatch.setattr(grouping, "WHOLE", 2)
+    rows = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2), ("c", 1), ("c", 2), ("c", 3)], "k string, v int")
+    few, many = grouping.split_by_size(rows, "k")
+    assert sorted(r["k"] for r in few.collect()) == ["a", "b", "b"]
+    assert [r["k"] for r in many.collect()] == ["c", "c", "c"]
+
+
+def test_positions_shuffle_only_what_orders_them(spark, small):
+    from cratebook.testbed.virtual import VirtualLibrary
+
+    plan = VirtualLibrary(spark, small).positioned_tracks()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and "l_extendedprice" not in plan.split("Relation")[0]

@@ -6,8 +6,9 @@ import math
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
-from cratebook.operators import features, library, profiles, statistics
+from cratebook.operators import features, grouping, library, profiles, statistics
 
 
 @pytest.fixture(scope="module")
@@ -183,3 +184,25 @@ def test_library_status(spark, tables, rows):
     assert rows(statistics.library_status(named)) == [("last_sync", "Never"), ("playlists_count", "6"), ("tracks_count", "4"), ("user_id", "Unknown")]
     meta = spark.createDataFrame([("last_sync_utc", "2024-01-01"), ("me_id", "me"), ("other", "x")], "key string, value string")
     assert rows(statistics.library_status(named, meta))[0] == ("last_sync", "2024-01-01")
+
+
+def flat(df):
+    return sorted(df.collect(), key=str)
+
+
+def test_large_and_small_collections_have_the_same_statistics(spark, monkeypatch):
+    """Rows of a small collection meet once; a larger one is summed per label first."""
+    rows = [(k, t, t * 7 % 11 if t % 4 else None, t * 1000, f"{1990 + t % 9}", f"a{t % 3}") for k in (1, 2, 3) for t in range(k * 3)]
+    wide = spark.createDataFrame(rows, "playlist_id long, track_id long, popularity int, duration_ms long, release_date string, artist string")
+    tracks = wide.select("track_id", "duration_ms", "popularity", "release_date").distinct()
+    tracks = tracks.withColumn("genres", F.array(F.lit("x"), (F.col("track_id") % 4).cast("string")))
+    primary = wide.select("track_id", F.col("artist").alias("primary_artist")).distinct()
+    playlists = spark.createDataFrame([(k, f"n{k}") for k in range(5)], "playlist_id long, name string")
+
+    def stats():
+        return statistics.collection_stats(playlists, wide.select("playlist_id", "track_id"), tracks, primary)
+
+    few = flat(stats())
+    monkeypatch.setattr(grouping, "WHOLE", 5)
+    assert few == flat(stats())
+    assert few[3]["total_tracks"] == 9 and few[3]["top_genres"][0] == "x" and few[4]["top_artists"] == []

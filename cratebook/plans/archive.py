@@ -174,8 +174,9 @@ def archive_plan(
     """
     cutoff = times.months_back(as_of, keep_months)
     parts = names.auto_name_parts(F.col("name"), style.owner, style.prefixes)
-    # Of equal names only the last collection is known by that name.
-    monthly = (
+    # Of equal names only the last collection is known by that name. These are few: written, so
+    # that joins know their size and memberships need not be shuffled to find theirs.
+    monthly = cut_lineage(
         name_ids(playlists)
         .select("playlist_id", "name", parts.alias("p"))
         .where(F.col("p").isNotNull() & (F.col("p.period") <= cutoff))
@@ -231,16 +232,14 @@ def archive_plan(
     rows = upsert_plan(open_rows, playlists, members)
 
     # A monthly collection may go when each of its items is in its archive afterwards.
+    targets = monthly.select("year", "type").distinct().withColumn("name", _yearly_name(F.col("type"), F.col("year"), style))
     target_items = (
-        monthly.select("year", "type")
-        .distinct()
-        .withColumn("name", _yearly_name(F.col("type"), F.col("year"), style))
-        .join(name_ids(playlists), "name")
+        cut_lineage(targets.join(name_ids(playlists), "name"))
         .join(members.select("playlist_id", "track_uri"), "playlist_id")
         .select("year", "type", "track_uri")
         .unionByName(rows.select("year", "type", "track_uri"))
     )
-    wanted = monthly.join(content.select("source_id", "track_uri").distinct(), "source_id")
+    wanted = monthly.join(content.select("source_id", "track_uri"), "source_id").distinct()
     lost = keep_not_in(wanted, target_items, ["year", "type", "track_uri"])
     return ArchivePlan(rows, keep_not_in(monthly, lost, "source_id"))
 

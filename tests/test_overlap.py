@@ -406,3 +406,85 @@ def test_rows_that_repeat_keep_their_places(spark, form):
     assert overlap.prepare(sets).form == form
     sized = sets.join(sets.groupBy("set_id").agg(F.count(F.lit(1)).alias("n")), "set_id")
     assert overlap.prepare(sized.unionByName(sized.where("set_id = 0"))).form == "placed"
+
+
+def blocks_of_sets(seed, blocks=10, count=40):
+    """Many items, each in the sets of one block only."""
+    sets = {}
+    for b in range(blocks):
+        sets |= {b * count + i: frozenset(b * 1000 + x for x in s) for i, s in make_sets(seed + b, count).items()}
+    return sets
+
+
+def even(spark, sets, **more):
+    written = overlap.written_sets(frame(spark, sets), "set_id", "item_id", **more)
+    return overlap.first_sets(written, overlap.identical_sets(written))
+
+
+@pytest.mark.parametrize("stored", [False, True])
+@pytest.mark.parametrize("strict", [False, True])
+def test_short_sets_without_common_items_meet_once(spark, stored, strict):
+    sets = blocks_of_sets(40)
+    rows = frame(spark, sets).unionByName(frame(spark, {i: s for i, s in sets.items() if i % 3 == 0}))
+    written = overlap.written_sets(rows, "set_id", "item_id", stored=stored)
+    prepared = overlap.prepare(overlap.first_sets(written, overlap.identical_sets(written)))
+    assert prepared.form == "even"
+    pairs = overlap.placed_pairs(prepared, jaccard=0.4, strict=strict)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join" not in plan
+    firsts = distinct_sets(sets)
+    want = brute(firsts, lambda n, m, x: x / (n + m - x) > 0.4 if strict else x / (n + m - x) >= 0.4)
+    pairs = pairs.where(F.col("jaccard") > 0.4) if strict else pairs
+    assert sorted((r["set1"], r["set2"], r["overlap"]) for r in pairs.collect()) == sorted((a, b, x) for (a, b), x in want.items())
+
+
+@pytest.mark.parametrize("wanted", [{"subsets": True}, {"containment": 0.5, "size_ratio": 3.0}, {"jaccard": 0.4, "subsets": True, "containment": 0.5, "size_ratio": 3.0}])
+def test_even_sets_meet_every_bound(spark, wanted):
+    sets = blocks_of_sets(60)
+    sets[-1] = frozenset(range(300))  # longer than the bits tell apart
+    rows = overlap.pair_overlap(even(spark, sets, stored=True), **wanted).collect()
+
+    def holds(n, m, x):
+        low, high = min(n, m), max(n, m)
+        ways = ["jaccard" in wanted and x / (n + m - x) >= 0.4, "subsets" in wanted and x == low]
+        return any(ways) or ("containment" in wanted and high >= 3 * low and x / low >= 0.5)
+
+    assert sorted((r["set1"], r["set2"], r["overlap"]) for r in rows) == sorted((a, b, x) for (a, b), x in brute(distinct_sets(sets), holds).items())
+
+
+def test_copies_of_short_sets(spark):
+    sets = blocks_of_sets(80)
+    written = overlap.written_sets(frame(spark, sets), "set_id", "item_id", stored=True)
+    names = naming(spark, sets).withColumn("preference", -F.length("name"))
+    for first_by in (None, names, names.where("set_id % 5 > 0"), names.unionByName(names.where("set_id = 3"))):
+        columns = ["set_id", "first_id", "n_items", "copies"]
+        got = overlap.written_groups(written, first_by).select(*columns)
+        want = overlap.identical_sets(frame(spark, sets), first_by).select(*columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_short_sets_make_the_same_plan(spark):
+    sets = blocks_of_sets(100, blocks=8)
+    names = {r["set_id"]: r["name"] for r in naming(spark, sets).collect()}
+    found = redundancy.find_redundancy(frame(spark, sets), naming(spark, sets), stored=True)
+    assert found.placed.form == "even"
+    rows = redundancy.consolidation_suggestions(found).collect()
+    assert {r["set_id"]: (r["phase"], r["target_id"]) for r in rows} == sequential_plan(sets, names)
+    known = naming(spark, {i: s for i, s in sets.items() if i % 2})
+    assert overlap.written_sets(frame(spark, sets), "set_id", "item_id", only=known, stored=True).rows.where("set_id % 2 = 0").isEmpty()
+
+
+def test_common_items_and_long_sets_keep_their_form(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "EVEN_MOST", 128)
+    sets = blocks_of_sets(120)
+    common = {i: s | {-1} for i, s in sets.items()}
+    written = overlap.written_sets(frame(spark, common), "set_id", "item_id")
+    prepared = overlap.prepare(overlap.first_sets(written, overlap.identical_sets(written)))
+    assert isinstance(written, overlap.ShortSets) and prepared.form == "placed" and not prepared.long
+    want = brute(distinct_sets(common), lambda n, m, x: x / (n + m - x) >= 0.5)
+    got = overlap.placed_pairs(prepared, jaccard=0.5).collect()
+    assert sorted((r["set1"], r["set2"], r["overlap"]) for r in got) == sorted((a, b, x) for (a, b), x in want.items())
+    longer = {**sets, -1: frozenset(range(1100))}
+    for stored in (False, True):
+        written = overlap.written_sets(frame(spark, longer), "set_id", "item_id", stored=stored)
+        assert sorted(map(tuple, written.select("set_id", "item_id").collect())) == sorted((i, x) for i, s in longer.items() for x in s)

@@ -41,6 +41,15 @@ def test_pairs_have_their_copies_without_a_join(spark):
     assert all((r["copies1"], r["copies2"]) == (copies[sets[r["set1"]]], copies[sets[r["set2"]]]) for r in rows)
 
 
+def test_phases_that_walk_do_not_compare_subsets(spark, monkeypatch):
+    """Sets that lie in another one are out before high overlap is sought."""
+    found, compared = found_in(spark, some_sets(2)), []
+    pairs = bitmasks.pairs
+    monkeypatch.setattr(bitmasks, "pairs", lambda masks, *more: compared.append(masks.count()) or pairs(masks, *more))
+    subsets = redundancy.consolidation_suggestions(found).where("phase = 2").count()
+    assert subsets and compared == [found.placed.rows.count() - subsets]
+
+
 def block(large, number, masks):
     def one_list(values, kind):
         return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cratebook.functions import music, times
-from cratebook.operators.grouping import metric_figures, value_counts
+from cratebook.operators.grouping import metric_figures, split_unwritten, value_counts
 
 # Legacy audio columns, summarised when present.
 AUDIO_COLUMNS = [
@@ -30,12 +30,11 @@ class _Metric:
 def _figures(
     wide: DataFrame, key: str, metrics: list[_Metric], tiers: Column | None = None, artists: tuple[str, str] | None = None
 ) -> DataFrame:
-    """One row per key with all wanted figures of the metrics, shares of ``tiers`` and the
-    concentration of ``artists`` (artist and track column). ``wide`` is read once."""
+    """One row per key with all wanted figures of the metrics, shares of ``tiers`` (their numbers)
+    and the concentration of ``artists`` (artist and track column). ``wide`` is read once."""
     values = {m.stem: m.value for m in metrics}
     if tiers is not None:
-        numbers = [F.lit(k).cast("double") for k in range(len(music.TIER_NAMES))]
-        values["tier"] = F.coalesce(*[F.when(tiers == name, k) for name, k in zip(music.TIER_NAMES, numbers, strict=True)])
+        values["tier"] = tiers
     labels = {} if artists is None else {"artist": (F.col(artists[0]), F.col(artists[1]))}
     counts = value_counts(wide, [key], values, labels)
 
@@ -63,6 +62,62 @@ def _figures(
     return rows.groupBy(key).agg(*columns) if columns else rows.select(key).distinct()
 
 
+def _whole_figures(rows: DataFrame, key: str, metrics: list[_Metric], tiers: str | None, artists: tuple[str, str] | None) -> DataFrame:
+    """The columns of ``_figures`` for keys that fit a task: their rows are brought together once,
+    and every figure is found there. Metrics lie in columns of their stem."""
+    source = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "median": F.collect_list}
+    sums, columns, medians = {}, [], []
+    for m in metrics:
+        for figure in m.wanted.split():
+            name = f"{m.stem}_{figure}"
+            sums[name] = source[figure](m.stem)
+            kind = m.type if figure in ("min", "max") else "double"
+            columns.append(_middle(name).alias(name) if figure == "median" else F.col(name).cast(kind).alias(name))
+            medians += [name] if figure == "median" else []
+    if tiers is not None:
+        shares = {f"pct_{name}": F.try_divide(F.count_if(F.col(tiers) == k), F.count(tiers)) for k, name in enumerate(music.TIER_NAMES)}
+        sums |= shares
+        columns += shares
+    if artists is not None:
+        label, item = F.col(artists[0]), F.col(artists[1])
+        tracks = F.when(label.isNotNull() & item.isNotNull(), F.struct(label.alias("label"), item.alias("item")))
+        sums["_tracks"] = F.collect_set(tracks)
+        columns += ["artist_hhi", "artist_entropy"]
+    if not sums:
+        return rows.select(key).distinct()
+    found = rows.repartition(key).groupBy(key).agg(*[c.alias(n) for n, c in sums.items()])
+    found = found.withColumns({c: F.sort_array(c) for c in medians})
+    return (found if artists is None else _whole_concentration(found)).select(key, *columns)
+
+
+def _middle(ordered: str) -> Column:
+    """Median of an array of ordered numbers, interpolated; null where it is empty."""
+    n = F.size(ordered)
+    return (F.get(ordered, F.shiftright(n - 1, 1)) + F.get(ordered, F.shiftright(n, 1))) / 2
+
+
+def _whole_concentration(found: DataFrame) -> DataFrame:
+    """Adds artist_hhi and artist_entropy from the array ``_tracks`` of different (label, item)."""
+    tracks, starts, total = F.col("_tracks"), F.col("_starts"), F.col("_total")
+    begins = F.transform(tracks, lambda t, i: F.when((i == 0) | (t["label"] != F.get(tracks, i - 1)["label"]), i))
+    lengths = F.transform(starts, lambda s, i: (F.coalesce(F.get(starts, i + 1), total) - s).cast("double"))
+
+    def summed(summand) -> Column:
+        return F.when(total > 0, F.aggregate("_lengths", F.lit(0.0), lambda done, n: done + summand(n)))
+
+    def information(n: Column) -> Column:
+        # The summand is a fixed value of the definition.
+        return n / total * F.log(n / total + 1e-12)
+
+    return (
+        found.withColumn("_tracks", F.sort_array("_tracks"))
+        .withColumns({"_starts": F.array_compact(begins), "_total": F.size("_tracks")})
+        .withColumn("_lengths", lengths)
+        .withColumn("artist_hhi", summed(lambda n: n * n) / (total.cast("double") * total))
+        .withColumn("artist_entropy", -summed(information))
+    )
+
+
 def _profile(wide: DataFrame) -> list[_Metric]:
     types = dict(wide.dtypes)
     found = [_Metric(F.col(c), c, "mean std min max median", types[c]) for c in ("popularity", "duration_ms") if c in types]
@@ -135,7 +190,10 @@ def release_year_features(
 
 
 def _tier(popularity_col: str, item_col: str) -> Column:
-    return F.when(F.col(item_col).isNotNull(), music.popularity_tier(F.col(popularity_col)))
+    """The number of a row's tier; null where there is no item."""
+    tier = music.popularity_tier(F.col(popularity_col))
+    numbers = [F.when(tier == name, F.lit(k).cast("double")) for k, name in enumerate(music.TIER_NAMES)]
+    return F.when(F.col(item_col).isNotNull(), F.coalesce(*numbers))
 
 
 def popularity_tiers(
@@ -151,13 +209,33 @@ def popularity_tiers(
 
 
 def all_features(wide: DataFrame, as_of: str, playlist_col: str = "playlist_id") -> DataFrame:
-    """Every feature family, from one reading of ``wide`` and one table of counted values."""
+    """Every feature family, from one reading of ``wide``.
+
+    Only what the features need goes on, one narrow row each. Collections of few rows are brought
+    together and summed where they meet; those of many (``split_unwritten``) are counted value by
+    value first, so that no task holds one.
+    """
     present = set(wide.columns)
     metrics = _profile(wide)
     if "added_at" in present:
         metrics.append(_age(as_of, "added_at"))
     if "release_date" in present:
         metrics.append(_year("release_date"))
-    tiers = _tier("popularity", "track_id") if "popularity" in present else None
-    artists = ("primary_artist_id", "track_id") if "primary_artist_id" in present else None
-    return _figures(wide, playlist_col, metrics, tiers, artists)
+    columns = [m.value.cast("double").alias(m.stem) for m in metrics]
+    tiers = artists = None
+    if "popularity" in present:
+        tiers = "_tier"
+        columns.append(_tier("popularity", "track_id").alias(tiers))
+    if "primary_artist_id" in present:
+        artists = ("_label", "_item")
+        columns += [_plain(wide, c).alias(n) for c, n in zip(("primary_artist_id", "track_id"), artists, strict=True)]
+    few, many = split_unwritten(wide.select(playlist_col, *columns), playlist_col)
+    counted = [replace(m, value=F.col(m.stem)) for m in metrics]
+    large = _figures(many, playlist_col, counted, None if tiers is None else F.col(tiers), artists)
+    return _whole_figures(few, playlist_col, metrics, tiers, artists).unionByName(large)
+
+
+def _plain(wide: DataFrame, column: str) -> Column:
+    """A label as it is counted: as text, or as the whole number that the text would show."""
+    whole = dict(wide.dtypes)[column] in ("tinyint", "smallint", "int", "bigint")
+    return F.col(column) if whole else F.col(column).cast("string")
